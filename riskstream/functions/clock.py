@@ -23,11 +23,8 @@ def add_lags(df: DataFrame, proc_time: Column | str | None = None) -> DataFrame:
     """
     clock = F.current_timestamp() if proc_time is None else proc_time
     clock = F.col(clock) if isinstance(clock, str) else clock
-    event, broker, spark = (
-        F.unix_timestamp(c) for c in ("event_time", "kafka_timestamp", "spark_proc_time")
-    )
-    return df.withColumn("spark_proc_time", clock).withColumns({
-        "source_to_kafka_lag_sec": broker - event,
-        "kafka_to_spark_lag_sec": spark - broker,
-        "total_latency_sec": spark - event,
-    })
+    return df.withColumn("spark_proc_time", clock).selectExpr(
+        "*",
+        "unix_timestamp(kafka_timestamp) - unix_timestamp(event_time) AS source_to_kafka_lag_sec",
+        "unix_timestamp(spark_proc_time) - unix_timestamp(kafka_timestamp) AS kafka_to_spark_lag_sec",
+        "unix_timestamp(spark_proc_time) - unix_timestamp(event_time) AS total_latency_sec")

@@ -9,27 +9,22 @@ MAGIC = 0
 HEADER_BYTES = 5
 
 
+def usable_frame() -> Column:
+    """A known magic byte, a schema id and at least one byte of body."""
+    return F.expr(f"coalesce(length(value), 0) > {HEADER_BYTES} AND startswith(value, X'{MAGIC:02X}')")
+
+
 def frame_columns(raw: DataFrame) -> DataFrame:
     """Adds `magic`, `schema_id` (big endian), `body`, and `frame_error` for unusable frames."""
-    size = F.coalesce(F.length("value"), F.lit(0))
-    whole = size >= HEADER_BYTES
-
-    def number(start: int, count: int) -> Column:
-        digits = F.hex(F.substring("value", start, count))
-        return F.when(whole, F.conv(digits, 16, 10).cast("bigint"))
-
-    return (
-        raw.withColumns({
-            "magic": number(1, 1),
-            "schema_id": number(2, 4),
-            "body": F.expr(f"substring(value, {HEADER_BYTES + 1})"),
-        })
-        .withColumn(
-            "frame_error",
-            F.when(size <= HEADER_BYTES, "frame without body")
-            .when(F.col("magic") != MAGIC, "unknown magic byte"),
-        )
-    )
+    def number(start: int, count: int) -> str:
+        return (f"CASE WHEN length(value) >= {HEADER_BYTES} "
+                f"THEN CAST(conv(hex(substring(value, {start}, {count})), 16, 10) AS BIGINT) END")
+
+    return raw.selectExpr(
+        "*", f"{number(1, 1)} AS magic", f"{number(2, 4)} AS schema_id",
+        f"substring(value, {HEADER_BYTES + 1}) AS body",
+        f"""CASE WHEN coalesce(length(value), 0) <= {HEADER_BYTES} THEN 'frame without body'
+                 WHEN NOT startswith(value, X'{MAGIC:02X}') THEN 'unknown magic byte' END AS frame_error""")
 
 
 def to_frame(body: Column, schema_id: int) -> Column:

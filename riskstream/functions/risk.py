@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, functions as F
 
 # Points for each sign of risk, and the condition that earns them.
@@ -17,10 +14,8 @@ RISK_POINTS = (
 
 def risk_score() -> Column:
     """0..100. An unknown (null) condition earns nothing, so the score is never null."""
-    return reduce(add, [
-        F.when(F.expr(condition), F.lit(points)).otherwise(F.lit(0))
-        for condition, points in RISK_POINTS
-    ]).cast("int")
+    return F.expr(" + ".join(
+        f"CASE WHEN {condition} THEN {points} ELSE 0 END" for condition, points in RISK_POINTS))
 
 
 def is_high_risk(threshold: int = 50) -> Column:

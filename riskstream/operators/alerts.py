@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from riskstream.operators.interval_join import interval_join
 
@@ -15,12 +13,8 @@ WATCHED_ACTIVITY = "LIMIT_CHANGE"
 HIGH_AMOUNT = 10000
 
 
-def _columns(names: Sequence[str]) -> list[Column]:
-    return [F.col(name) for name in names]
-
-
-def _labels(alert_type: str, reason: str) -> list[Column]:
-    return [F.lit(alert_type).alias("alert_type"), F.lit(reason).alias("reason")]
+def _labels(alert_type: str, reason: str) -> list[str]:
+    return [f"'{alert_type}' AS alert_type", f"'{reason}' AS reason", "e.risk_score"]
 
 
 def login_then_tx(tx: DataFrame, logins: DataFrame, window: str = "1 minute",
@@ -31,12 +25,10 @@ def login_then_tx(tx: DataFrame, logins: DataFrame, window: str = "1 minute",
     """
     pairs = interval_join(tx, logins, "account_id", window, watermark=watermark,
                           spread_by="transaction_id", **join)
-    return pairs.where(F.col("e.location") != F.col("g.location")).select(
-        *_columns(["e.account_id", "e.event_time", "e.transaction_id", "e.amount"]),
-        F.col("e.location").alias("tx_location"), F.col("g.location").alias("login_location"),
-        *_columns(["g.ip_address", "g.device_type", "g.login_id"]),
-        *_labels(*LOGIN_ALERT), F.col("e.risk_score"),
-    )
+    return pairs.where("e.location <> g.location").selectExpr(
+        "e.account_id", "e.event_time", "e.transaction_id", "e.amount",
+        "e.location AS tx_location", "g.location AS login_location",
+        "g.ip_address", "g.device_type", "g.login_id", *_labels(*LOGIN_ALERT))
 
 
 def activity_then_tx(tx: DataFrame, activity: DataFrame, window: str = "5 minutes",
@@ -49,9 +41,7 @@ def activity_then_tx(tx: DataFrame, activity: DataFrame, window: str = "5 minute
     pairs = interval_join(tx, activity, "account_id", window, watermark=watermark,
                           spread_by="transaction_id", **join)
     return pairs.where(
-        (F.col("g.activity_type") == WATCHED_ACTIVITY) & (F.col("e.amount") >= HIGH_AMOUNT)
-    ).select(
-        *_columns(["e.account_id", "e.event_time", "e.transaction_id", "e.amount",
-                   "g.activity_type", "g.old_value", "g.new_value"]),
-        *_labels(*ACTIVITY_ALERT), F.col("e.risk_score"),
-    )
+        f"g.activity_type = '{WATCHED_ACTIVITY}' AND e.amount >= {HIGH_AMOUNT}"
+    ).selectExpr(
+        "e.account_id", "e.event_time", "e.transaction_id", "e.amount",
+        "g.activity_type", "g.old_value", "g.new_value", *_labels(*ACTIVITY_ALERT))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskstream.settings import seconds
 
@@ -37,17 +37,13 @@ def interval_join(events: DataFrame, triggers: DataFrame, key: str, window: str,
         events = events.withWatermark(time, watermark)
         triggers = triggers.withWatermark(time, watermark)
 
-    span = F.expr(f"INTERVAL '{seconds(window)}' SECOND")
+    span = f"INTERVAL '{seconds(window)}' SECOND"
     keys = [key]
     if cells:
         width = seconds(window) * 1_000_000
-
-        def cell(at: Column) -> Column:
-            return F.floor(F.unix_micros(at) / F.lit(width)).cast("bigint")
-
-        events = events.withColumn(CELL, cell(F.col(time)))
-        triggers = triggers.withColumn(
-            CELL, F.explode(F.sequence(cell(F.col(time)), cell(F.col(time) + span))))
+        first, last = (f"unix_micros({at}) DIV {width}" for at in (time, f"{time} + {span}"))
+        events = events.selectExpr("*", f"{first} AS {CELL}")
+        triggers = triggers.selectExpr("*", f"explode(sequence({first}, {last})) AS {CELL}")
         keys.append(CELL)
     if hot:
         if spread_by is None:
@@ -59,11 +55,9 @@ def interval_join(events: DataFrame, triggers: DataFrame, key: str, window: str,
         triggers = triggers.withColumn(PART, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
         keys.append(PART)
 
-    happened, triggered = F.col(f"e.{time}"), F.col(f"g.{time}")
-    condition = happened.between(triggered, triggered + span)
-    for name in keys:
-        condition = (F.col(f"e.{name}") == F.col(f"g.{name}")) & condition
-    return events.alias("e").join(triggers.alias("g"), condition, "inner")
+    same = [f"e.{name} = g.{name}" for name in keys]
+    follows = f"e.{time} BETWEEN g.{time} AND g.{time} + {span}"
+    return events.alias("e").join(triggers.alias("g"), F.expr(" AND ".join([*same, follows])), "inner")
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> list[str]:

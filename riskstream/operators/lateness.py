@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
 from riskstream.functions.clock import add_lags
 from riskstream.settings import seconds
@@ -15,12 +15,12 @@ def mark_on_time(df: DataFrame, allowance: str = "10 minutes",
     The bound is inclusive and compares microseconds, not the truncated lag columns. A row without
     an event time is not on time: it goes to the dead letters instead of vanishing.
     """
-    oldest = F.col("spark_proc_time") - F.expr(f"INTERVAL '{seconds(allowance)}' SECOND")
-    marked = add_lags(df, proc_time).withColumn(
-        "on_time", F.coalesce(F.col("event_time") >= oldest, F.lit(False)))
-    return marked.withColumn(
-        "dlq_reason",
-        F.when(~F.col("on_time"), F.when(F.col("event_time").isNull(), "no event time").otherwise("late")))
+    oldest = f"spark_proc_time - INTERVAL '{seconds(allowance)}' SECOND"
+    return add_lags(df, proc_time).selectExpr(
+        "*", f"coalesce(event_time >= {oldest}, false) AS on_time"
+    ).selectExpr(
+        "*", "CASE WHEN on_time THEN NULL WHEN event_time IS NULL THEN 'no event time' "
+             "ELSE 'late' END AS dlq_reason")
 
 
 def split_late(df: DataFrame, allowance: str = "10 minutes",

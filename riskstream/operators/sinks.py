@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskstream.operators.routes import Route
 from riskstream.schemas import conform
@@ -13,13 +13,15 @@ COMPACTED = "compacted"
 LEVELS = ("dt", "hr", "batch_id")
 
 
-def write_layer(df: DataFrame, path: str, route: Route, batch_id: str) -> None:
+def write_layer(df: DataFrame, path: str, route: Route, batch_id: str | Column) -> None:
     """Batch write. Rows are brought together by hour and adaptively rebalanced, so that an hour
     with much data becomes several tasks and files, and many small hours share a task.
 
-    Only the leaves of this `batch_id` are replaced, which makes a repeated write harmless.
+    Only the leaves of this `batch_id` (a name, or an expression over the rows) are replaced,
+    which makes a repeated write harmless.
     """
-    rows = conform(df.withColumn("batch_id", F.lit(batch_id)), route.stored)
+    leaf = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
+    rows = conform(df.withColumn("batch_id", leaf), route.stored)
     _write_leaves(rows.hint("rebalance", F.col("dt"), F.col("hr")), path)
 
 

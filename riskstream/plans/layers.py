@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,14 +16,56 @@ from riskstream.settings import Settings
 from riskstream.sources.events import Feeds
 
 
+FEED_TAGS = (
+    ("transactions", ("BRONZE_TX", "SILVER_TX"), "LATE_TX"),
+    ("logins", ("BRONZE_LOGIN",), "LATE_LOGIN"),
+    ("activity", ("BRONZE_ACTIVITY",), "LATE_ACTIVITY"),
+)
+
+
 @dataclass(frozen=True)
 class Layers:
-    """Feeds with lag columns, `on_time` and (transactions) the score, plus both alert rules."""
-    transactions: DataFrame
-    logins: DataFrame
-    activity: DataFrame
-    login_alerts: DataFrame
-    activity_alerts: DataFrame
+    """Feeds with lag columns, `on_time` and (transactions) the score, plus both alert rules.
+
+    `feeds` carry `event_time`. `proc_time` names a replay clock; the default is the wall clock.
+    Every layer is planned when it is first asked for.
+    """
+    feeds: Feeds
+    settings: Settings
+    proc_time: Column | str | None = None
+    hot: Sequence[str] = ()
+
+    def _marked(self, df: DataFrame) -> DataFrame:
+        df = mark_on_time(df, self.settings.late_allowance, self.proc_time)
+        return df.drop(self.proc_time) if isinstance(self.proc_time, str) else df
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return score_transactions(
+            self._marked(self.feeds.transactions), self.settings.high_risk_threshold)
+
+    @cached_property
+    def logins(self) -> DataFrame:
+        return self._marked(self.feeds.logins)
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        return self._marked(self.feeds.activity)
+
+    def _joined(self, rule: Callable[..., DataFrame], triggers: DataFrame, window: str) -> DataFrame:
+        streaming = self.feeds.transactions.isStreaming
+        return rule(
+            self.on_time(self.transactions), self.on_time(triggers), window,
+            watermark=self.settings.watermark_delay if streaming else None,
+            hot=self.hot, hot_parts=self.settings.hot_salts)
+
+    @cached_property
+    def login_alerts(self) -> DataFrame:
+        return self._joined(login_then_tx, self.logins, self.settings.login_tx_window)
+
+    @cached_property
+    def activity_alerts(self) -> DataFrame:
+        return self._joined(activity_then_tx, self.activity, self.settings.activity_tx_window)
 
     @staticmethod
     def on_time(df: DataFrame) -> DataFrame:
@@ -41,26 +84,6 @@ class Layers:
         return self.login_alerts.unionByName(self.activity_alerts, allowMissingColumns=True)
 
 
-def build_layers(feeds: Feeds, settings: Settings, proc_time: Column | str | None = None,
-                 hot: Sequence[str] = ()) -> Layers:
-    """`feeds` carry `event_time`; `proc_time` names a replay clock, the default is the wall clock."""
-    def marked(df: DataFrame) -> DataFrame:
-        df = mark_on_time(df, settings.late_allowance, proc_time)
-        return df.drop(proc_time) if isinstance(proc_time, str) else df
-
-    tx = score_transactions(marked(feeds.transactions), settings.high_risk_threshold)
-    logins, activity = marked(feeds.logins), marked(feeds.activity)
-
-    on_time = tx.where("on_time")
-    watermark = settings.watermark_delay if feeds.transactions.isStreaming else None
-    join = {"watermark": watermark, "hot": hot, "hot_parts": settings.hot_salts}
-    return Layers(
-        tx, logins, activity,
-        login_then_tx(on_time, logins.where("on_time"), settings.login_tx_window, **join),
-        activity_then_tx(on_time, activity.where("on_time"), settings.activity_tx_window, **join),
-    )
-
-
 def unify(layers: Layers, bad_frames: Sequence[DataFrame] = (),
           only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
     """Tagged union of the routes in `only` (default: all of them).
@@ -71,14 +94,9 @@ def unify(layers: Layers, bad_frames: Sequence[DataFrame] = (),
     """
     only = set(only)
     branches = []
-
-    def feed(df: DataFrame, on_time: list[str], late: str) -> None:
+    for name, on_time, late in FEED_TAGS:
         if only & {late, *on_time}:
-            branches.append(tag_feed(df, on_time, late))
-
-    feed(layers.transactions, ["BRONZE_TX", "SILVER_TX"], "LATE_TX")
-    feed(layers.logins, ["BRONZE_LOGIN"], "LATE_LOGIN")
-    feed(layers.activity, ["BRONZE_ACTIVITY"], "LATE_ACTIVITY")
+            branches.append(tag_feed(getattr(layers, name), on_time, late))
     if "ALERT" in only:
         branches += [tagged(layers.login_alerts, "ALERT"), tagged(layers.activity_alerts, "ALERT")]
     if "BAD_FRAME" in only:

@@ -7,7 +7,6 @@ with any engine.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,17 +22,17 @@ from riskstream.operators.sinks import write_layer
 from riskstream.plans.compaction import compact, compact_in_place, inventory
 from riskstream.plans.gold import daily_kpi, daily_kpi_by_flag, location_risk
 from riskstream.plans.hourly import run_hour
-from riskstream.plans.layers import Layers, build_layers, unify
+from riskstream.plans.layers import Layers, unify
 from riskstream.plans.reports import (
     dlq_audit, fraud_heatmap, ingest_lag_by_hour, rows, top_risk_accounts,
 )
 from riskstream.plans.tables import create_tables, sync_partitions
 from riskstream.settings import Settings
-from riskstream.sources.events import Feeds, feeds_from_events
+from riskstream.sources.events import EVENTS, Feeds, feeds_from_events
 from riskstream.sources.feeds import CONTRACTS, bad_frames, decode_feed, ingest
 from riskstream.sources.files import read_hours
 from riskstream.streaming.jobs import dual_write_stream, start_dual_write, stream_session
-from riskstream.streaming.replay import Staged, replay, stage_slice, time_slices
+from riskstream.streaming.history import replay, stage_slice, time_slices, topic_streams
 from riskstream.workspace import shared_folder
 
 DAY = "2024-01-01"
@@ -41,9 +40,9 @@ HOUR = 7
 
 
 def plain_times(df: DataFrame) -> DataFrame:
-    return df.select(*[
-        F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType)
-        else F.col(f.name) for f in df.schema.fields
+    return df.selectExpr(*[
+        f"CAST(`{f.name}` AS TIMESTAMP_NTZ) AS `{f.name}`" if isinstance(f.dataType, TimestampType)
+        else f"`{f.name}`" for f in df.schema.fields
     ])
 
 
@@ -53,7 +52,7 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
-        self.events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        self.events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
     @cached_property
     def settings(self) -> Settings:
@@ -69,7 +68,7 @@ class Lake:
         return Feeds(*(add_event_time(feed) for feed in self.decoded))
 
     def layers(self, hot: tuple[str, ...] = ()) -> Layers:
-        return build_layers(self.feeds, Settings(""), "proc_time", hot)
+        return Layers(self.feeds, Settings(""), "proc_time", hot)
 
     @cached_property
     def alerts(self) -> DataFrame:
@@ -79,14 +78,14 @@ class Lake:
     def silver(self) -> DataFrame:
         return add_dt_hr(self.layers().silver)
 
-    def write(self, tag: str, df: DataFrame, batch_id: str = "history") -> None:
+    def write(self, tag: str, df: DataFrame, batch_id: str | Column = "history") -> None:
         route = ROUTES[tag]
         write_layer(df, self.settings.layer(route.layer), route, batch_id)
 
-    def write_in_batches(self, tag: str, df: DataFrame, spread: Column, batches: int = 4) -> None:
-        """History written the way a stream leaves it: several leaves in every hour."""
-        for n in range(batches):
-            self.write(tag, df.where(F.pmod(spread, F.lit(batches)) == n), f"batch-{n}")
+    def write_in_batches(self, tag: str, df: DataFrame, batches: int = 4) -> None:
+        """History laid out the way a stream leaves it: several leaves in every hour."""
+        number = F.pmod(F.xxhash64("transaction_id"), F.lit(batches))
+        self.write(tag, df, F.concat(F.lit("batch-"), number.cast("string")))
 
     def read(self, tag: str, dt: str | None = None, hr: int | None = None) -> DataFrame:
         route = ROUTES[tag]
@@ -291,7 +290,7 @@ def layer_roundtrip(lake: Lake) -> DataFrame:
 @query
 def compacted_hour(lake: Lake) -> DataFrame:
     bronze = lake.silver.drop("risk_score", "is_high_risk")
-    lake.write_in_batches("BRONZE_TX", bronze, F.xxhash64("transaction_id"))
+    lake.write_in_batches("BRONZE_TX", bronze)
     compact(lake.spark, lake.settings, DAY, HOUR)
     return lake.read("SILVER_TX", DAY, HOUR).select(
         "transaction_id", "account_id", "amount", "event_time", "risk_score", "is_high_risk",
@@ -301,7 +300,7 @@ def compacted_hour(lake: Lake) -> DataFrame:
 @query
 def compacted_day(lake: Lake) -> DataFrame:
     """A day of alerts compacted into itself."""
-    lake.write_in_batches("ALERT", lake.alerts, F.xxhash64("transaction_id"))
+    lake.write_in_batches("ALERT", lake.alerts)
     compact_in_place(lake.spark, lake.settings, "ALERT", DAY)
     return lake.read("ALERT", DAY).select(
         "account_id", "event_time", "transaction_id", "alert_type", "login_id", "risk_score",
@@ -329,7 +328,7 @@ def synced_table_counts(lake: Lake) -> DataFrame:
 def _hourly(lake: Lake) -> Lake:
     # The hour's bronze in the leaves a stream would leave, alerts of the whole history beside it.
     bronze = lake.silver.drop("risk_score", "is_high_risk")
-    lake.write_in_batches("BRONZE_TX", bronze, F.xxhash64("transaction_id"))
+    lake.write_in_batches("BRONZE_TX", bronze)
     lake.write("SILVER_TX", lake.silver)
     lake.write("ALERT", lake.alerts)
     for _ in range(2):  # the second run must change nothing
@@ -366,7 +365,7 @@ def high_risk_serving(lake: Lake) -> DataFrame:
 
 # --- streaming -----------------------------------------------------------------------------------
 def _streamed(lake: Lake, *tags: str, hot: tuple[str, ...] = ()) -> Lake:
-    replay(lake.spark, lake.settings, lake.decoded, only=tags or tuple(ROUTES), hot=hot)
+    replay(lake.spark, lake.settings, lake.decoded, slices=2, only=tags or tuple(ROUTES), hot=hot)
     return lake
 
 
@@ -400,12 +399,11 @@ def stream_route_counts(lake: Lake) -> DataFrame:
 @query
 def stream_dual_write(lake: Lake) -> DataFrame:
     """The single-feed job: every transaction, scored, in one layer."""
-    settings = replace(lake.settings, trigger_interval="10 seconds")
-    session = stream_session(lake.spark, settings)
-    staged = Staged.below(settings.layer("_staging/topics"))
+    settings = lake.settings
+    topics = settings.layer("_staging/topics")
     for first, after in time_slices(lake.decoded):
-        stage_slice(lake.decoded, staged, first, after)
-    raw = staged.streams(session).transactions.drop("proc_time")
+        stage_slice(lake.decoded, topics, first, after)
+    raw = topic_streams(stream_session(lake.spark, settings), topics).transactions.drop("proc_time")
     start_dual_write(dual_write_stream(raw, settings, "json"), settings,
                      available_now=True).awaitTermination()
     route = ROUTES["SILVER_TX"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     BinaryType, BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField,
     StructType, TimestampType,
@@ -74,7 +74,7 @@ def ddl(schema: StructType) -> str:
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project to a contract: declared order and types, absent columns as typed nulls."""
     present = set(df.columns)
-    return df.select(*[
-        (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.selectExpr(*[
+        f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
         for f in schema.fields
     ])

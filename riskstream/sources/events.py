@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 # The location list of the feeds and the first millisecond of the data.
 LOCATIONS = ("New York", "London", "Paris", "Tokyo", "Berlin", "Unknown")
@@ -28,65 +28,52 @@ class Feeds(NamedTuple):
     activity: DataFrame
 
 
-def account_of(user_id: str = "user_id", accounts: int | None = None) -> Column:
-    """Account of a user; `accounts` folds all users into that many hot accounts instead."""
-    number = (
-        F.expr(f"{user_id} DIV {USERS_PER_ACCOUNT}") if accounts is None
-        else F.expr(f"{user_id} % {accounts}")
-    )
-    return F.concat(F.lit("ACC-"), (F.lit(1000) + number).cast("string"))
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+
+def _quoted(names: tuple[str, ...]) -> str:
+    return ", ".join(f"'{name}'" for name in names)
 
 
-def _clocked(events: DataFrame, accounts: int | None) -> DataFrame:
-    span = f"unix_micros(CAST(ts AS TIMESTAMP)) - {START_MILLIS * 1000}"
+def _clocked(events: DataFrame, kinds: tuple[str, ...], accounts: int | None) -> DataFrame:
+    """Columns all feeds share. The filter comes first, so that it reaches the Parquet scan."""
+    account = f"user_id DIV {USERS_PER_ACCOUNT}" if accounts is None else f"user_id % {accounts}"
+    micros = f"unix_micros(CAST(ts AS TIMESTAMP)) - {START_MILLIS * 1000}"
     first_lag = """CASE WHEN event_id % 50 = 0 THEN 900
                         WHEN event_id % 50 = 1 THEN 600 - event_id % 11
                         ELSE k % 7 END"""
     return (
-        events.withColumns({
-            "k": F.get_json_object("props", "$.k").cast("bigint"),
-            "timestamp": F.expr(f"{START_MILLIS} + ({span}) DIV {SPEED * 1000}"),
-            "account_id": account_of(accounts=accounts),
-        })
-        .withColumns({
-            "location": F.element_at(
-                F.array(*[F.lit(name) for name in LOCATIONS]),
-                F.expr(f"CAST(1 + (event_id * 7 + k) % {len(LOCATIONS)} AS INT)")),
-            "kafka_timestamp": F.timestamp_millis(F.expr(f"timestamp + 1000 * ({first_lag})")),
-            "proc_time": F.timestamp_millis(
-                F.expr(f"timestamp + 1000 * ({first_lag} + event_id % 11)")),
-        })
+        events.where(f"event_type IN ({_quoted(kinds)})")
+        .selectExpr(
+            "event_id", "value",
+            "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+            f"{START_MILLIS} + ({micros}) DIV {SPEED * 1000} AS timestamp",
+            f"concat('ACC-', CAST(1000 + {account} AS STRING)) AS account_id")
+        .selectExpr(
+            "*",
+            f"element_at(array({_quoted(LOCATIONS)}), "
+            f"CAST(1 + (event_id * 7 + k) % {len(LOCATIONS)} AS INT)) AS location",
+            f"timestamp_millis(timestamp + 1000 * ({first_lag})) AS kafka_timestamp",
+            f"timestamp_millis(timestamp + 1000 * ({first_lag} + event_id % 11)) AS proc_time")
     )
 
 
 def feeds_from_events(events: DataFrame, accounts: int | None = None) -> Feeds:
     """Decoded feeds with broker time and a replay clock (`proc_time`).
 
-    Each feed filters on `event_type` first, so the filter reaches the Parquet scan.
+    `accounts` folds all users into that many accounts, to make a few very busy ones.
     """
-    def of(*kinds: str) -> DataFrame:
-        return _clocked(events.where(F.col("event_type").isin(*kinds)), accounts)
-
-    def label(prefix: str) -> Column:
-        return F.concat(F.lit(prefix), F.col("event_id").cast("string"))
-
-    transactions = of(*TRANSACTION_TYPES).select(
-        label("TX-").alias("transaction_id"), "account_id",
-        F.round(F.col("value") * 100).alias("amount"), F.lit("USD").alias("currency"),
-        F.lit("TRANSFER").alias("transaction_type"), F.lit("RETAIL").alias("merchant_category"),
-        "location", "timestamp", (F.col("k") % 2 == 0).alias("is_international"),
-        "kafka_timestamp", "proc_time",
-    )
-    logins = of(*LOGIN_TYPES).select(
-        "account_id", label("LG-").alias("login_id"),
-        F.concat(F.lit("192.168.1."), (F.col("k") + 1).cast("string")).alias("ip_address"),
-        "location", F.when(F.col("k") % 2 == 0, "Mobile").otherwise("Web").alias("device_type"),
-        "timestamp", "kafka_timestamp", "proc_time",
-    )
-    activity = of(*ACTIVITY_TYPES).select(
+    clocks = ("timestamp", "kafka_timestamp", "proc_time")
+    transactions = _clocked(events, TRANSACTION_TYPES, accounts).selectExpr(
+        "concat('TX-', CAST(event_id AS STRING)) AS transaction_id", "account_id",
+        "round(value * 100) AS amount", "'USD' AS currency", "'TRANSFER' AS transaction_type",
+        "'RETAIL' AS merchant_category", "location", "k % 2 = 0 AS is_international", *clocks)
+    logins = _clocked(events, LOGIN_TYPES, accounts).selectExpr(
+        "account_id", "concat('LG-', CAST(event_id AS STRING)) AS login_id",
+        "concat('192.168.1.', CAST(k + 1 AS STRING)) AS ip_address", "location",
+        "CASE WHEN k % 2 = 0 THEN 'Mobile' ELSE 'Web' END AS device_type", *clocks)
+    activity = _clocked(events, ACTIVITY_TYPES, accounts).selectExpr(
         "account_id",
-        F.when(F.col("k") % 4 == 0, "ADDRESS_CHANGE").otherwise("LIMIT_CHANGE").alias("activity_type"),
-        F.lit("5000").alias("old_value"), F.lit("20000").alias("new_value"),
-        "timestamp", "kafka_timestamp", "proc_time",
-    )
+        "CASE WHEN k % 4 = 0 THEN 'ADDRESS_CHANGE' ELSE 'LIMIT_CHANGE' END AS activity_type",
+        "'5000' AS old_value", "'20000' AS new_value", *clocks)
     return Feeds(transactions, logins, activity)

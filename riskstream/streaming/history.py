@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from math import ceil
-from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
@@ -22,30 +21,28 @@ REPLAYED = schemas.merge(schemas.RAW, StructType([StructField("proc_time", Times
 ROWS_PER_SLICE = 20_000_000
 
 
-class Staged(NamedTuple):
-    """Folders of raw messages, one per topic."""
-    transactions: str
-    logins: str
-    activity: str
-
-    @classmethod
-    def below(cls, folder: str) -> Staged:
-        return cls(*(f"{folder}/{topic}" for topic in cls._fields))
-
-    def streams(self, spark: SparkSession, max_files_per_trigger: int = 0) -> Feeds:
-        return Feeds(*(stream_files(spark, path, REPLAYED, max_files_per_trigger) for path in self))
+def topic_streams(spark: SparkSession, topics: str, max_files_per_trigger: int = 0) -> Feeds:
+    """The staged topics as streams of raw messages."""
+    return Feeds(*(
+        stream_files(spark, f"{topics}/topic={name}", REPLAYED, max_files_per_trigger)
+        for name in CONTRACTS
+    ))
 
 
 def as_messages(feed: DataFrame, contract: Contract) -> DataFrame:
     body = F.to_json(F.struct(*contract.schema.names))
-    return feed.select(to_frame(body, contract.schema_id).alias("value"), "kafka_timestamp", "proc_time")
+    return feed.select(to_frame(body, contract.schema_id).alias("value"), "kafka_timestamp",
+                       "proc_time", F.lit(contract.name).alias("topic"))
 
 
-def stage_slice(feeds: Feeds, staged: Staged, first: int, after: int) -> None:
-    """Append the messages with first <= timestamp < after to the topic folders."""
-    for feed, contract, path in zip(feeds, CONTRACTS.values(), staged):
-        part = feed.where(F.col("timestamp").between(first, after - 1))
-        as_messages(part, contract).write.mode("append").parquet(path)
+def stage_slice(feeds: Feeds, topics: str, first: int, after: int) -> None:
+    """Append the messages with first <= timestamp < after to the topic folders, in one job."""
+    parts = [
+        as_messages(feed.where(F.col("timestamp").between(first, after - 1)), contract)
+        for feed, contract in zip(feeds, CONTRACTS.values())
+    ]
+    messages = parts[0].union(parts[1]).union(parts[2])
+    messages.write.mode("append").partitionBy("topic").parquet(topics)
 
 
 def time_slices(feeds: Feeds, at_least: int = 1, rows_per_slice: int = ROWS_PER_SLICE) -> list[tuple[int, int]]:
@@ -70,12 +67,12 @@ def replay(spark: SparkSession, settings: Settings, feeds: Feeds, slices: int =
     files are ordered, and every slice but the first restarts from the checkpoint.
     """
     session = stream_session(spark, settings)
-    staged = Staged.below(settings.layer("_staging/topics"))
+    topics = settings.layer("_staging/topics")
     sizes: list[int] = []
     for first, after in time_slices(feeds, slices):
-        stage_slice(feeds, staged, first, after)
+        stage_slice(feeds, topics, first, after)
         unified = unified_stream(
-            staged.streams(session), settings, "json", "proc_time", tuple(hot), only)
+            topic_streams(session, topics), settings, "json", "proc_time", tuple(hot), only)
         query = start_router(unified, settings, open_store=open_store, available_now=True)
         query.awaitTermination()
         sizes += [progress.numInputRows for progress in query.recentProgress]

@@ -12,7 +12,7 @@ from riskstream.functions.clock import add_dt_hr, add_event_time
 from riskstream.operators.interval_join import hot_keys
 from riskstream.operators.routes import ROUTES
 from riskstream.operators.scoring import score_transactions
-from riskstream.plans.layers import build_layers, unify
+from riskstream.plans.layers import Layers, unify
 from riskstream.settings import Settings
 from riskstream.sources.events import Feeds
 from riskstream.sources.feeds import CONTRACTS, bad_frames, decode_feed, ingest
@@ -62,7 +62,7 @@ def unified_stream(raw: Feeds, settings: Settings, body: str = "avro",
     named = list(zip(raw, CONTRACTS.values()))
     feeds = Feeds(*(ingest(df, contract, body) for df, contract in named))
     broken = [bad_frames(df, contract, body) for df, contract in named] if "BAD_FRAME" in set(only) else []
-    return unify(build_layers(feeds, settings, proc_time, hot), broken, only)
+    return unify(Layers(feeds, settings, proc_time, hot), broken, only)
 
 
 def kafka_topics(spark: SparkSession, settings: Settings) -> Feeds:
