@@ -10,7 +10,7 @@ def add_event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_time", F.timestamp_millis("timestamp"))
 
 
-def add_dt_hr(df: DataFrame, time: str = "event_time") -> DataFrame:
+def add_dt_hr(df: DataFrame, time: Column | str = "event_time") -> DataFrame:
     """Partition columns; `hr` is an INT, so directories read hr=7 and never hr=07."""
     return df.withColumns({"dt": F.to_date(time), "hr": F.hour(time)})
 

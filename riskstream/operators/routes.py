@@ -48,19 +48,23 @@ ROUTES = {
 }
 
 
-def tagged(df: DataFrame, tag: str, time: str = "event_time") -> DataFrame:
-    return add_dt_hr(df, time).withColumn("_type", F.lit(tag))
+def tagged(df: DataFrame, tag: str) -> DataFrame:
+    return add_dt_hr(df).withColumn("_type", F.lit(tag))
 
 
 def tag_feed(marked: DataFrame, on_time_tags: Sequence[str], late_tag: str) -> DataFrame:
-    """Tag both sides of a feed in one pass.
+    """Tag all sides of a feed in one pass.
 
     A row that has several routes is repeated after the scan; filtering the feed once per route
-    would read its source once per route.
+    would read and decode its source once per route. Bad frames are filed by their arrival time.
     """
-    tags = F.when(F.col("on_time"), F.array(*[F.lit(t) for t in on_time_tags])).otherwise(
-        F.array(F.lit(late_tag)))
-    return add_dt_hr(marked).withColumn("_type", F.explode(tags)).drop("on_time")
+    on_time = ", ".join(f"'{tag}'" for tag in on_time_tags)
+    tags = f"CASE WHEN on_time THEN array({on_time}) ELSE array('{late_tag}') END"
+    time = "event_time"
+    if "frame_error" in marked.columns:
+        tags = f"CASE WHEN frame_error IS NOT NULL THEN array('BAD_FRAME') ELSE {tags} END"
+        time = F.expr("CASE WHEN frame_error IS NOT NULL THEN kafka_timestamp ELSE event_time END")
+    return add_dt_hr(marked, time).withColumn("_type", F.explode(F.expr(tags))).drop("on_time", "frame_error")
 
 
 def union_aligned(frames: Iterable[DataFrame]) -> DataFrame:

@@ -27,7 +27,7 @@ FEED_TAGS = (
 class Layers:
     """Feeds with lag columns, `on_time` and (transactions) the score, plus both alert rules.
 
-    `feeds` carry `event_time`. `proc_time` names a replay clock; the default is the wall clock.
+    `feeds` carry `event_time`, and `frame_error` when they come from raw messages. `proc_time` names a replay clock; the default is the wall clock.
     Every layer is planned when it is first asked for.
     """
     feeds: Feeds
@@ -37,6 +37,11 @@ class Layers:
 
     def _marked(self, df: DataFrame) -> DataFrame:
         df = mark_on_time(df, self.settings.late_allowance, self.proc_time)
+        if "frame_error" in df.columns:
+            df = df.withColumns({
+                "on_time": F.expr("on_time AND frame_error IS NULL"),
+                "dlq_reason": F.coalesce("frame_error", "dlq_reason"),
+            })
         return df.drop(self.proc_time) if isinstance(self.proc_time, str) else df
 
     @cached_property
@@ -84,21 +89,18 @@ class Layers:
         return self.login_alerts.unionByName(self.activity_alerts, allowMissingColumns=True)
 
 
-def unify(layers: Layers, bad_frames: Sequence[DataFrame] = (),
-          only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
+def unify(layers: Layers, only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
     """Tagged union of the routes in `only` (default: all of them).
 
-    Each feed is scanned once for its bronze, silver and dead-letter routes, and once more per
-    alert rule that reads it. Leaving routes out leaves out their scans, so that the stateless
+    Each feed is scanned once for its bronze, silver and dead-letter routes (bad frames included),
+    and once more per alert rule that reads it. Leaving routes out leaves out their scans, so that the stateless
     layers and the alerts can run as two queries with a checkpoint each.
     """
     only = set(only)
     branches = []
     for name, on_time, late in FEED_TAGS:
-        if only & {late, *on_time}:
+        if only & {"BAD_FRAME", late, *on_time}:
             branches.append(tag_feed(getattr(layers, name), on_time, late))
     if "ALERT" in only:
         branches += [tagged(layers.login_alerts, "ALERT"), tagged(layers.activity_alerts, "ALERT")]
-    if "BAD_FRAME" in only:
-        branches += [tagged(frames, "BAD_FRAME", "kafka_timestamp") for frames in bad_frames]
     return union_aligned(branches).where(F.col("_type").isin(*sorted(only)))

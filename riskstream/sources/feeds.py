@@ -53,34 +53,46 @@ def _parsed(contract: Contract, body: str, avro_schema: str | None) -> Column:
     raise ValueError(f"unknown body format {body!r}")
 
 
-# No producer leaves the account out, so a message without one did not parse.
-PARSED = "account_id IS NOT NULL"
+def decode_marked(raw: DataFrame, contract: Contract, body: str = "avro",
+                  avro_schema: str | None = None) -> DataFrame:
+    """All messages of a topic in one pass: feed columns, what the raw row carried besides its
+    value, and `frame_error`, which is null for good messages. Bad ones keep `topic`, `value` and
+    `schema_id` for the dead letters.
+    """
+    extra = [c for c in raw.columns if c != "value"]
+    # As a one-row `inline` the parse happens once. A filter on a parsed column would otherwise be
+    # moved below the projection and parse every body a second time.
+    parsed = F.inline(F.array(F.when(usable_frame(), _parsed(contract, body, avro_schema))))
+    # No producer leaves the account out, so a message without one did not parse.
+    error = "coalesce(frame_error, CASE WHEN account_id IS NULL THEN 'undecodable body' END)"
+    decoded = frame_columns(raw).select(parsed, *extra, "value", "schema_id", "frame_error")
+    names = [f"`{name}`" for name in (*contract.schema.names, *extra)]
+    return decoded.selectExpr(*names, "value", "schema_id", f"{error} AS frame_error").selectExpr(
+        *names, "frame_error",
+        f"CASE WHEN frame_error IS NOT NULL THEN '{contract.name}' END AS topic",
+        "CASE WHEN frame_error IS NOT NULL THEN value END AS value",
+        "CASE WHEN frame_error IS NOT NULL THEN schema_id END AS schema_id")
 
 
 def decode_feed(raw: DataFrame, contract: Contract, body: str = "avro",
                 avro_schema: str | None = None) -> DataFrame:
-    """Framed messages -> feed columns, then whatever else the raw row carried besides its value."""
-    extra = [c for c in raw.columns if c != "value"]
-    # As a one-row `inline` the parse happens once: a filter is not moved below a generator, while
-    # below a projection it would parse every body a second time.
-    parsed = F.inline(F.array(_parsed(contract, body, avro_schema)))
-    return raw.where(usable_frame()).select(parsed, *extra).where(PARSED)
+    """The good messages as feed columns, then whatever else the raw row carried."""
+    marked = decode_marked(raw, contract, body, avro_schema)
+    return marked.where("frame_error IS NULL").drop("frame_error", "topic", "value", "schema_id")
 
 
 def bad_frames(raw: DataFrame, contract: Contract, body: str = "avro",
                avro_schema: str | None = None) -> DataFrame:
     """The complement of decode_feed: messages for the dead letters, with the reason."""
-    parsed = F.when(usable_frame(), _parsed(contract, body, avro_schema)["account_id"])
-    return (
-        frame_columns(raw).withColumn("account_id", parsed).where(f"NOT ({PARSED})")
-        .select(F.lit(contract.name).alias("topic"), "value", "kafka_timestamp", "schema_id",
-                F.coalesce("frame_error", F.lit("undecodable body")).alias("dlq_reason"))
-    )
+    marked = decode_marked(raw, contract, body, avro_schema)
+    return marked.where("frame_error IS NOT NULL").selectExpr(
+        "topic", "value", "kafka_timestamp", "schema_id", "frame_error AS dlq_reason")
 
 
 def ingest(raw: DataFrame, contract: Contract, body: str = "avro",
            avro_schema: str | None = None) -> DataFrame:
-    return raw.transform(decode_feed, contract, body, avro_schema).transform(add_event_time)
+    """Decoded messages, good and bad, with their event time."""
+    return raw.transform(decode_marked, contract, body, avro_schema).transform(add_event_time)
 
 
 def ingest_topic(spark: SparkSession, settings: Settings, topic: str, contract: Contract,

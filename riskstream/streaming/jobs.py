@@ -15,7 +15,7 @@ from riskstream.operators.scoring import score_transactions
 from riskstream.plans.layers import Layers, unify
 from riskstream.settings import Settings
 from riskstream.sources.events import Feeds
-from riskstream.sources.feeds import CONTRACTS, bad_frames, decode_feed, ingest
+from riskstream.sources.feeds import CONTRACTS, decode_feed, ingest
 from riskstream.sources.kafka import read_kafka
 from riskstream.streaming.router import dual_write_router, foreach_batch_router
 
@@ -59,10 +59,8 @@ def unified_stream(raw: Feeds, settings: Settings, body: str = "avro",
                    proc_time: Column | str | None = None, hot: Sequence[str] = (),
                    only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
     """Raw framed topics -> tagged union."""
-    named = list(zip(raw, CONTRACTS.values()))
-    feeds = Feeds(*(ingest(df, contract, body) for df, contract in named))
-    broken = [bad_frames(df, contract, body) for df, contract in named] if "BAD_FRAME" in set(only) else []
-    return unify(Layers(feeds, settings, proc_time, hot), broken, only)
+    feeds = Feeds(*(ingest(df, contract, body) for df, contract in zip(raw, CONTRACTS.values())))
+    return unify(Layers(feeds, settings, proc_time, hot), only)
 
 
 def kafka_topics(spark: SparkSession, settings: Settings) -> Feeds:
