@@ -46,6 +46,15 @@ def latest_by_key(rows: DataFrame, *latest_first: Column, key: str = "row_key")
     return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def serving_alerts(alerts: DataFrame, *extra: str) -> DataFrame:
+    """One serving row per key: the write of the latest micro-batch, and within one the activity
+    alert, which is put after the login alert."""
+    order = [name for name in ("emitted_at", "alert_type") if name in alerts.columns]
+    cells = alert_cells(alerts, *order, *extra)
+    latest_first = {"emitted_at": F.desc_nulls_last, "alert_type": F.asc}
+    return latest_by_key(cells, *[latest_first[name](name) for name in order]).drop(*order)
+
+
 def put_rows(rows: DataFrame, open_store: Callable[[], object], batch_size: int = 200) -> None:
     """Send rows to an external keyed store from the executors.
 

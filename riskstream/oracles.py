@@ -137,16 +137,16 @@ _QUERIES = {
     "activity_then_tx": _ACTIVITY_ALERT,
     "alerts_all": "SELECT * FROM alert",
     "unified_rows": _UNIFIED,
-    "unified_route_counts": _COUNTS,
-    "ingest_lag": """SELECT dt, hr, avg(source_to_kafka_lag_sec) AS avg_network_lag,
+    "route_counts": _COUNTS,
+    "ingest_lag_by_hour": """SELECT dt, hr, avg(source_to_kafka_lag_sec) AS avg_network_lag,
         avg(kafka_to_spark_lag_sec) AS avg_spark_lag FROM tx WHERE on_time GROUP BY dt, hr
         ORDER BY dt DESC, hr DESC""",
-    "heatmap": """SELECT tx_location, count(*) AS alert_count, sum(amount) AS value_at_risk
+    "fraud_heatmap": """SELECT tx_location, count(*) AS alert_count, sum(amount) AS value_at_risk
         FROM alert WHERE dt = DATE '2024-01-01' GROUP BY tx_location
         ORDER BY alert_count DESC, tx_location""",
-    "dead_letter_audit": """SELECT dt, count(*) AS late_count,
+    "dlq_audit": """SELECT dt, count(*) AS late_count,
         sum(amount) AS lost_realtime_visibility_amount FROM tx WHERE NOT on_time GROUP BY dt""",
-    "risk_accounts": _TOP,
+    "top_risk_accounts": _TOP,
     "top5_risk_accounts": _TOP + " LIMIT 5",
     "gold_location_risk": f"{_PLACES} FROM alert WHERE dt = DATE '2024-01-01' GROUP BY tx_location",
     "gold_daily_kpi": f"{_KPI} FROM tx WHERE on_time AND dt = DATE '2024-01-01'",

@@ -102,5 +102,8 @@ def unify(layers: Layers, only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
         if only & {"BAD_FRAME", late, *on_time}:
             branches.append(tag_feed(getattr(layers, name), on_time, late))
     if "ALERT" in only:
-        branches += [tagged(layers.login_alerts, "ALERT"), tagged(layers.activity_alerts, "ALERT")]
+        for alerts in (layers.login_alerts, layers.activity_alerts):
+            if alerts.isStreaming:
+                alerts = alerts.withColumn("emitted_at", F.current_timestamp())
+            branches.append(tagged(alerts, "ALERT"))
     return union_aligned(branches).where(F.col("_type").isin(*sorted(only)))

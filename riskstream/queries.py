@@ -15,17 +15,17 @@ from pyspark.sql.types import TimestampType
 from riskstream.functions.clock import add_dt_hr, add_event_time
 from riskstream.functions.frames import frame_columns, to_frame
 from riskstream.operators.interval_join import hot_keys
-from riskstream.operators.keyed import alert_cells, high_risk_cells, latest_by_key
+from riskstream.operators.keyed import high_risk_cells, latest_by_key, serving_alerts
 from riskstream.operators.lateness import split_late
-from riskstream.operators.routes import ROUTES, route_counts
+from riskstream.operators import routes
+from riskstream.operators.routes import ROUTES
 from riskstream.operators.sinks import write_layer
 from riskstream.plans.compaction import compact, compact_in_place, inventory
 from riskstream.plans.gold import daily_kpi, daily_kpi_by_flag, location_risk
 from riskstream.plans.hourly import run_hour
 from riskstream.plans.layers import Layers, unify
-from riskstream.plans.reports import (
-    dlq_audit, fraud_heatmap, ingest_lag_by_hour, rows, top_risk_accounts,
-)
+from riskstream.plans import reports
+from riskstream.plans.reports import rows
 from riskstream.plans.tables import create_tables, sync_partitions
 from riskstream.settings import Settings
 from riskstream.sources.events import EVENTS, Feeds, feeds_from_events
@@ -233,34 +233,34 @@ def unified_rows(lake: Lake) -> DataFrame:
 
 
 @query
-def unified_route_counts(lake: Lake) -> DataFrame:
-    return route_counts(unify(lake.layers()))
+def route_counts(lake: Lake) -> DataFrame:
+    return routes.route_counts(unify(lake.layers()))
 
 
 # --- reports and gold ----------------------------------------------------------------------------
 @query
-def ingest_lag(lake: Lake) -> DataFrame:
-    return ingest_lag_by_hour(lake.silver)
+def ingest_lag_by_hour(lake: Lake) -> DataFrame:
+    return reports.ingest_lag_by_hour(lake.silver)
 
 
 @query
-def heatmap(lake: Lake) -> DataFrame:
-    return fraud_heatmap(lake.alerts, DAY)
+def fraud_heatmap(lake: Lake) -> DataFrame:
+    return reports.fraud_heatmap(lake.alerts, DAY)
 
 
 @query
-def dead_letter_audit(lake: Lake) -> DataFrame:
-    return dlq_audit(add_dt_hr(Layers.late(lake.layers().transactions)))
+def dlq_audit(lake: Lake) -> DataFrame:
+    return reports.dlq_audit(add_dt_hr(Layers.late(lake.layers().transactions)))
 
 
 @query
-def risk_accounts(lake: Lake) -> DataFrame:
-    return top_risk_accounts(lake.alerts, DAY)
+def top_risk_accounts(lake: Lake) -> DataFrame:
+    return reports.top_risk_accounts(lake.alerts, DAY)
 
 
 @query
 def top5_risk_accounts(lake: Lake) -> DataFrame:
-    return top_risk_accounts(lake.alerts, DAY, limit=5)
+    return reports.top_risk_accounts(lake.alerts, DAY, limit=5)
 
 
 @query
@@ -331,8 +331,8 @@ def _hourly(lake: Lake) -> Lake:
     lake.write_in_batches("BRONZE_TX", bronze)
     lake.write("SILVER_TX", lake.silver)
     lake.write("ALERT", lake.alerts)
-    for _ in range(2):  # the second run must change nothing
-        run_hour(lake.spark, lake.settings, DAY, HOUR)
+    if not run_hour(lake.spark, lake.settings, DAY, HOUR):
+        raise RuntimeError(f"no transactions in hour {HOUR} of {DAY}")
     return lake
 
 
@@ -349,10 +349,8 @@ def hourly_gold_kpi(lake: Lake) -> DataFrame:
 # --- keyed serving -------------------------------------------------------------------------------
 @query
 def alerts_serving(lake: Lake) -> DataFrame:
-    cells = alert_cells(lake.layers().alerts, "alert_type", "amount")
-    latest = latest_by_key(cells, F.asc("alert_type"))
     # Doubles print differently from engine to engine: compare the number.
-    return latest.drop("alert_type", "tx_amount")
+    return serving_alerts(lake.layers().alerts, "amount").drop("tx_amount")
 
 
 @query
@@ -393,7 +391,7 @@ def stream_route_counts(lake: Lake) -> DataFrame:
     union = landed[0]
     for frame in landed[1:]:
         union = union.union(frame)
-    return route_counts(union)
+    return routes.route_counts(union)
 
 
 @query

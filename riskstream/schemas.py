@@ -41,6 +41,7 @@ ALERT = struct(
     risk_score=IntegerType, alert_type=StringType, reason=StringType, tx_location=StringType,
     login_location=StringType, ip_address=StringType, device_type=StringType, login_id=StringType,
     activity_type=StringType, old_value=StringType, new_value=StringType,
+    emitted_at=TimestampType,  # the micro-batch that raised it; null in alerts made from history
 )
 BAD_FRAME = struct(
     topic=StringType, value=BinaryType, kafka_timestamp=TimestampType, schema_id=LongType,

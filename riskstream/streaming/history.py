@@ -18,7 +18,7 @@ from riskstream.sources.files import stream_files
 from riskstream.streaming.jobs import start_router, stream_session, unified_stream
 
 REPLAYED = schemas.merge(schemas.RAW, StructType([StructField("proc_time", TimestampType())]))
-ROWS_PER_SLICE = 20_000_000
+ROWS_PER_CORE = 2_000_000
 
 
 def topic_streams(spark: SparkSession, topics: str, max_files_per_trigger: int = 0) -> Feeds:
@@ -45,15 +45,17 @@ def stage_slice(feeds: Feeds, topics: str, first: int, after: int) -> None:
     messages.write.mode("append").partitionBy("topic").parquet(topics)
 
 
-def time_slices(feeds: Feeds, at_least: int = 1, rows_per_slice: int = ROWS_PER_SLICE) -> list[tuple[int, int]]:
-    """Equal time ranges that cover all feeds, as many as the rows need. One small aggregate."""
+def time_slices(feeds: Feeds, at_least: int = 1) -> list[tuple[int, int]]:
+    """Equal time ranges that cover all feeds, each with about as many rows as the cluster's cores
+    take in one micro-batch. One small aggregate."""
     times = feeds.transactions.select("timestamp").union(feeds.logins.select("timestamp")).union(
         feeds.activity.select("timestamp"))
     first, last, rows = times.agg(
         F.min("timestamp"), F.max("timestamp"), F.count("timestamp")).first()
     if not rows:
         return []
-    count = max(at_least, ceil(rows / rows_per_slice))
+    cores = feeds.transactions.sparkSession.sparkContext.defaultParallelism
+    count = max(at_least, ceil(rows / (ROWS_PER_CORE * cores)))
     width = (last - first) // count + 1
     return [(first + i * width, first + (i + 1) * width) for i in range(count)]
 

@@ -55,6 +55,15 @@ def start_router(unified: DataFrame, settings: Settings, query: str = "risk_laye
     )
 
 
+def rows_dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows the joins of the recent micro-batches refused because they came behind the watermark.
+
+    Event time and lateness are different clocks: one event from the future moves the watermark
+    ahead, and on-time rows then miss the joins. Alert on a number above zero.
+    """
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def unified_stream(raw: Feeds, settings: Settings, body: str = "avro",
                    proc_time: Column | str | None = None, hot: Sequence[str] = (),
                    only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
@@ -134,11 +143,11 @@ def start_dual_write(scored: DataFrame, settings: Settings,
 
 
 def run_dual_write_stream(spark: SparkSession, settings: Settings, body: str = "avro",
-                          open_store: Callable[[], object] | None = None) -> StreamingQuery:
+                          open_store: Callable[[], object] | None = None) -> list[StreamingQuery]:
     """The single-topic job: no lateness, no joins; starts at the earliest offset.
 
     Its usual trigger is 10 seconds: Settings(root, trigger_interval="10 seconds").
     """
     raw = read_kafka(stream_session(spark, settings), settings.bootstrap, settings.topic_tx,
                      "earliest", fail_on_data_loss=True)
-    return start_dual_write(dual_write_stream(raw, settings, body), settings, open_store)
+    return [start_dual_write(dual_write_stream(raw, settings, body), settings, open_store)]

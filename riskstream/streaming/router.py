@@ -9,7 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from riskstream.operators.keyed import alert_cells, high_risk_cells, latest_by_key, put_rows
+from riskstream.operators.keyed import high_risk_cells, latest_by_key, put_rows, serving_alerts
 from riskstream.operators.routes import ROUTES, Route
 from riskstream.operators.sinks import write_micro_batch
 from riskstream.settings import Settings
@@ -47,9 +47,7 @@ def foreach_batch_router(settings: Settings, open_store: Callable[[], object] |
 
             in_parallel(batch, write, [tag for tag in ROUTES if counts.get(tag)])
             if open_store is not None and counts.get("ALERT"):
-                alerts = alert_cells(batch.where(F.col("_type") == "ALERT"), "alert_type")
-                # Both rules on one transaction share a key; the activity alert is the later write.
-                latest = latest_by_key(alerts, F.asc("alert_type")).drop("alert_type")
+                latest = serving_alerts(batch.where(F.col("_type") == "ALERT"))
                 put_rows(latest, open_store, settings.put_batch)
         finally:
             batch.unpersist()

@@ -61,7 +61,7 @@ def test_routes_partition_every_feed(lake):
 def test_unified_row_has_every_column_once(lake):
     unified = unify(lake.layers())
     expected = {f.name for tag, route in ROUTES.items() if tag != "BAD_FRAME" for f in route.schema.fields}
-    assert set(unified.columns) == expected | {"dt", "hr", "_type"}
+    assert set(unified.columns) == expected - {"emitted_at"} | {"dt", "hr", "_type"}
 
 
 def test_leaving_routes_out_leaves_out_their_rows(lake):
@@ -236,6 +236,44 @@ def test_tables_exist_and_follow_the_folders(lake, spark):
     assert spark.table(table).count() == lake.alerts.count()
 
 
+def test_layers_without_rows_can_be_synced(spark, lake):
+    create_tables(spark, lake.settings)
+    sync_partitions(spark, lake.settings)
+    lake.write("LATE_TX", add_dt_hr(Layers.late(lake.layers().transactions)))
+    assert lake.read("LATE_TX").count() == 13
+    assert all(spark.table(lake.settings.table(t)).isEmpty() for t in LAYER_TABLES if t != "dlq_transactions")
+
+
+def test_analyst_sql_runs_on_the_tables(spark, lake):
+    """The four reports and both gold loads typed as SQL give what the functions give."""
+    lake.write("BRONZE_TX", bronze_of(lake))
+    lake.write("SILVER_TX", lake.silver)
+    lake.write("ALERT", lake.alerts)
+    lake.write("LATE_TX", add_dt_hr(Layers.late(lake.layers().transactions)))
+    create_tables(spark, lake.settings)
+    sync_partitions(spark, lake.settings)
+
+    def sql(text):
+        return spark.sql(text.replace("@", lake.settings.database + "."))
+
+    day = f"dt = DATE'{DAY}'"
+    assert sql("SELECT dt, hr, avg(source_to_kafka_lag_sec) AS avg_network_lag, avg(kafka_to_spark_lag_sec) AS "
+               "avg_spark_lag FROM @bronze_transactions GROUP BY dt, hr ORDER BY dt DESC, hr DESC"
+               ).collect() == ingest_lag_by_hour(lake.silver).collect()
+    assert rows_of(sql(f"SELECT tx_location, count(*) AS alert_count, sum(amount) AS value_at_risk FROM "
+                       f"@silver_fraud_alerts WHERE {day} GROUP BY tx_location ORDER BY alert_count DESC")
+                   ) == rows_of(fraud_heatmap(lake.alerts, DAY))
+    assert rows_of(sql("SELECT dt, count(*) AS late_count, sum(amount) AS lost_realtime_visibility_amount "
+                       "FROM @dlq_transactions GROUP BY dt")
+                   ) == rows_of(dlq_audit(spark.table(lake.settings.table("dlq_transactions"))))
+    assert rows_of(sql(f"SELECT account_id, count(*) AS total_alerts, max(risk_score) AS peak_score FROM "
+                       f"@silver_fraud_alerts WHERE {day} GROUP BY account_id HAVING total_alerts > 2")
+                   ) == rows_of(top_risk_accounts(lake.alerts, DAY))
+    sql(f"INSERT OVERWRITE TABLE @gold_location_risk PARTITION ({day}) SELECT tx_location, count(*), "
+        f"sum(amount), avg(risk_score) FROM @silver_fraud_alerts WHERE {day} GROUP BY tx_location")
+    assert rows_of(sql("SELECT * EXCEPT (dt) FROM @gold_location_risk")) == rows_of(location_risk(lake.alerts, DAY))
+
+
 def test_gold_load_replaces_one_day(lake, spark):
     create_tables(spark, lake.settings)
     table = lake.settings.table("gold_daily_kpi_report")

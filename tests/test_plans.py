@@ -42,7 +42,7 @@ def test_event_type_filter_and_columns_reach_the_scan(spark):
     text = plan(REGISTRY["login_then_tx"](spark, SF))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in text
     assert "In(event_type, [error,purchase,view])" in text
-    kpi = plan(REGISTRY["ingest_lag"](spark, SF))
+    kpi = plan(REGISTRY["ingest_lag_by_hour"](spark, SF))
     assert "user_id" not in kpi and "value" not in kpi
 
 

@@ -1,22 +1,26 @@
 import json
 import os
+from dataclasses import replace
 from glob import glob
 
 import pytest
 from helpers import at, rows_of
 from pyspark.sql import functions as F
 
-from riskstream.operators.keyed import alert_cells, high_risk_cells, latest_by_key, put_rows
+from riskstream.__main__ import arguments, main
+from riskstream.operators.keyed import high_risk_cells, latest_by_key, put_rows, serving_alerts
 from riskstream.operators.routes import ROUTES, route_counts, tagged, union_aligned
 from riskstream.plans.layers import unify
 from riskstream.queries import Lake
+from riskstream.sources.events import Feeds
 from riskstream.sources.feeds import CONTRACTS
 from riskstream.sources.files import stream_files
 from riskstream.streaming.history import (
     REPLAYED, as_messages, replay, stage_slice, time_slices, topic_streams,
 )
+from riskstream.streaming import jobs
 from riskstream.streaming.jobs import (
-    dual_write_stream, pinned_hot_accounts, start_dual_write, start_router, stream_session, unified_stream,
+    dual_write_stream, pinned_hot_accounts, rows_dropped_by_watermark, start_dual_write, start_router, stream_session, unified_stream,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -77,7 +81,7 @@ def test_stream_equals_batch_over_restarts(lake, tmp_path):
     assert rows_of(lake.read("SILVER_TX"), *silver) == rows_of(lake.silver, *silver)
 
     _, puts = stored(tmp_path / "store")
-    served = latest_by_key(alert_cells(lake.layers().alerts, "alert_type"), F.asc("alert_type"))
+    served = serving_alerts(lake.layers().alerts)
     assert {r["row_key"]: r["al_type"] for r in puts} == {r.row_key: r.al_type for r in served.collect()}
 
 
@@ -178,7 +182,7 @@ def test_row_behind_the_watermark_is_counted_not_silently_lost(lake, spark, tmp_
         query = alerts.writeStream.foreachBatch(lambda df, n: found.append(df.count())).option(
             "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
         query.awaitTermination()
-        dropped += sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+        dropped += rows_dropped_by_watermark(query)
     assert sum(found) == 2 and dropped == 2
 
 
@@ -244,3 +248,64 @@ def test_callers_session_is_left_alone(spark, lake):
     assert "RocksDB" in session.conf.get("spark.sql.streaming.stateStore.providerClass")
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_latest_batch_wins_over_rule_order(spark):
+    alerts = spark.createDataFrame(
+        [("ACC-1", at(0), "TX-1", "ACTIVITY_THEN_TX", at(10)), ("ACC-1", at(0), "TX-1", "LOGIN_THEN_TX", at(20)),
+         ("ACC-2", at(0), "TX-2", "LOGIN_THEN_TX", at(20)), ("ACC-2", at(0), "TX-2", "ACTIVITY_THEN_TX", at(20)),
+         ("ACC-3", at(0), "TX-3", "LOGIN_THEN_TX", None), ("ACC-3", at(0), "TX-3", "ACTIVITY_THEN_TX", None)],
+        "account_id string, event_time timestamp, transaction_id string, alert_type string, emitted_at timestamp",
+    ).withColumns({"reason": F.lit("r"), "amount": F.lit(1.5), "risk_score": F.lit(30)})
+    assert rows_of(serving_alerts(alerts), "tx_id", "al_type", "tx_amount", "tx_risk") == [
+        ("TX-1", "LOGIN_THEN_TX", "1.5", "30"), ("TX-2", "ACTIVITY_THEN_TX", "1.5", "30"),
+        ("TX-3", "ACTIVITY_THEN_TX", "1.5", "30")]
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_jobs_run_until_stopped(lake, spark, monkeypatch, split):
+    """The job entry points, with staged files in place of the topics."""
+    settings = replace(lake.settings, trigger_interval="1 second")
+    topics = settings.layer("_staging/topics")
+    # The wall clock makes all history late, so everything must land in the dead letters.
+    feeds = Feeds(*(feed.limit(50) for feed in lake.decoded))
+    stage_slice(feeds, topics, 0, 2**60)
+    monkeypatch.setattr(jobs, "kafka_topics", lambda session, _: Feeds(
+        *(raw.drop("proc_time") for raw in topic_streams(session, topics))))
+    queries = jobs.run_stream(spark, settings, "json", split=split)
+    try:
+        assert len(queries) == (2 if split else 1)
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    assert landed(lake) == {"LATE_TX": 50, "LATE_LOGIN": 50, "LATE_ACTIVITY": 50}
+
+
+def test_single_topic_job_runs_until_stopped(lake, spark, monkeypatch):
+    settings = replace(lake.settings, trigger_interval="1 second")
+    topics = settings.layer("_staging/topics")
+    stage_slice(lake.decoded, topics, 0, 2**60)
+    monkeypatch.setattr(jobs, "read_kafka", lambda session, *a, **k: topic_streams(session, topics).transactions.drop("proc_time"))
+    [query] = jobs.run_dual_write_stream(spark, settings, "json")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(settings.layer("transactions")).count() == lake.decoded.transactions.count()
+
+
+def test_command_line(lake, spark):
+    root = lake.settings.root
+    lake.write("BRONZE_TX", lake.silver.drop("risk_score", "is_high_risk"))
+    lake.write("ALERT", lake.alerts)
+    run = lambda *argv: main(spark, arguments(["--root", root, "--database", lake.settings.database, *argv]))
+    assert run("hour", "2024-01-01", "7") == 0
+    assert run("hour", "2023-01-01", "7") == 1
+    assert run("compact", "2024-01-01", "8") == 0
+    assert run("compact", "2024-01-01", "8", "--in-place", "ALERT") == 0
+    assert run("tables") == 0
+    tables = spark.table(lake.settings.table("silver_transactions"))
+    assert {r.hr for r in tables.select("hr").distinct().collect()} == {7, 8}
+    assert arguments(["--root", "r", "dual-write", "--bootstrap", "b:1"]).trigger == "10 seconds"
