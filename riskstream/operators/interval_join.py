@@ -13,26 +13,24 @@ CELL, PART = "_cell", "_part"
 
 def interval_join(events: DataFrame, triggers: DataFrame, key: str, window: str, *,
                   time: str = "event_time", watermark: str | None = None,
-                  cells: bool | None = None, hot: Sequence[str] = (), hot_parts: int = 16,
+                  cells: bool = True, hot: Sequence[str] = (), hot_parts: int = 16,
                   spread_by: str | None = None) -> DataFrame:
     """Pairs with `trigger.time <= event.time <= trigger.time + window`, both ends included.
 
     The result keeps both sides under the aliases `e` and `g`; a pair appears exactly once.
 
-    cells      Batch default. Time is cut into cells as wide as the window. An event lies in one
-               cell and a trigger's window touches two, so joining on (key, cell) meets every pair
-               once, compares an event with two windows' worth of triggers instead of the key's
-               whole history, and spreads a key that holds much of the data over all its cells.
-               What is left of skew (a burst inside one cell) is an equi-join partition that
-               Spark's adaptive skew handling can split, because the join is inner.
+    cells      Time is cut into cells as wide as the window. An event lies in one cell and a
+               trigger's window touches two, so joining on (key, cell) meets every pair once,
+               compares an event with two windows' worth of triggers instead of the key's whole
+               history, and spreads a key that holds much of the data over all its cells. What is
+               left of skew (a burst inside one cell) is an equi-join partition that adaptive skew
+               handling can split, because the join is inner. In a stream the second copy of each
+               trigger is the price for the same gains; the copies of events are never needed.
     watermark  Streaming: both sides are watermarked and Spark derives the state bound from the
-               time range. Cells default to off there, as two copies of a trigger double its state.
+               time range, which stays part of the condition.
     hot        Keys known to hold a large share of the events. Their events are split by a hash of
                `spread_by` into `hot_parts` parts and only their triggers are copied to each part.
     """
-    streaming = events.isStreaming or triggers.isStreaming
-    if cells is None:
-        cells = not streaming
     if watermark is not None:
         events = events.withWatermark(time, watermark)
         triggers = triggers.withWatermark(time, watermark)

@@ -58,7 +58,7 @@ def start_router(unified: DataFrame, settings: Settings, query: str = "risk_laye
 def rows_dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows the joins of the recent micro-batches refused because they came behind the watermark.
 
-    Event time and lateness are different clocks: one event from the future moves the watermark
+    A trigger counts once per copy. Event time and lateness are different clocks: one event from the future moves the watermark
     ahead, and on-time rows then miss the joins. Alert on a number above zero.
     """
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
