@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import ceil
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from riskstream.operators.routes import ROUTES, Route
 from riskstream.operators.scoring import score_transactions
-from riskstream.operators.sinks import COMPACTED, replace_folder
+from riskstream.operators.sinks import COMPACTED, LEVELS, replace_folder
 from riskstream.schemas import conform
 from riskstream.settings import Settings
 from riskstream.sources.files import read_hours
@@ -72,19 +74,38 @@ def compact(spark: SparkSession, settings: Settings, dt: str, hr: int | None = N
 
 def compact_in_place(spark: SparkSession, settings: Settings, tag: str, dt: str,
                      hr: int | None = None) -> None:
-    """Compact a layer into itself through a staged copy, which stays until the next run.
+    """Compact an hour (or a day) that has closed into itself, through a staged copy.
 
-    The folder is replaced only after the copy is complete; if replacing it fails, the copy under
-    `_staging` holds every row.
+    A marker says that the copy is complete and the folder is being replaced. A run that finds the
+    marker of one that broke off takes the copy as the truth and not the half-replaced folder.
     """
     route = ROUTES[tag]
     layer = settings.layer(route.layer)
-    scanned = read_hours(spark, layer, route.stored, dt, hr)
     folder, levels = _folder(layer, dt, hr)
     staged, _ = _folder(settings.layer(f"_staging/{route.layer}"), dt, hr)
-    rows, pack = _leaf(scanned, route, levels), _packing(scanned, levels, settings.file_bytes)
-    replace_folder(pack(rows), staged, levels)
-    replace_folder(pack(spark.read.schema(rows.schema).parquet(staged)), folder, levels)
+    marker = settings.layer(f"_staging/pending/{tag}-{dt}-{'day' if hr is None else int(hr)}")
+    if not _is_pending(spark, marker):
+        scanned = read_hours(spark, layer, route.stored, dt, hr)
+        rows = _leaf(scanned, route, levels)
+        replace_folder(_packing(scanned, levels, settings.file_bytes)(rows), staged, levels)
+        _set_pending(spark, marker, True)
+    schema = StructType([f for f in route.stored.fields if f.name in levels or f.name not in LEVELS])
+    copy = spark.read.schema(schema).parquet(staged)
+    replace_folder(_packing(copy, levels, settings.file_bytes)(copy), folder, levels)
+    _set_pending(spark, marker, False)
+
+
+def _is_pending(spark: SparkSession, marker: str) -> bool:
+    try:
+        return not spark.read.schema("pending boolean").json(marker).where("pending").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def _set_pending(spark: SparkSession, marker: str, pending: bool) -> None:
+    spark.range(1).select(F.lit(pending).alias("pending")).coalesce(1).write.mode("overwrite").json(marker)
 
 
 def _leaf(rows: DataFrame, route: Route, levels: tuple[str, ...]) -> DataFrame:

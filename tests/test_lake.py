@@ -9,6 +9,7 @@ from riskstream import schemas
 from riskstream.functions.clock import add_dt_hr
 from riskstream.operators.routes import ROUTES, route_counts, union_aligned
 from riskstream.operators.sinks import write_layer, write_micro_batch
+from riskstream.plans import compaction
 from riskstream.plans.compaction import compact, compact_in_place, inventory
 from riskstream.plans.gold import daily_kpi, daily_kpi_by_flag, location_risk, overwrite_day
 from riskstream.plans.hourly import hour_ready, run_hour
@@ -216,6 +217,28 @@ def test_in_place_compaction_keeps_the_rows(lake, spark, hr):
     assert len(files(folder)) < many
 
 
+def test_in_place_compaction_recovers_a_half_replaced_folder(lake, spark, monkeypatch):
+    lake.write_in_batches("BRONZE_TX", bronze_of(lake))
+    before = rows_of(lake.read("BRONZE_TX"), "transaction_id", "dt", "hr")
+    folder = lake.settings.layer(f"bronze/transactions/dt={DAY}/hr={HOUR}")
+    replace = compaction.replace_folder
+
+    def break_off(rows, target, levels):
+        if target != folder:
+            return replace(rows, target, levels)
+        replace(rows.limit(1), target, levels)  # what is left when the driver dies in the commit
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(compaction, "replace_folder", break_off)
+    with pytest.raises(RuntimeError):
+        compact_in_place(spark, lake.settings, "BRONZE_TX", DAY, HOUR)
+    assert lake.read("BRONZE_TX").count() < len(before)
+    monkeypatch.undo()
+    for _ in range(2):
+        compact_in_place(spark, lake.settings, "BRONZE_TX", DAY, HOUR)
+        assert rows_of(lake.read("BRONZE_TX"), "transaction_id", "dt", "hr") == before
+
+
 def test_compacting_a_layer_onto_itself_is_refused(lake, spark):
     with pytest.raises(ValueError):
         compact(spark, lake.settings, DAY, HOUR, "ALERT", "ALERT")

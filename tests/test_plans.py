@@ -1,5 +1,7 @@
 """The plans Catalyst makes of the queries."""
 
+from datetime import datetime, timezone
+
 import pytest
 from helpers import at, logins, scored_tx
 
@@ -9,6 +11,7 @@ from riskstream.queries import REGISTRY, Lake
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
+START_OF_DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
 def plan(df):
@@ -83,3 +86,38 @@ def test_hot_list_becomes_a_literal_set(spark, no_broadcast):
     text = plan(REGISTRY["login_then_tx_hot_accounts"](spark, SF))
     exchanges = [line for line in text.splitlines() if "hashpartitioning(" in line]
     assert all("_part" in line for line in exchanges) and len(exchanges) == 2
+
+
+def test_burst_in_one_cell_is_split_at_run_time(spark, no_broadcast, tmp_path):
+    """A third of all rows in one account and minute: adaptive skew handling cuts the partition."""
+    n = 60_000
+    rows = spark.range(n).select(
+        F.sha2(F.col("id").cast("string"), 512).alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 5000)).alias("account_id"),
+        F.when(F.col("id") % 3 == 0, F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 60))
+        .otherwise(F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 90_000)).alias("event_time"),
+        F.lit("Paris").alias("location"), F.lit(1.0).alias("amount"), F.lit(50).alias("risk_score"),
+    )
+    rows.repartition(8).write.parquet(str(tmp_path / "tx"))
+    tx = spark.read.parquet(str(tmp_path / "tx"))
+    log = logins(spark, [("l", "hot", at(0, START_OF_DAY), "Rome"), ("m", "hot", at(30, START_OF_DAY), "Oslo")])
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        alerts = login_then_tx(tx, log)
+        found = alerts.groupBy("login_id").agg(F.count("*"), F.max("transaction_id"))
+        counts = {row[0]: row[1] for row in found.collect()}
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "skew=true" in text
+    hot = tx.where("account_id = 'hot'")
+    assert counts == {"l": hot.count(), "m": hot.where("second(event_time) >= 30").count()}
