@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import ceil
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -14,7 +13,7 @@ from riskstream.operators.scoring import score_transactions
 from riskstream.operators.sinks import COMPACTED, LEVELS, replace_folder
 from riskstream.schemas import conform
 from riskstream.settings import Settings
-from riskstream.sources.files import read_hours
+from riskstream.sources.files import folder_exists, read_hours
 
 
 def inventory(layer: DataFrame) -> DataFrame:
@@ -96,12 +95,8 @@ def compact_in_place(spark: SparkSession, settings: Settings, tag: str, dt: str,
 
 
 def _is_pending(spark: SparkSession, marker: str) -> bool:
-    try:
-        return not spark.read.schema("pending boolean").json(marker).where("pending").isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    return folder_exists(spark, marker) and not spark.read.schema("pending boolean").json(
+        marker).where("pending").isEmpty()
 
 
 def _set_pending(spark: SparkSession, marker: str, pending: bool) -> None:

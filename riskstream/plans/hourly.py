@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from riskstream.operators.routes import ROUTES
@@ -12,7 +11,7 @@ from riskstream.plans.compaction import compact
 from riskstream.plans.gold import load_gold
 from riskstream.plans.tables import create_tables, sync_partitions
 from riskstream.settings import Settings, seconds
-from riskstream.sources.files import read_hours
+from riskstream.sources.files import folder_exists, read_hours
 
 
 def hour_ready(spark: SparkSession, settings: Settings, dt: str, hr: int,
@@ -27,13 +26,10 @@ def hour_ready(spark: SparkSession, settings: Settings, dt: str, hr: int,
     if now < end + timedelta(seconds=seconds(settings.late_allowance)):
         return False
     route = ROUTES["BRONZE_TX"]
-    try:
-        hour = read_hours(spark, settings.layer(route.layer), route.stored, dt, hr)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return not hour.isEmpty()
+    layer = settings.layer(route.layer)
+    if not folder_exists(spark, f"{layer}/dt={dt}/hr={int(hr)}"):
+        return False
+    return not read_hours(spark, layer, route.stored, dt, hr).isEmpty()
 
 
 def run_hour(spark: SparkSession, settings: Settings, dt: str, hr: int,

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from riskstream import schemas
 from riskstream.operators.routes import ROUTES
 from riskstream.settings import Settings
+from riskstream.sources.files import make_folder
 
 LAYER_TABLES = {
     "bronze_transactions": "BRONZE_TX",
@@ -32,12 +33,8 @@ def create_tables(spark: SparkSession, settings: Settings) -> None:
                   f"LOCATION '{settings.layer('gold')}'")
     for table, tag in LAYER_TABLES.items():
         route = ROUTES[tag]
-        if spark.catalog.tableExists(settings.table(table)):
-            continue
-        # A sync needs the folder, and a layer without rows so far has none. Writing no rows makes
-        # it without touching what another job may have put there.
-        spark.createDataFrame([], route.stored).write.mode("append").partitionBy(
-            *schemas.PARTITIONS.names).parquet(settings.layer(route.layer))
+        # A sync needs the folder, and a layer without rows so far has none.
+        make_folder(spark, settings.layer(route.layer))
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {settings.table(table)} ({schemas.ddl(route.stored)}) "
             f"USING parquet PARTITIONED BY (dt, hr, batch_id) "

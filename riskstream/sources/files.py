@@ -1,4 +1,4 @@
-"""Parquet sources: a directory as a stream, and pruned scans of a lake layer."""
+"""Parquet sources: a directory as a stream, and pruned scans of a lake layer; folder checks."""
 
 from __future__ import annotations
 
@@ -14,6 +14,22 @@ def stream_files(spark: SparkSession, path: str, schema: StructType,
     return reader.parquet(path)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """One metadata call to the file system; reading the folder would list everything in it."""
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.mkdirs(folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def read_hours(spark: SparkSession, layer: str, schema: StructType, dt: str | None = None,
                hr: int | None = None) -> DataFrame:
     """Scan a layer, one day or one hour of it; `dt` and `hr` stay columns and prune directories.

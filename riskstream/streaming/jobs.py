@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +15,7 @@ from riskstream.plans.layers import Layers, unify
 from riskstream.settings import Settings
 from riskstream.sources.events import Feeds
 from riskstream.sources.feeds import CONTRACTS, decode_feed, ingest
+from riskstream.sources.files import folder_exists
 from riskstream.sources.kafka import read_kafka
 from riskstream.streaming.router import dual_write_router, foreach_batch_router
 
@@ -107,20 +107,15 @@ def pinned_hot_accounts(spark: SparkSession, settings: Settings) -> list[str]:
     start from new checkpoints.
     """
     pinned = settings.checkpoint("hot_accounts")
-    try:
+    if folder_exists(spark, f"{pinned}/_SUCCESS"):
         return sorted(row[0] for row in spark.read.schema("account_id string").json(pinned).collect())
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
     route = ROUTES["BRONZE_TX"]
-    try:
+    found = []
+    if folder_exists(spark, settings.layer(route.layer)):
         bronze = spark.read.schema(route.stored).parquet(settings.layer(route.layer))
         found = hot_keys(bronze, "account_id", settings.hot_share)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        found = []
-    spark.createDataFrame([(key,) for key in found], "account_id string").coalesce(1).write.json(pinned)
+    spark.createDataFrame([(key,) for key in found], "account_id string").coalesce(1).write.mode(
+        "overwrite").json(pinned)
     return found
 
 
