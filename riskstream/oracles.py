@@ -171,6 +171,13 @@ _QUERIES = {
               FROM (SELECT *, account_id || '_' || CAST(epoch_us(event_time) // 1000 AS VARCHAR)
                               || '_' || transaction_id AS row_key FROM alert))
         WHERE rn = 1""",
+    "serving_table": """SELECT row_key, alert_type AS al_type, reason AS al_reason,
+          transaction_id AS tx_id, CAST(risk_score AS VARCHAR) AS tx_risk, dt
+        FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY alert_type) AS rn
+              FROM (SELECT *, account_id || '_' || CAST(epoch_us(event_time) // 1000 AS VARCHAR)
+                              || '_' || transaction_id AS row_key FROM alert
+                    WHERE dt = DATE '2024-01-01'))
+        WHERE rn = 1""",
     "high_risk_serving": """SELECT row_key, transaction_id, amount,
           CAST(risk_score AS VARCHAR) AS tx_risk_score, location AS tx_location,
           'true' AS tx_is_high_risk

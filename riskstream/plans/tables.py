@@ -20,14 +20,16 @@ LAYER_TABLES = {
     "dlq_activity": "LATE_ACTIVITY",
     "dlq_frames": "BAD_FRAME",
 }
-GOLD_TABLES = {
+DAILY_TABLES = {
     "gold_location_risk": schemas.GOLD_LOCATION_RISK,
     "gold_daily_kpi_report": schemas.GOLD_DAILY_KPI,
+    "serving_alerts": schemas.SERVING_ALERTS,
+    "serving_high_risk": schemas.SERVING_HIGH_RISK,
 }
 
 
 def create_tables(spark: SparkSession, settings: Settings) -> None:
-    """External tables over the streamed layers, managed tables for gold. Safe to repeat."""
+    """External tables over the streamed layers, managed daily tables for gold and serving. Safe to repeat."""
     if settings.database != "default":
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database} "
                   f"LOCATION '{settings.layer('gold')}'")
@@ -39,7 +41,7 @@ def create_tables(spark: SparkSession, settings: Settings) -> None:
             f"CREATE TABLE IF NOT EXISTS {settings.table(table)} ({schemas.ddl(route.stored)}) "
             f"USING parquet PARTITIONED BY (dt, hr, batch_id) "
             f"LOCATION '{settings.layer(route.layer)}'")
-    for table, schema in GOLD_TABLES.items():
+    for table, schema in DAILY_TABLES.items():
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {settings.table(table)} ({schemas.ddl(schema)}, dt DATE) "
             f"USING parquet PARTITIONED BY (dt)")

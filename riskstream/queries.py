@@ -15,7 +15,7 @@ from pyspark.sql.types import TimestampType
 from riskstream.functions.clock import add_dt_hr, add_event_time
 from riskstream.functions.frames import frame_columns, to_frame
 from riskstream.operators.interval_join import hot_keys
-from riskstream.operators.keyed import high_risk_cells, latest_by_key, serving_alerts
+from riskstream.operators.keyed import serving_alerts
 from riskstream.operators.lateness import split_late
 from riskstream.operators import routes
 from riskstream.operators.routes import ROUTES
@@ -26,6 +26,7 @@ from riskstream.plans.hourly import run_hour
 from riskstream.plans.layers import Layers, unify
 from riskstream.plans import reports
 from riskstream.plans.reports import rows
+from riskstream.plans.serving import load_serving, serving_high_risk
 from riskstream.plans.tables import create_tables, sync_partitions
 from riskstream.settings import Settings
 from riskstream.sources.events import EVENTS, Feeds, feeds_from_events
@@ -355,10 +356,19 @@ def alerts_serving(lake: Lake) -> DataFrame:
 
 @query
 def high_risk_serving(lake: Lake) -> DataFrame:
-    cells = high_risk_cells(lake.layers().silver, "transaction_id", "amount",
-                            proc_ts=F.col("spark_proc_time"))
-    latest = latest_by_key(cells, F.desc("transaction_id"))
-    return latest.drop("tx_amount", "tx_proc_ts")
+    scored = lake.layers().silver
+    return serving_high_risk(scored, "transaction_id", "amount").drop("tx_amount", "tx_proc_ts")
+
+
+@query
+def serving_table(lake: Lake) -> DataFrame:
+    """A day of alerts loaded into the serving table."""
+    lake.write("ALERT", lake.alerts)
+    lake.write("SILVER_TX", lake.silver)
+    create_tables(lake.spark, lake.settings)
+    sync_partitions(lake.spark, lake.settings, "silver_fraud_alerts", "silver_transactions")
+    load_serving(lake.spark, lake.settings, DAY)
+    return lake.spark.table(lake.settings.table("serving_alerts")).drop("tx_amount")
 
 
 # --- streaming -----------------------------------------------------------------------------------

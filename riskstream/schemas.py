@@ -63,6 +63,15 @@ GOLD_DAILY_KPI = struct(
     high_risk_volume=DoubleType,
 )
 
+SERVING_ALERTS = struct(
+    row_key=StringType, al_type=StringType, al_reason=StringType, tx_id=StringType,
+    tx_amount=StringType, tx_risk=StringType,
+)
+SERVING_HIGH_RISK = struct(
+    row_key=StringType, tx_amount=StringType, tx_risk_score=StringType, tx_location=StringType,
+    tx_is_high_risk=StringType, tx_proc_ts=StringType,
+)
+
 
 def merge(*parts: StructType) -> StructType:
     return StructType([field for part in parts for field in part.fields])

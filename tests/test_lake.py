@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskstream import schemas
 from riskstream.functions.clock import add_dt_hr
+from riskstream.operators.keyed import serving_alerts
 from riskstream.operators.routes import ROUTES, route_counts, union_aligned
 from riskstream.operators.sinks import write_layer, write_micro_batch
 from riskstream.plans import compaction
@@ -17,6 +18,7 @@ from riskstream.plans.layers import Layers, unify
 from riskstream.plans.reports import (
     dlq_audit, fraud_heatmap, ingest_lag_by_hour, top_risk_accounts,
 )
+from riskstream.plans.serving import load_serving, serving_high_risk
 from riskstream.plans.tables import LAYER_TABLES, create_tables, sync_partitions
 from riskstream.queries import DAY, HOUR, Lake
 from riskstream.settings import Settings
@@ -297,6 +299,20 @@ def test_analyst_sql_runs_on_the_tables(spark, lake):
     assert rows_of(sql("SELECT * EXCEPT (dt) FROM @gold_location_risk")) == rows_of(location_risk(lake.alerts, DAY))
 
 
+def test_serving_tables_hold_one_row_per_key(lake, spark):
+    lake.write("ALERT", lake.alerts)
+    lake.write("SILVER_TX", lake.silver)
+    create_tables(spark, lake.settings)
+    sync_partitions(spark, lake.settings)
+    for day in (DAY, "2024-01-02", DAY):
+        load_serving(spark, lake.settings, day)
+    alerts = spark.table(lake.settings.table("serving_alerts")).drop("dt")
+    assert rows_of(alerts) == rows_of(serving_alerts(lake.alerts))
+    assert alerts.count() == alerts.select("row_key").distinct().count() < lake.alerts.count()
+    high = spark.table(lake.settings.table("serving_high_risk")).drop("dt")
+    assert rows_of(high) == rows_of(serving_high_risk(lake.silver))
+
+
 def test_gold_load_replaces_one_day(lake, spark):
     create_tables(spark, lake.settings)
     table = lake.settings.table("gold_daily_kpi_report")

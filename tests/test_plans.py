@@ -29,7 +29,7 @@ def no_broadcast(spark):
 
 STREAMED = [n for n in REGISTRY if n.startswith("stream_")]
 WRITING = ["layer_roundtrip", "compacted_hour", "compacted_day", "partition_inventory",
-           "synced_table_counts", "hourly_gold_location", "hourly_gold_kpi"]
+           "synced_table_counts", "hourly_gold_location", "hourly_gold_kpi", "serving_table"]
 
 
 @pytest.mark.parametrize("name", [n for n in REGISTRY if n not in STREAMED + WRITING])
@@ -121,3 +121,14 @@ def test_burst_in_one_cell_is_split_at_run_time(spark, no_broadcast, tmp_path):
     assert "skew=true" in text
     hot = tx.where("account_id = 'hot'")
     assert counts == {"l": hot.count(), "m": hot.where("second(event_time) >= 30").count()}
+
+
+def test_a_message_body_is_parsed_once(spark):
+    text = REGISTRY["frame_decode"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json(") == 1
+
+
+def test_batch_writes_are_rebalanced_by_hour(spark):
+    lake = Lake(spark, SF)
+    text = plan(lake.silver.hint("rebalance", F.col("dt"), F.col("hr")))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
