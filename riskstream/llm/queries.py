@@ -8,16 +8,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskstream.llm import decontaminate
+from riskstream.llm.chat import formatted, read_back
 from riskstream.llm.common import hash_part, read_table
 from riskstream.llm.decontaminate import benchmark_hits
 from riskstream.llm.language import identify, learn_languages
 from riskstream.llm.packing import packed_documents
+from riskstream.llm.pii import personal_data, span_report
 from riskstream.llm.repeats import without_repeats
 from riskstream.llm.simhash import near_components
+from riskstream.llm.warc import read_archives, write_archives
+from riskstream.workspace import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
+    read = read_back(formatted(rows.union(own)))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("loss_texts", "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "archives")
+    archives = write_archives(read_table(spark, sf_dir, "pages"), folder)
+    return read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), learn_languages(docs))
@@ -31,6 +54,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = span_report(personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return report.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_components(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -52,8 +81,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
+    "op2_warc": op2_warc,
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
