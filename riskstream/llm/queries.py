@@ -15,6 +15,7 @@ from riskstream.llm.language import identify, learn_languages
 from riskstream.llm.packing import packed_documents
 from riskstream.llm.pii import personal_data, span_report
 from riskstream.llm.repeats import without_repeats
+from riskstream.llm.sampling import compared_with_next
 from riskstream.llm.simhash import near_components
 from riskstream.llm.warc import read_archives, write_archives
 from riskstream.workspace import shared_folder
@@ -65,6 +66,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document that loses something: what is left, and the spans that go, as start:end:kept_doc_id."""
     found = without_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
+    "op8_weighted_sampling": op8_weighted_sampling,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
