@@ -12,6 +12,7 @@ from riskstream.llm.chat import formatted, read_back
 from riskstream.llm.common import hash_part, read_table
 from riskstream.llm.decontaminate import benchmark_hits
 from riskstream.llm.language import identify, learn_languages
+from riskstream.llm.lm import scored
 from riskstream.llm.packing import packed_documents
 from riskstream.llm.pii import personal_data, span_report
 from riskstream.llm.repeats import without_repeats
@@ -42,6 +43,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(read_table(spark, sf_dir, "documents"), RANKS)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), learn_languages(docs))
@@ -88,6 +93,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_warc": op2_warc,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_pii": op6_pii,
