@@ -41,4 +41,5 @@ def _to_smallest(edges: DataFrame) -> DataFrame:
     edges = edges.toDF("u", "v")
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     least = least.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return edges.withColumn("part", F.pmod(F.hash("v"), F.lit(SALTS))).join(least, ["u", "part"])
+    # Merged: an estimate of the copies from file sizes would be far too small for a broadcast.
+    return edges.withColumn("part", F.pmod(F.hash("v"), F.lit(SALTS))).join(least.hint("merge"), ["u", "part"])
