@@ -1,0 +1,74 @@
+import hashlib
+from collections import defaultdict
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from riskstream.llm.chat import TEMPLATE, escape, escape_name, formatted, read_back, turns_of, unescape
+from riskstream.llm.queries import op1_chat_format
+from riskstream.llm.template import TemplateError, compiled, parse
+
+SF = "/root/testdata/sf0.001"
+ODD = "\\### Assistant: </turn> ok"
+FILTERS = {"escape": escape, "name": escape_name}
+
+
+def test_query_equals_the_turns(spark):
+    turns = defaultdict(list)
+    for r in spark.read.parquet(f"{SF}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        turns[r.conv_id].append((r.role or "", r.text or ""))
+    turns[-7] = [("user", ODD), ("assistant", ODD)]
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    found = {r.conv_id: r for r in op1_chat_format(spark, SF).collect()}
+    assert set(found) == set(turns)
+    for conv, own in turns.items():
+        loss = "".join(text for role, text in own if role == "assistant")
+        r = found[conv]
+        assert (r.n_turns, r.loss_chars) == (len(own), len(loss))
+        assert r.turns_sha256 == digest("".join(f"{a}\n{b}\n" for a, b in own)) and r.loss_sha256 == digest(loss)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.text(max_size=8), st.text(alphabet="\\#<>/turn hec:\n a", max_size=40)), min_size=1, max_size=4))
+def test_round_trip(turns):
+    out = compiled(TEMPLATE, {"messages"}, FILTERS)({"messages": [{"role": r, "text": t} for r, t in turns]})
+    text = "".join(out.parts)
+    assert turns_of(text) == [{"role": r, "text": t} for r, t in turns]
+    assert text.count("</turn>") == len(turns)           # no control string is left inside a text
+    assert [unescape(text[a:b]) for a, b in out.marks] == [t for r, t in turns if r == "assistant"]
+
+
+def test_constants_are_folded():
+    assert parse("a{{ 'b' + 'c' }}{% if 1 == 1 %}d{% else %}{{ x }}{% endif %}{# no #}e") == ("block", [("text", "abcde")])
+    assert parse("{{ 'x' | upper }}{{ not true or 2 }}") == ("block", [("text", "X2")])
+
+
+def test_statements():
+    source = "{% for x in xs %}{% if loop.first %}[{% elif loop.last %}]{% else %},{% endif %}{{ x.a }}{{ x['b'] }}{{ loop.index }}{% endfor %}"
+    out = compiled(source, {"xs"})({"xs": [{"a": 1, "b": None}, {"a": "q", "b": True}, {"a": "z"}]})
+    assert "".join(out.parts) == "[11,qtrue2]z3"
+
+
+@pytest.mark.parametrize("source", [
+    "{{ y }}", "{% if x %}", "{{ x.__class__.__mro__ | bad }}", "{% include 'x' %}", "{{ x + }}", "{{ x() }}",
+    "{% generation %}{% generation %}{% endgeneration %}{% endgeneration %}", "{{ 'a }}"])
+def test_bad_templates_are_refused(source):
+    with pytest.raises(TemplateError):
+        compiled(source, {"x"})
+
+
+def test_no_python_attributes():
+    with pytest.raises(TemplateError):
+        compiled("{{ x.__class__ }}", {"x"})({"x": "text"})
+    assert "".join(compiled("{{ x.__class__ }}", {"x"})({"x": {}}).parts) == ""
+
+
+def test_odd_rows(spark):
+    rows = spark.createDataFrame(
+        [(1, 1, "assistant", None, "z"), (1, None, None, "first", "z"), (None, 0, "user", "u", "z"), (1, 1, "assistant", None, "z"),
+         (2, 0, "assistant", "long " * 50_000, "z")], "conv_id long, turn long, role string, text string, formatted string")
+    found = {r.conv_id: r for r in read_back(formatted(rows)).collect()}
+    assert [(t.role, t.text) for t in found[1].turns] == [("", "first"), ("assistant", ""), ("assistant", "")]
+    assert found[1].loss_texts == ["", ""] and found[None].loss_texts == []
+    assert found[2].loss_texts == ["long " * 50_000]
+    assert formatted(rows.where("false")).count() == 0

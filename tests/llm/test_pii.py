@@ -1,0 +1,83 @@
+import hashlib
+import re
+
+from riskstream.llm.pii import mentions, personal_data, redacted, span_report
+from riskstream.llm.queries import op6_pii
+
+SF = "/root/testdata/sf0.001"
+FORMS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def luhn(digits):
+    doubled = [sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits))]
+    return sum(doubled) % 10 == 0
+
+
+def brute(text):
+    found = []
+    for kind, form in FORMS:
+        for m in re.finditer(form, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (13 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            found.append(f"{kind}:{m.start()}:{m.end()}")
+    return ",".join(found)
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = op6_pii(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = brute(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+        assert r.n_email == base.count("email:") and r.n_phone == base.count("phone:")
+
+
+ODD = ["", None, "a@b@c.d", "a@b.c._x@d.e x@y", "1.2.3.4.5.6.7.8 1.2.3.400 001.002.3.255", "4111 1111-1111 1111 5", "4111111111111111",
+       "+1 (988) 555-2485+49 30 1234567", "ñ 😀 a.b@c.de 😀 +4930123456789012345", "9" * 5000, "a" * 100_000, "a." * 20_000 + "@",
+       "+1" + " " * 1000 + "2345678 9", "4111111111111111"]
+
+
+def test_odd_texts(docs_of):
+    rows = list(enumerate(ODD)) + [(None, "null@id.com"), (0, "twice@id.com"), (0, "twice@id.com")]
+    docs = docs_of(rows, extra=True)
+    found = span_report(personal_data(docs)).collect()
+    assert sorted((repr(r.doc_id), r.base) for r in found) == sorted((repr(i), brute(t or "")) for i, t in rows)
+    masked = redacted(docs)
+    assert masked.columns == docs.columns and masked.count() == len(rows)
+    texts = {r.doc_id: r.text for r in masked.where("doc_id > 0 OR doc_id IS NULL").collect()}
+    assert texts[1] is None and texts[3] == "<email><email> x@y" and texts[4] == "<ip>.<ip> 1.2.3.400 <ip>"
+    assert texts[6] == "<card>" and texts[7] == "<phone><phone>" and texts[None] == "<email>"
+    assert span_report(personal_data(docs_of([]))).count() == 0
+    assert redacted(docs_of([])).count() == 0
+
+
+CARDS = ["4111111111111111", "5500000000000004", "340000000000009", "6011000000000004", "30000000000004"]
+
+
+def test_a_pattern_of_known_instances_discovers_an_unseen_one(docs_of):
+    rows = [(i, f"please charge card number {c} today") for i, c in enumerate(CARDS)]
+    rows.append((100, "please charge card number AX-77-1234567 today"))
+    docs = docs_of(rows)
+    more = [(r.doc_id, r.kind, r.start, r.end) for r in personal_data(docs).where("NOT known").collect()]
+    start = rows[-1][1].index("AX-")
+    assert more == [(100, "card", start, start + 13)]
+    assert {r.text for r in redacted(docs).where("doc_id = 100").collect()} == {"please charge card number <card> today"}
+
+
+def test_a_pattern_of_ordinary_words_discovers_nothing(docs_of):
+    rows = [(i, f"see of the {c} here") for i, c in enumerate(CARDS)] + [(50, "one of the 123456789 here")]
+    rows += [(60 + i, "most of the time of the year") for i in range(20)]
+    assert personal_data(docs_of(rows)).where("NOT known").count() == 0
+
+
+def test_candidates_touch_no_known_span(docs_of):
+    found = mentions(docs_of([(1, "x (4111111111111111) and 12345-abc")])).where("kind IS NOT NULL").collect()
+    assert sorted((r.kind, r.instance) for r in found) == [("candidate", "12345-abc"), ("card", "4111111111111111")]
