@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.plans.compaction import compact, compact_in_place
 from riskstream.plans.hourly import run_hour
-from riskstream.plans.tables import create_tables, sync_partitions
+from riskstream.plans.serving import load_serving
+from riskstream.plans.tables import create_tables, sync_day, sync_partitions
 from riskstream.settings import Settings
 from riskstream.streaming.jobs import run_dual_write_stream, run_stream
 
@@ -18,6 +22,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="riskstream")
     parser.add_argument("--root", required=True, help="folder of the lake")
     parser.add_argument("--database", default="default")
+    parser.add_argument("--hive", action="store_true", help="keep tables in the cluster's metastore")
     jobs = parser.add_subparsers(dest="job", required=True)
     for name in ("stream", "dual-write"):
         job = jobs.add_parser(name)
@@ -25,15 +30,28 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--body", choices=["avro", "json"], default="avro")
         job.add_argument("--trigger", default="5 seconds" if name == "stream" else "10 seconds")
         job.add_argument("--max-offsets", type=int, default=0)
+        job.add_argument("--store", metavar="MODULE:FUNCTION", help="opens a keyed store on the executors")
+    jobs.choices["stream"].add_argument("--starting-offsets", default="latest")
+    jobs.choices["stream"].add_argument("--fail-on-data-loss", action="store_true")
+    jobs.choices["stream"].add_argument("--split", action="store_true", help="layers and alerts as two queries")
     for name in ("hour", "compact"):
         job = jobs.add_parser(name)
         job.add_argument("dt")
-        job.add_argument("hr", type=int)
+        job.add_argument("hr", type=int, nargs="?" if name == "compact" else None, help="left out: the whole day")
+    jobs.add_parser("serving").add_argument("dt")
     jobs.choices["compact"].add_argument("--in-place", metavar="TAG", help="route to compact into itself")
     jobs.add_parser("tables")
     return parser.parse_args(argv)
 
 
+def open_store(name: str | None) -> Callable[[], object] | None:
+    """The function that `module:function` names."""
+    if name is None:
+        return None
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def await_first(queries: list[StreamingQuery], poll_seconds: int = 5) -> None:
     """Until any query ends; a failed one raises, so that the job is restarted as a whole."""
     while not any(query.awaitTermination(poll_seconds) for query in queries):
@@ -45,8 +63,15 @@ def main(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.job in ("stream", "dual-write"):
         settings = Settings(args.root, args.database, bootstrap=args.bootstrap,
                             trigger_interval=args.trigger, max_offsets_per_trigger=args.max_offsets)
-        start = run_stream if args.job == "stream" else run_dual_write_stream
-        await_first(start(spark, settings, args.body))
+        if args.job == "stream":
+            settings = replace(settings, starting_offsets=args.starting_offsets, fail_on_data_loss=args.fail_on_data_loss)
+            await_first(run_stream(spark, settings, args.body, open_store(args.store), args.split))
+        else:
+            await_first(run_dual_write_stream(spark, settings, args.body, open_store(args.store)))
+    elif args.job == "serving":
+        create_tables(spark, settings)
+        sync_day(spark, settings, args.dt, "silver_transactions", "silver_fraud_alerts")
+        load_serving(spark, settings, args.dt)
     elif args.job == "tables":
         create_tables(spark, settings)
         sync_partitions(spark, settings)
@@ -60,8 +85,8 @@ def main(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 if __name__ == "__main__":
-    session = (
-        SparkSession.builder.appName("riskstream")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    )
-    raise SystemExit(main(session, arguments()))
+    arguments_given = arguments()
+    builder = SparkSession.builder.appName("riskstream").config("spark.sql.session.timeZone", "UTC")
+    if arguments_given.hive:
+        builder = builder.enableHiveSupport()
+    raise SystemExit(main(builder.getOrCreate(), arguments_given))

@@ -35,6 +35,8 @@ def interval_join(events: DataFrame, triggers: DataFrame, key: str, window: str,
         events = events.withWatermark(time, watermark)
         triggers = triggers.withWatermark(time, watermark)
 
+    if seconds(window) == 0:
+        raise ValueError("a window of no length")
     span = f"INTERVAL '{seconds(window)}' SECOND"
     keys = [key]
     if cells:

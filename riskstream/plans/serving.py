@@ -11,10 +11,10 @@ from riskstream.settings import Settings
 
 
 def serving_high_risk(scored: DataFrame, *extra: str) -> DataFrame:
-    """One row per account and time; among transactions of one instant the highest id is kept."""
-    order = ["transaction_id", *(name for name in extra if name != "transaction_id")]
+    """One row per account and time, the last write: the latest batch, and within one the highest id."""
+    order = list(dict.fromkeys(["spark_proc_time", "transaction_id", *extra]))
     cells = high_risk_cells(scored, *order, proc_ts=F.col("spark_proc_time"))
-    latest = latest_by_key(cells, F.desc("transaction_id"))
+    latest = latest_by_key(cells, F.desc_nulls_last("spark_proc_time"), F.desc("transaction_id"))
     return latest.drop(*(name for name in order if name not in extra))
 
 

@@ -1,4 +1,4 @@
-"""Catalog tables over the lake. Spark's in-memory catalog is enough; a metastore works the same."""
+"""Catalog tables over the lake. All have a place below its root, so a new catalog takes them over as they are."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from riskstream import schemas
 from riskstream.operators.routes import ROUTES
 from riskstream.settings import Settings
-from riskstream.sources.files import make_folder
+from riskstream.sources.files import leaves, make_folder
 
 LAYER_TABLES = {
     "bronze_transactions": "BRONZE_TX",
@@ -29,7 +29,8 @@ DAILY_TABLES = {
 
 
 def create_tables(spark: SparkSession, settings: Settings) -> None:
-    """External tables over the streamed layers, managed daily tables for gold and serving. Safe to repeat."""
+    """External tables over the streamed layers, and daily ones for gold and serving. Safe to repeat, also in a
+    process whose catalog starts empty: what earlier ones have written is found again."""
     if settings.database != "default":
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database} "
                   f"LOCATION '{settings.layer('gold')}'")
@@ -42,9 +43,27 @@ def create_tables(spark: SparkSession, settings: Settings) -> None:
             f"USING parquet PARTITIONED BY (dt, hr, batch_id) "
             f"LOCATION '{settings.layer(route.layer)}'")
     for table, schema in DAILY_TABLES.items():
+        folder = settings.layer(f"daily/{table}")
+        make_folder(spark, folder)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {settings.table(table)} ({schemas.ddl(schema)}, dt DATE) "
-            f"USING parquet PARTITIONED BY (dt)")
+            f"USING parquet PARTITIONED BY (dt) LOCATION '{folder}'")
+        spark.sql(f"MSCK REPAIR TABLE {settings.table(table)} SYNC PARTITIONS")     # one partition a day
+
+
+def sync_day(spark: SparkSession, settings: Settings, day: str, *tables: str) -> None:
+    """Make the catalog match the folders of one day. Its leaves, at most one per hour and micro-batch, are compared by
+    name; other days are neither listed nor changed."""
+    for table in tables or LAYER_TABLES:
+        spark.catalog.refreshTable(settings.table(table))       # a rewritten leaf keeps its name
+        there = set(leaves(spark, settings.layer(ROUTES[LAYER_TABLES[table]].layer), day))
+        shown = spark.sql(f"SHOW PARTITIONS {settings.table(table)} PARTITION (dt = DATE'{day}')").collect()
+        levels = [dict(level.split("=", 1) for level in r[0].split("/")) for r in shown]
+        known = {(int(x["hr"]), x["batch_id"]) for x in levels}
+        for change, changed in (("ADD IF NOT EXISTS", sorted(there - known)), ("DROP IF EXISTS", sorted(known - there))):
+            for at in range(0, len(changed), 500):
+                names = [f"PARTITION (dt = DATE'{day}', hr = {hr}, batch_id = '{leaf}')" for hr, leaf in changed[at:at + 500]]
+                spark.sql(f"ALTER TABLE {settings.table(table)} {change} " + (", " if change[0] == "D" else " ").join(names))
 
 
 def sync_partitions(spark: SparkSession, settings: Settings, *tables: str) -> None:

@@ -404,13 +404,24 @@ def stream_route_counts(lake: Lake) -> DataFrame:
     return routes.route_counts(union)
 
 
+@query
+def replay_null_times(lake: Lake) -> DataFrame:
+    """A replay in which some transactions have no time: they land in the dead letters."""
+    feeds = lake.decoded
+    untimed = F.when(~F.col("transaction_id").endswith("7"), F.col("timestamp"))
+    replay(lake.spark, lake.settings, feeds._replace(transactions=feeds.transactions.withColumn("timestamp", untimed)),
+           slices=2, only=("BRONZE_TX", "LATE_TX"))
+    return routes.route_counts(lake.read("BRONZE_TX").select(F.lit("BRONZE_TX").alias("_type")).union(
+        lake.read("LATE_TX").select(F.lit("LATE_TX").alias("_type"))))
+
+
 @query
 def stream_dual_write(lake: Lake) -> DataFrame:
     """The single-feed job: every transaction, scored, in one layer."""
     settings = lake.settings
     topics = settings.layer("_staging/topics")
-    for first, after in time_slices(lake.decoded):
-        stage_slice(lake.decoded, topics, first, after)
+    for number, (first, after) in enumerate(time_slices(lake.decoded)):
+        stage_slice(lake.decoded, topics, first, after, untimed=number == 0)
     raw = topic_streams(stream_session(lake.spark, settings), topics).transactions.drop("proc_time")
     start_dual_write(dual_write_stream(raw, settings, "json"), settings,
                      available_now=True).awaitTermination()

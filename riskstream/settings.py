@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import timedelta
 
-import pandas as pd
-
-
 def seconds(duration: str | timedelta) -> int:
-    """Whole seconds of '10 minutes', '1 hour', timedelta(...), ..."""
-    return int(pd.Timedelta(duration).total_seconds())
+    """Seconds of '10 minutes', '1 hour', timedelta(...), ...; a part of a second is refused, not cut off."""
+    if isinstance(duration, str):
+        found = re.fullmatch(r"\s*(\d+)\s*(millisecond|second|minute|hour|day|week)s?\s*", duration)
+        if not found:
+            raise ValueError(f"no duration: {duration!r}")
+        duration = timedelta(**{f"{found[2]}s": int(found[1])})
+    if duration.microseconds or duration < timedelta(0):
+        raise ValueError(f"a duration must be of whole seconds: {duration}")
+    return duration // timedelta(seconds=1)
 
 
 @dataclass(frozen=True)
@@ -25,6 +30,7 @@ class Settings:
     topic_activity: str = "account_activity"
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int = 0          # 0: no cap
+    fail_on_data_loss: bool = False           # True: the three-topic job stops when offsets are lost
 
     # Clocks
     trigger_interval: str = "5 seconds"
@@ -37,7 +43,7 @@ class Settings:
     high_risk_threshold: int = 50
 
     # Layout and parallelism
-    state_partitions: int | None = None       # None: the cluster's default parallelism
+    state_partitions: int | None = None       # None: the session's spark.sql.shuffle.partitions
     rows_per_file: int = 2_000_000
     file_bytes: int = 256 * 1024 * 1024
     put_batch: int = 200

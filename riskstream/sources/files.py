@@ -25,6 +25,34 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(folder)
 
 
+def leaves(spark: SparkSession, layer: str, dt: str, hr: int | None = None) -> list[tuple[int, str]]:
+    """(hr, batch_id) of every leaf of a day or an hour, from the folders' names."""
+    hour = "hr=*" if hr is None else f"hr={int(hr)}"
+    fs, pattern = _file_system(spark, f"{layer}/dt={dt}/{hour}/batch_id=*")
+    found = []
+    for status in fs.globStatus(pattern) or ():
+        path = status.getPath()
+        found.append((int(path.getParent().getName().split("=", 1)[1]), path.getName().split("=", 1)[1]))
+    return sorted(found)
+
+
+def bytes_of(spark: SparkSession, path: str) -> int:
+    fs, folder = _file_system(spark, path)
+    return fs.getContentSummary(folder).getLength()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
+def read_leaves(spark: SparkSession, layer: str, schema: StructType, dt: str,
+                of: list[tuple[int, str]]) -> DataFrame:
+    """Exactly these leaves of a day; one that is written meanwhile is not read."""
+    paths = [f"{layer}/dt={dt}/hr={hr}/batch_id={leaf}" for hr, leaf in of]
+    return spark.read.schema(schema).option("basePath", layer).parquet(*paths)
+
+
 def _file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder

@@ -35,10 +35,13 @@ def as_messages(feed: DataFrame, contract: Contract) -> DataFrame:
                        "proc_time", F.lit(contract.name).alias("topic"))
 
 
-def stage_slice(feeds: Feeds, topics: str, first: int, after: int) -> None:
-    """Append the messages with first <= timestamp < after to the topic folders, in one job."""
+def stage_slice(feeds: Feeds, topics: str, first: int, after: int, untimed: bool = True) -> None:
+    """Append the messages with first <= timestamp < after to the topic folders, in one job; `untimed`: and those
+    without a timestamp, which go to the dead letters."""
+    within = F.col("timestamp").between(first, after - 1)
+    within = F.coalesce(within, F.lit(untimed))
     parts = [
-        as_messages(feed.where(F.col("timestamp").between(first, after - 1)), contract)
+        as_messages(feed.where(within), contract)
         for feed, contract in zip(feeds, CONTRACTS.values())
     ]
     messages = parts[0].union(parts[1]).union(parts[2])
@@ -51,9 +54,11 @@ def time_slices(feeds: Feeds, at_least: int = 1) -> list[tuple[int, int]]:
     times = feeds.transactions.select("timestamp").union(feeds.logins.select("timestamp")).union(
         feeds.activity.select("timestamp"))
     first, last, rows = times.agg(
-        F.min("timestamp"), F.max("timestamp"), F.count("timestamp")).first()
+        F.min("timestamp"), F.max("timestamp"), F.count("*")).first()
     if not rows:
         return []
+    if first is None:       # no row has a time
+        return [(0, 1)]
     cores = feeds.transactions.sparkSession.sparkContext.defaultParallelism
     count = max(at_least, ceil(rows / (ROWS_PER_CORE * cores)))
     width = (last - first) // count + 1
@@ -71,8 +76,8 @@ def replay(spark: SparkSession, settings: Settings, feeds: Feeds, slices: int =
     session = stream_session(spark, settings)
     topics = settings.layer("_staging/topics")
     sizes: list[int] = []
-    for first, after in time_slices(feeds, slices):
-        stage_slice(feeds, topics, first, after)
+    for number, (first, after) in enumerate(time_slices(feeds, slices)):
+        stage_slice(feeds, topics, first, after, untimed=number == 0)
         unified = unified_stream(
             topic_streams(session, topics), settings, "json", "proc_time", tuple(hot), only)
         query = start_router(unified, settings, open_store=open_store, available_now=True)

@@ -26,10 +26,10 @@ def stream_session(spark: SparkSession, settings: Settings) -> SparkSession:
     """A sibling session with the options a stateful stream needs; the caller's stays as it is.
 
     Join state lives in RocksDB, off the JVM heap, with changelog checkpoints. The number of state
-    partitions is fixed when a checkpoint is made.
+    partitions is fixed when a checkpoint is made, so it is a setting and not what the cluster happens to have.
     """
     session = spark.newSession()
-    partitions = settings.state_partitions or spark.sparkContext.defaultParallelism
+    partitions = settings.state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
     for key, value in {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(partitions),
@@ -75,18 +75,20 @@ def unified_stream(raw: Feeds, settings: Settings, body: str = "avro",
 def kafka_topics(spark: SparkSession, settings: Settings) -> Feeds:
     return Feeds(*(
         read_kafka(spark, settings.bootstrap, topic, settings.starting_offsets,
-                   settings.max_offsets_per_trigger)
+                   settings.max_offsets_per_trigger, settings.fail_on_data_loss)
         for topic in (settings.topic_tx, settings.topic_logins, settings.topic_activity)
     ))
 
 
 def run_stream(spark: SparkSession, settings: Settings, body: str = "avro",
-               open_store: Callable[[], object] | None = None, split: bool = True,
+               open_store: Callable[[], object] | None = None, split: bool = False,
                ) -> list[StreamingQuery]:
     """Start the three-topic job and return its queries.
 
-    split=True runs the stateless layers and the alerts as two queries, so that a slow join never
-    holds back the audit trail. split=False is one query with one checkpoint; both write the same.
+    One query with one checkpoint writes everything. split=True runs the stateless layers and the alerts as
+    two, so that a slow join never holds back the audit trail; each then has its own clock, so a row at the
+    bound of lateness can be late in one and on time in the other, and its own first offsets, so they
+    agree on all rows only if `starting_offsets` is "earliest".
     """
     session = stream_session(spark, settings)
     topics = kafka_topics(session, settings)
@@ -144,5 +146,5 @@ def run_dual_write_stream(spark: SparkSession, settings: Settings, body: str = "
     Its usual trigger is 10 seconds: Settings(root, trigger_interval="10 seconds").
     """
     raw = read_kafka(stream_session(spark, settings), settings.bootstrap, settings.topic_tx,
-                     "earliest", fail_on_data_loss=True)
+                     "earliest", settings.max_offsets_per_trigger, fail_on_data_loss=True)
     return [start_dual_write(dual_write_stream(raw, settings, body), settings, open_store)]

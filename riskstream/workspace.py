@@ -18,6 +18,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="riskstream-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -158,6 +158,13 @@ def test_kafka_options():
     assert kafka_options("b:1", "t", "earliest", 3000)["maxOffsetsPerTrigger"] == "3000"
 
 
+def test_parts_of_seconds_are_refused():
+    for duration in ("1500 milliseconds", "1.5 seconds", "soon", ""):
+        with pytest.raises(ValueError):
+            seconds(duration)
+    assert seconds("3000 milliseconds") == 3
+
+
 def test_settings():
     settings = Settings("/lake")
     assert settings.layer("dlq/logins") == "/lake/dlq/logins"

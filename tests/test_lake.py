@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from datetime import datetime, timezone
 from glob import glob
 
@@ -12,14 +15,14 @@ from riskstream.operators.routes import ROUTES, route_counts, union_aligned
 from riskstream.operators.sinks import write_layer, write_micro_batch
 from riskstream.plans import compaction
 from riskstream.plans.compaction import compact, compact_in_place, inventory
-from riskstream.plans.gold import daily_kpi, daily_kpi_by_flag, location_risk, overwrite_day
+from riskstream.plans.gold import daily_kpi, daily_kpi_by_flag, load_gold, location_risk, overwrite_day
 from riskstream.plans.hourly import hour_ready, run_hour
 from riskstream.plans.layers import Layers, unify
 from riskstream.plans.reports import (
     dlq_audit, fraud_heatmap, ingest_lag_by_hour, top_risk_accounts,
 )
 from riskstream.plans.serving import load_serving, serving_high_risk
-from riskstream.plans.tables import LAYER_TABLES, create_tables, sync_partitions
+from riskstream.plans.tables import LAYER_TABLES, create_tables, sync_day, sync_partitions
 from riskstream.queries import DAY, HOUR, Lake
 from riskstream.settings import Settings
 from riskstream.sources.files import read_hours
@@ -219,28 +222,57 @@ def test_in_place_compaction_keeps_the_rows(lake, spark, hr):
     assert len(files(folder)) < many
 
 
-def test_in_place_compaction_recovers_a_half_replaced_folder(lake, spark, monkeypatch):
+@pytest.mark.parametrize("step", ["_write", "_delete"])
+def test_in_place_compaction_recovers_from_a_lost_driver(lake, spark, monkeypatch, step):
     lake.write_in_batches("BRONZE_TX", bronze_of(lake))
     before = rows_of(lake.read("BRONZE_TX"), "transaction_id", "dt", "hr")
-    folder = lake.settings.layer(f"bronze/transactions/dt={DAY}/hr={HOUR}")
-    replace = compaction.replace_folder
+    done = getattr(compaction, step)
 
-    def break_off(rows, target, levels):
-        if target != folder:
-            return replace(rows, target, levels)
-        replace(rows.limit(1), target, levels)  # what is left when the driver dies in the commit
+    def break_off(*args):
+        done(*args)
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(compaction, "replace_folder", break_off)
+    monkeypatch.setattr(compaction, step, break_off)
     with pytest.raises(RuntimeError):
         compact_in_place(spark, lake.settings, "BRONZE_TX", DAY, HOUR)
-    assert lake.read("BRONZE_TX").count() < len(before)
     monkeypatch.undo()
     for _ in range(2):
         compact_in_place(spark, lake.settings, "BRONZE_TX", DAY, HOUR)
         assert rows_of(lake.read("BRONZE_TX"), "transaction_id", "dt", "hr") == before
 
 
+@pytest.mark.parametrize("in_place", [True, False])
+def test_rows_written_during_compaction_stay(lake, spark, monkeypatch, in_place):
+    lake.write_in_batches("BRONZE_TX", bronze_of(lake))
+    tag = "BRONZE_TX" if in_place else "SILVER_TX"
+    more = lake.silver.where(f"dt = DATE'{DAY}' AND hr = {HOUR}").limit(1).withColumn("transaction_id", F.lit("meanwhile"))
+    write = compaction._write
+
+    def meanwhile(*args):
+        lake.write(tag, more, "0f0f0f0f-0000-0000-0000-00000000000f-3")
+        write(*args)
+
+    monkeypatch.setattr(compaction, "_write", meanwhile)
+    if in_place:
+        compact_in_place(spark, lake.settings, tag, DAY, HOUR)
+    else:
+        compact(spark, lake.settings, DAY, HOUR)
+    assert lake.read(tag, DAY, HOUR).where("transaction_id = 'meanwhile'").count() == 1
+
+
+def test_folded_batches_leave_silver_too_and_the_newest_is_not_folded(lake, spark):
+    hour = lake.silver.where(f"dt = DATE'{DAY}' AND hr = {HOUR}")
+    for n in range(3):
+        part = hour.where(F.pmod(F.hash("transaction_id"), F.lit(3)) == n)
+        for tag in ("BRONZE_TX", "SILVER_TX"):
+            lake.write(tag, part, f"0f0f0f0f-0000-0000-0000-00000000000f-{n}")
+    compact_in_place(spark, lake.settings, "BRONZE_TX", DAY, HOUR)
+    names = {r.batch_id for r in lake.read("BRONZE_TX").select("batch_id").distinct().collect()}
+    assert len(names) == 2 and "0f0f0f0f-0000-0000-0000-00000000000f-2" in names
+    compact(spark, lake.settings, DAY, HOUR)
+    assert rows_of(lake.read("SILVER_TX"), "transaction_id") == rows_of(hour, "transaction_id")
+
+
 def test_compacting_a_layer_onto_itself_is_refused(lake, spark):
     with pytest.raises(ValueError):
         compact(spark, lake.settings, DAY, HOUR, "ALERT", "ALERT")
@@ -269,34 +301,52 @@ def test_layers_without_rows_can_be_synced(spark, lake):
     assert all(spark.table(lake.settings.table(t)).isEmpty() for t in LAYER_TABLES if t != "dlq_transactions")
 
 
-def test_analyst_sql_runs_on_the_tables(spark, lake):
-    """The four reports and both gold loads typed as SQL give what the functions give."""
-    lake.write("BRONZE_TX", bronze_of(lake))
-    lake.write("SILVER_TX", lake.silver)
+def test_reports_are_the_same_on_tables_and_layers(spark, lake):
+    late = add_dt_hr(Layers.late(lake.layers().transactions))
+    for tag, rows in (("SILVER_TX", lake.silver), ("ALERT", lake.alerts), ("LATE_TX", late)):
+        lake.write(tag, rows)
+    create_tables(spark, lake.settings)
+    sync_day(spark, lake.settings, DAY)
+    table = lambda name: spark.table(lake.settings.table(name)).where(f"dt = DATE'{DAY}'")
+    of_day = lambda df: df.where(f"dt = DATE'{DAY}'")
+    for report, name, rows in (
+            (ingest_lag_by_hour, "silver_transactions", lake.silver), (dlq_audit, "dlq_transactions", late),
+            (lambda df: fraud_heatmap(df, DAY), "silver_fraud_alerts", lake.alerts),
+            (lambda df: top_risk_accounts(df, DAY), "silver_fraud_alerts", lake.alerts)):
+        assert rows_of(report(table(name))) == rows_of(report(of_day(rows)))
+    load_gold(spark, lake.settings, DAY)
+    assert rows_of(table("gold_location_risk").drop("dt")) == rows_of(location_risk(lake.alerts, DAY))
+    assert rows_of(table("gold_daily_kpi_report").drop("dt")) == rows_of(daily_kpi_by_flag(lake.silver, DAY))
+
+
+def test_day_sync_adds_and_drops_leaves_of_that_day_only(spark, lake):
     lake.write("ALERT", lake.alerts)
-    lake.write("LATE_TX", add_dt_hr(Layers.late(lake.layers().transactions)))
     create_tables(spark, lake.settings)
-    sync_partitions(spark, lake.settings)
+    count = lambda: spark.table(lake.settings.table("silver_fraud_alerts")).count()
+    for _ in range(2):
+        sync_day(spark, lake.settings, DAY, "silver_fraud_alerts")
+        assert count() == lake.alerts.where(f"dt = DATE'{DAY}'").count()
+    compact_in_place(spark, lake.settings, "ALERT", DAY)
+    sync_day(spark, lake.settings, DAY, "silver_fraud_alerts")
+    assert count() == lake.alerts.where(f"dt = DATE'{DAY}'").count()
 
-    def sql(text):
-        return spark.sql(text.replace("@", lake.settings.database + "."))
-
-    day = f"dt = DATE'{DAY}'"
-    assert sql("SELECT dt, hr, avg(source_to_kafka_lag_sec) AS avg_network_lag, avg(kafka_to_spark_lag_sec) AS "
-               "avg_spark_lag FROM @bronze_transactions GROUP BY dt, hr ORDER BY dt DESC, hr DESC"
-               ).collect() == ingest_lag_by_hour(lake.silver).collect()
-    assert rows_of(sql(f"SELECT tx_location, count(*) AS alert_count, sum(amount) AS value_at_risk FROM "
-                       f"@silver_fraud_alerts WHERE {day} GROUP BY tx_location ORDER BY alert_count DESC")
-                   ) == rows_of(fraud_heatmap(lake.alerts, DAY))
-    assert rows_of(sql("SELECT dt, count(*) AS late_count, sum(amount) AS lost_realtime_visibility_amount "
-                       "FROM @dlq_transactions GROUP BY dt")
-                   ) == rows_of(dlq_audit(spark.table(lake.settings.table("dlq_transactions"))))
-    assert rows_of(sql(f"SELECT account_id, count(*) AS total_alerts, max(risk_score) AS peak_score FROM "
-                       f"@silver_fraud_alerts WHERE {day} GROUP BY account_id HAVING total_alerts > 2")
-                   ) == rows_of(top_risk_accounts(lake.alerts, DAY))
-    sql(f"INSERT OVERWRITE TABLE @gold_location_risk PARTITION ({day}) SELECT tx_location, count(*), "
-        f"sum(amount), avg(risk_score) FROM @silver_fraud_alerts WHERE {day} GROUP BY tx_location")
-    assert rows_of(sql("SELECT * EXCEPT (dt) FROM @gold_location_risk")) == rows_of(location_risk(lake.alerts, DAY))
+
+def test_hours_in_fresh_processes(spark, lake):
+    """Three processes, each with an empty catalog: two hours and one of them again."""
+    lake.write_in_batches("BRONZE_TX", bronze_of(lake))
+    lake.write("SILVER_TX", lake.silver)
+    lake.write("ALERT", lake.alerts)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for hour in (HOUR, HOUR + 1, HOUR):
+        done = subprocess.run(
+            [sys.executable, "-m", "riskstream", "--root", lake.settings.root, "hour", DAY, str(hour)], cwd=repo, timeout=300,
+            env=os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell"},
+            capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr[-2000:]
+    gold = lambda name: spark.read.parquet(lake.settings.layer(f"daily/{name}")).drop("dt")
+    assert rows_of(gold("gold_location_risk")) == rows_of(location_risk(lake.alerts, DAY))
+    assert rows_of(gold("gold_daily_kpi_report")) == rows_of(daily_kpi_by_flag(lake.silver, DAY))
+    assert gold("serving_alerts").count() == serving_alerts(lake.alerts.where(f"dt = DATE'{DAY}'")).count()
 
 
 def test_serving_tables_hold_one_row_per_key(lake, spark):
@@ -344,3 +394,11 @@ def test_hourly_run_twice_gives_the_same_lake(lake, spark):
                         for t in ("gold_location_risk", "gold_daily_kpi_report", "silver_transactions")])
     assert results[0] == results[1]
     assert len(results[0][1]) == 1
+
+
+def test_last_batch_wins_in_the_high_risk_table(spark, lake):
+    row = lake.silver.where("is_high_risk").limit(1)
+    early = row.withColumns({"transaction_id": F.lit("TX-9"), "spark_proc_time": F.lit("2024-01-01 00:00:01").cast("timestamp")})
+    late = row.withColumns({"transaction_id": F.lit("TX-1"), "spark_proc_time": F.lit("2024-01-01 00:00:06").cast("timestamp")})
+    [kept] = serving_high_risk(early.union(late), "transaction_id").collect()
+    assert kept.transaction_id == "TX-1" and str(kept.tx_proc_ts).startswith("2024-01-01 00:00:06")

@@ -310,6 +310,9 @@ def test_command_line(lake, spark):
     assert run("hour", "2023-01-01", "7") == 1
     assert run("compact", "2024-01-01", "8") == 0
     assert run("compact", "2024-01-01", "8", "--in-place", "ALERT") == 0
+    assert run("compact", "2024-01-01", "--in-place", "ALERT") == 0
+    assert run("serving", "2024-01-01") == 0
+    assert spark.table(lake.settings.table("serving_alerts")).count() > 0
     assert run("tables") == 0
     tables = spark.table(lake.settings.table("silver_transactions"))
     assert {r.hr for r in tables.select("hr").distinct().collect()} == {7, 8}
