@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from riskstream import schemas
 from riskstream.functions.clock import add_event_time
@@ -35,6 +35,8 @@ class Contract:
         })
 
 
+CORRUPT = "_corrupt"
+
 CONTRACTS = {
     "transactions": Contract("transactions", 1, schemas.TRANSACTION),
     "logins": Contract("logins", 2, schemas.LOGIN),
@@ -43,13 +45,14 @@ CONTRACTS = {
 
 
 def _parsed(contract: Contract, body: str, avro_schema: str | None) -> Column:
-    """The message body as a struct. A body that does not parse gives nulls, not an error."""
+    """The message body as a struct. A body that does not parse gives nulls, not an error; CORRUPT is set if any part does not."""
     message = F.expr(f"substring(value, {HEADER_BYTES + 1})")
     if body == "json":
-        return F.from_json(message.cast("string"), contract.schema)
+        return F.from_json(message.cast("string"), StructType([*contract.schema.fields, StructField(CORRUPT, StringType())]), {"columnNameOfCorruptRecord": CORRUPT})
     if body == "avro":
         from pyspark.sql.avro.functions import from_avro
-        return from_avro(message, avro_schema or contract.avro(), {"mode": "PERMISSIVE"})
+        parsed = from_avro(message, avro_schema or contract.avro(), {"mode": "PERMISSIVE"})
+        return parsed.withField(CORRUPT, F.lit(None).cast("string"))
     raise ValueError(f"unknown body format {body!r}")
 
 
@@ -63,8 +66,8 @@ def decode_marked(raw: DataFrame, contract: Contract, body: str = "avro",
     # As a one-row `inline` the parse happens once. A filter on a parsed column would otherwise be
     # moved below the projection and parse every body a second time.
     parsed = F.inline(F.array(F.when(usable_frame(), _parsed(contract, body, avro_schema))))
-    # No producer leaves the account out, so a message without one did not parse.
-    error = "coalesce(frame_error, CASE WHEN account_id IS NULL THEN 'undecodable body' END)"
+    nothing = " AND ".join(f"`{name}` IS NULL" for name in contract.schema.names)
+    error = f"coalesce(frame_error, CASE WHEN {CORRUPT} IS NOT NULL OR ({nothing}) THEN 'undecodable body' END)"
     decoded = frame_columns(raw).select(parsed, *extra, "value", "schema_id", "frame_error")
     names = [f"`{name}`" for name in (*contract.schema.names, *extra)]
     return decoded.selectExpr(*names, "value", "schema_id", f"{error} AS frame_error").selectExpr(

@@ -122,14 +122,13 @@ def test_frame_fields_are_big_endian(spark):
     assert (row.magic, row.schema_id, bytes(row.body), row.frame_error) == (0, 66051, b"{}", None)
 
 
-def test_avro_body_needs_its_package_or_decodes(spark):
+def test_avro_body(spark):
+    """Untested where the package is absent, as on the build box."""
+    if not spark._jvm.java.lang.Thread.currentThread().getContextClassLoader().getResource(
+            "org/apache/spark/sql/avro/AvroDataToCatalyst.class"):
+        pytest.skip("spark-avro is not on the class path")
     raw = spark.createDataFrame([(b"\x00" * 8, at())], "value binary, kafka_timestamp timestamp")
-    try:
-        decoded = decode_feed(raw, CONTRACTS["logins"], "avro")
-    except Exception as error:
-        assert "avro" in str(error).lower()
-    else:
-        assert decoded.columns[0] == "account_id"
+    assert decode_feed(raw, CONTRACTS["logins"], "avro").columns == [*CONTRACTS["logins"].schema.names, "kafka_timestamp"]
 
 
 def test_avro_contract_text():
@@ -172,3 +171,16 @@ def test_settings():
     assert [seconds(d) for d in ("1 minute", "5 minutes", "10 minutes", "2 hours")] == [60, 300, 600, 7200]
     with pytest.raises(AttributeError):
         settings.root = "/other"
+
+
+def test_half_parsed_bodies_are_bad_and_a_missing_account_is_not(spark):
+    contract = CONTRACTS["logins"]
+    names = contract.schema.names
+    bodies = ['{"account_id": "a", "timestamp": "soon"}', '{"account_id": "a"', "null", "[]", "{}",
+              '{"login_id": "l", "timestamp": 5}', '{"account_id": "a", "login_id": "m", "timestamp": 6}']
+    raw = spark.createDataFrame([(b, at()) for b in bodies], "body string, kafka_timestamp timestamp").select(
+        to_frame(F.col("body"), contract.schema_id).alias("value"), "kafka_timestamp")
+    good = decode_feed(raw, contract, "json")
+    assert good.columns == [*names, "kafka_timestamp"]
+    assert sorted(r.login_id for r in good.collect()) == ["l", "m"]
+    assert bad_frames(raw, contract, "json").where("dlq_reason = 'undecodable body'").count() == 5
