@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-# The location list of the feeds and the first millisecond of the data.
+# Values of this fixture. Only 'Unknown' has a meaning: the score looks for it.
 LOCATIONS = ("New York", "London", "Paris", "Tokyo", "Berlin", "Unknown")
 START_MILLIS = 1704067200000
 SPEED = 20
