@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskstream.llm.common import read_table, written
 from riskstream.llm.decontaminate import decontaminated
@@ -22,8 +22,11 @@ SHINGLE, DIFFERENT_BITS = 4, 4          # as the operator's own query has them
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language can be told: null texts and texts without a letter."""
-    found = identify(docs, learn_languages(docs))
+    """Drops documents in which no language can be told: null texts and texts without a letter, also if no language is learned."""
+    model = learn_languages(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = identify(docs, model)
     return found.where(found["lang_pred"] != UNKNOWN).select(docs.columns)
 
 

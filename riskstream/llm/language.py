@@ -104,20 +104,22 @@ def learn_languages(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPL
     """One tree for each distinct non-null `lang` of rows that may be learned.
 
     Of each language at most `rows` whole texts of 1 to `chars` characters are read, those with the
-    smallest hash of text and id; that bounds the sample. Only the languages' numbers of rows and the
-    sample reach the driver.
+    smallest hash of text and id; that bounds the sample. A language that has longer texts only is learned
+    from their first `chars` characters. Only the languages' numbers of rows and the sample reach the driver.
     """
-    usable = learning_part(docs).where(
-        F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= chars))
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
+    usable = learning_part(docs).where(F.col("lang").isNotNull() & (F.length("text") > 0))
+    short = F.length("text") <= chars
+    found = usable.groupBy("lang").agg(F.count(F.when(short, 1)), F.count("*")).collect()
+    counts = {lang: few or n for lang, few, n in found}
     if not counts:
         return LanguageModel([], [])
+    usable = usable.where(short | F.col("lang").isin([lang for lang, few, _ in found if not few]))
     order = F.xxhash64("text", "doc_id")
     # A third of the bound more than needed in the mean, then cut: each task sends few rows.
     least = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (2 * rows + 50) / n))])
     drawn = usable.where((F.pmod(order, F.lit(1 << 20)) / float(1 << 20)) < least[F.col("lang")])
     sample: dict[str, list[tuple[int, str]]] = defaultdict(list)
-    for r in drawn.select("lang", order.alias("at"), "text").collect():
+    for r in drawn.select("lang", order.alias("at"), F.substring("text", 1, chars).alias("text")).collect():
         sample[r.lang].append((r.at, r.text))
     languages = sorted(sample)
     return LanguageModel(languages, [

@@ -72,3 +72,9 @@ def test_blocks_give_the_same_as_whole_texts(monkeypatch):
     whole = language._lengths(plain, texts)
     monkeypatch.setattr(language, "BLOCK", 64)
     assert np.allclose(whole, language._lengths(plain, texts))
+
+
+def test_a_language_of_long_texts_only_is_learned(docs_of):
+    from riskstream.llm.language import learn_languages
+    docs = docs_of([(1, "long words " * 20), (None, "long words again " * 20)])
+    assert learn_languages(docs, chars=50).languages == ["en"]

@@ -38,3 +38,9 @@ def test_odd_rows(spark, odd_docs, docs_of):
             before, docs = docs.columns, written(stage(spark, docs, SF), "stage")
             assert docs.columns == before
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= 0
+
+
+def test_without_languages_texts_with_letters_stay(spark, docs_of):
+    docs = docs_of([(1, "some words"), (2, "12 34"), (3, None), (4, "слова")]).selectExpr(
+        "doc_id", "text", "CAST(null AS string) AS lang", "source", "n_chars")
+    assert sorted(r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF).collect()) == [1, 4]
