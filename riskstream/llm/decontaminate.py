@@ -17,13 +17,15 @@ UNITS = ("mm cm m km in ft yd mi mile miles meter meters metre metres mg g kg lb
 def with_words(df: DataFrame) -> DataFrame:
     """`df` with raw, the words of `text` without punctuation, and words, the same as a template: a word with a
     digit is <num>, a measure after one is <unit>, a word that starts with a capital is <name>, the rest
-    is lower-cased. Null text has none."""
+    is lower-cased. raw_folded and folded: the same with case folded first, so without <name>. Null text has none."""
     plain = F.trim(F.regexp_replace(F.regexp_replace("text", r"[^\p{L}\p{N}\s]+", ""), r"\s+", " "))
     template = F.regexp_replace(plain, r"(?<!\S)\S*[0-9]\S*", "<num>")
     template = F.regexp_replace(template, r"(?<=<num> )(?:" + "|".join(UNITS) + r")(?!\S)", "<unit>")
     template = F.regexp_replace(template, r"(?<!\S)\p{Lu}\S*", "<name>")
     cut = lambda text: F.when(F.length(text) > 0, F.split(text, " ", -1)).otherwise(F.array().cast("array<string>"))
-    return df.withColumns({"raw": cut(plain), "words": cut(F.lower(template))})
+    folded = F.regexp_replace(F.lower(plain), r"(?<!\S)\S*[0-9]\S*", "<num>")
+    folded = F.regexp_replace(folded, r"(?<=<num> )(?:" + "|".join(UNITS) + r")(?!\S)", "<unit>")
+    return df.withColumns({"raw": cut(plain), "words": cut(F.lower(template)), "raw_folded": cut(F.lower(plain)), "folded": cut(folded)})
 
 
 def _hashes(words: Column, width: int) -> Column:
@@ -82,10 +84,38 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sh
         F.max("same").alias("same"))
 
 
+def folded_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE) -> DataFrame:
+    """(doc_id, _text): the documents that hold an item by its template windows together with windows of case-folded words,
+    in which only numbers and units are placeholders, so that a copy in other case is found as well. Slots are told
+    apart by kind of window. Otherwise as `benchmark_hits`."""
+    def placed(df: DataFrame, at: str, *kept: str) -> DataFrame:
+        both = [df.select(*kept, F.lit(kind).alias("kind"), F.col(raw).alias("raw"), F.col(words).alias("words"))
+                for kind, raw, words in (("template", "raw", "words"), ("folded", "raw_folded", "folded"))]
+        return both[0].union(both[1]).select(*kept, "kind", "raw", "words", F.posexplode(_hashes(F.col("words"), width)).alias(at, "window"))
+
+    items = with_words(benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text")).withColumn(
+        "item", F.xxhash64("item_id", "text")).dropDuplicates(["item"]).withColumn("total", F.size("words") - width + 1)
+    items = placed(items, "item_at", "item", "total")
+    items = items.select("item", "total", "item_at", "kind", "window", _slots(F.col("raw"), F.col("words"), F.col("item_at"), width).alias("item_slots"))
+    if items.count() <= BROADCAST_ROWS:
+        items = F.broadcast(items)
+    windows = placed(with_words(docs.select("doc_id", F.xxhash64("text").alias("_text"), "text")), "doc_at", "doc_id", "_text")
+    found = windows.join(items, ["kind", "window"]).select(
+        "doc_id", "_text", "item", "total", "item_at", (F.col("doc_at") - F.col("item_at")).alias("diagonal"),
+        F.filter(F.arrays_zip(F.transform("item_slots", lambda w: F.concat("kind", F.lit(" "), w)).alias("was"), _slots(
+            F.col("raw"), F.col("words"), F.col("doc_at"), width).alias("now")), lambda s: s["was"].isNotNull()).alias("slots"))
+    keys = ["doc_id", "_text", "item", "total"]
+    diagonals = found.groupBy(*keys, "diagonal").agg(
+        F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    consistent = diagonals.where(F.size(F.array_distinct(F.transform("slots", lambda s: s["was"]))) == F.size("slots"))
+    held = consistent.groupBy(*keys).agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("windows"))
+    return held.where(F.col("windows") >= F.ceil(F.lit(share) * F.col("total"))).select("doc_id", "_text")
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE) -> DataFrame:
-    """`docs`, all columns, without the rows that hold a benchmark item. Null and empty texts stay."""
-    hits = benchmark_hits(docs, benchmark, width, share).select(
-        F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).distinct()
+    """`docs`, all columns, without the rows that hold a benchmark item, by its template or in other case. Null and empty texts stay."""
+    hits = benchmark_hits(docs, benchmark, width, share).select("doc_id", "_text").union(
+        folded_hits(docs, benchmark, width, share)).toDF("_id", "_hash").distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
     return docs.join(hits, same, "left_anti")
 

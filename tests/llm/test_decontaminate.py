@@ -45,3 +45,10 @@ def test_odd_rows(spark, odd_docs, docs_of):
     assert left.columns == odd_docs.columns and left.count() == odd_docs.count() - 2
     assert decontaminated(docs_of([]), items).count() == 0
     assert decontaminated(odd_docs, items.where("false")).count() == odd_docs.count()
+
+
+def test_copies_in_other_case_are_dropped(spark, docs_of):
+    items = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
+    rows = [(1, FILL + ITEM.upper()), (2, FILL + ITEM.lower()), (3, ITEM.title()), (4, FILL.upper()),
+            (5, FILL + ITEM.upper().replace("3", "8", 1)), (6, FILL + ITEM.upper().replace("3", "8").replace("KG", "LB"))]
+    assert sorted(r.doc_id for r in decontaminated(docs_of(rows), items).collect()) == [4, 5]
