@@ -7,21 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm import decontaminate
+from riskstream.llm import decontaminate, phrases, urls
 from riskstream.llm.chat import formatted, read_back
 from riskstream.llm.common import hash_part, read_table
 from riskstream.llm.decontaminate import benchmark_hits
 from riskstream.llm.language import identify, learn_languages
 from riskstream.llm.lm import scored
 from riskstream.llm.packing import packed_documents
+from riskstream.llm.phrases import collocations
 from riskstream.llm.pii import personal_data, span_report
 from riskstream.llm.repeats import without_repeats
 from riskstream.llm.sampling import compared_with_next
 from riskstream.llm.simhash import near_components
+from riskstream.llm.urls import ALLOW, BLOCK, Rule, judged
 from riskstream.llm.warc import read_archives, write_archives
 from riskstream.workspace import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+URL_RULES = (Rule(BLOCK, "net"), Rule(ALLOW, "example.net", "/en/"), Rule(BLOCK, "example.com", "/de/"), Rule(ALLOW, "org", "/fr/"))
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +93,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("_text")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_warc": op2_warc,
@@ -101,6 +112,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
+    "op13_url_filter": op13_url_filter,
 }
 
-ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op10_decontamination": decontaminate.ORACLE,
+    "op11_collocations": phrases.oracle(),
+    "op13_url_filter": urls.oracle(URL_RULES),
+}
