@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskstream.llm import decontaminate, phrases, urls
+from riskstream.llm.alignment import alignment_report
 from riskstream.llm.chat import formatted, read_back
 from riskstream.llm.common import hash_part, read_table
 from riskstream.llm.decontaminate import benchmark_hits
@@ -24,6 +25,7 @@ from riskstream.llm.warc import read_archives, write_archives
 from riskstream.workspace import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARIES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 URL_RULES = (Rule(BLOCK, "net"), Rule(ALLOW, "example.net", "/en/"), Rule(BLOCK, "example.com", "/de/"), Rule(ALLOW, "org", "/fr/"))
 
 
@@ -97,6 +99,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read_table(spark, sf_dir, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(read_table(spark, sf_dir, "documents"), *VOCABULARIES)
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(read_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -113,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_collocations": op11_collocations,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_url_filter": op13_url_filter,
 }
 
