@@ -2,92 +2,106 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
 
 from riskstream.llm.common import arrow_pieces, kept_in_process, shuffle_partitions, written
+from riskstream.llm.subwords import PATTERN
 
-# Both vocabularies begin a token at a single space between two other characters, so texts are aligned in units that begin there.
-UNITS = re.compile(r"(?<=\S)(?= \S)")
 SPACE = "▁"                # stands for a space in pieces of the second vocabulary
-MOST_UNITS = 200_000            # units whose alignment a process keeps
+MOST_IN_GROUP = 4096            # links of a group that are listed one by one
 BLOCK_BITS = 12                 # documents of a block, as a power of two: a whole bitmap has 512 bytes
 MOST_LINKS = 2_000_000          # linked pairs of documents that a task turns into postings at once
 POSTING = "pair long, block long, plane int, bits binary"
 
 
-class Unit:
-    """A unit's alignment, or `valid` false where the tokens' bytes aren't those of the unit."""
-    __slots__ = ("n_a", "n_b", "n_groups", "links", "text", "pairs", "valid")
-
-    def __init__(self, unit: str, a: list[tuple[int, bytes]], b: list[tuple[int, bytes]]):
-        whole = unit.encode()
-        self.valid = b"".join(x for _, x in a) == whole == b"".join(x for _, x in b)
-        groups = aligned_groups(a, b) if self.valid else []
-        self.n_a, self.n_b, self.n_groups = len(a), len(b), len(groups)
-        self.text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
-        self.pairs = np.array([i << 32 | j for x, y in groups for i in x for j in y], np.int64)
-        self.links = len(self.pairs)
-
-
-def aligned_groups(a: list[tuple[int, bytes]], b: list[tuple[int, bytes]]) -> list[tuple[list[int], list[int]]]:
-    """Ids of both sides between the offsets at which tokens of both end. Tokens are (id, bytes) and have equal bytes in all."""
-    groups, at_a, at_b, left, right, j = [], 0, 0, [], [], 0
-    for i, raw in a:
-        left.append(i)
-        at_a += len(raw)
-        while j < len(b) and at_b < at_a:
-            right.append(b[j][0])
-            at_b += len(b[j][1])
-            j += 1
-        if at_a == at_b:
-            groups.append((left, right))
-            left, right = [], []
-    return groups
-
-
-class Aligner(dict):
-    """Maps a unit, which begins with a space, to its alignment; keeps those it has met."""
-
-    def __init__(self, byte_level: str, pieces: str):
-        super().__init__()
-        self.a = Tokenizer.from_file(byte_level)
-        self.a.encode_special_tokens = True
+class Aligner:
+    """Tokenizes texts both ways and cuts them where tokens of both end. `ranks` is a byte-level vocabulary as base64 tokens and
+    ranks, `pieces` a model that puts a space in front of a text."""
+
+    def __init__(self, ranks: str, pieces: str):
+        with open(ranks, "rb") as file:
+            tokens = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        # Without special tokens: their strings in a text are plain text.
+        self.a = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=tokens, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        signs = byte_signs()
-        self.bytes_a = {i: bytes(signs[c] for c in token) for token, i in self.a.get_vocab().items() if all(c in signs for c in token)}
-        self.bytes_b = {i: _piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())}
-
-    def __missing__(self, unit: str) -> Unit:
-        if len(self) >= MOST_UNITS:
-            self.clear()
-        a = [(i, self.bytes_a[i]) for i in self.a.encode(unit, add_special_tokens=False).ids]
-        # The second vocabulary puts the space in front itself.
-        b = [(i, self.bytes_b[i]) for i in self.b.encode(unit[1:])]
-        found = self[unit] = Unit(unit, a, b)
-        return found
-
-    def units(self, text: str | None) -> list[Unit]:
-        """The alignment of a text, or nothing."""
+        self.bytes_a = [token for token, _ in sorted(tokens.items(), key=lambda x: x[1])]
+        self.bytes_b = [_piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
+        self.lengths_a, self.lengths_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
+        # Each id as it is written: inside a list, and at its end.
+        self.written = [f"{i}{end}" for side, last in ((self.bytes_a, "|"), (self.bytes_b, ";")) for i in range(len(side)) for end in (",", last)]
+
+    def groups(self, text: str | None) -> Groups | None:
+        """None where there are no tokens: no text, or tokens whose bytes differ from it."""
         if not text:
-            return []
-        found = [self[unit] for unit in UNITS.split(" " + text)]
-        return found if all(unit.valid for unit in found) else []
-
-
-def byte_signs() -> dict[str, int]:
-    """The printable sign that a byte-level vocabulary writes for each byte: itself if it is a visible one, else the next unused."""
-    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [byte for byte in range(256) if byte not in visible]
-    return {**{chr(byte): byte for byte in visible}, **{chr(256 + n): byte for n, byte in enumerate(others)}}
+            return None
+        whole = " " + text
+        a, b = self.a.encode_ordinary(whole), self.b.encode(text)
+        raw = whole.encode()
+        if b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        return Groups(a, b, *grouped(np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])))
+
+    def text_of(self, found: Groups) -> str:
+        """`a1,a2|b1;a3|b2,b3`: both sides' ids, group after group."""
+        a, b, group_a, group_b = found
+        out = np.empty(len(a) + len(b), np.int64)
+        # What stands before a token: its own side so far, and the other side's groups so far.
+        before_a = np.searchsorted(group_b, group_a)
+        before_b = np.searchsorted(group_a, group_b, "right")
+        out[np.arange(len(a)) + before_a] = 2 * a + np.append(group_a[1:] != group_a[:-1], True)
+        out[np.arange(len(b)) + before_b] = 2 * (len(self.bytes_a) + b) + np.append(group_b[1:] != group_b[:-1], True)
+        return "".join([self.written[i] for i in out.tolist()])[:-1]
+
+
+class Groups(NamedTuple):
+    """Ids of both sides, and the number of each token's group."""
+    a: np.ndarray
+    b: np.ndarray
+    group_a: np.ndarray
+    group_b: np.ndarray
+
+    @property
+    def sizes(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.bincount(self.group_a), np.bincount(self.group_b)
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """The different linked pairs (a shifted by 32 bits, and b), and how often each is linked."""
+        n_a, n_b = self.sizes
+        starts_a, starts_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        large = n_a * n_b > MOST_IN_GROUP
+        each = np.where(large[self.group_a], 0, n_b[self.group_a])
+        offset = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        pairs = [np.repeat(self.a, each) << 32 | self.b[np.repeat(starts_b[self.group_a], each) + offset]]
+        times = [np.ones(len(pairs[0]), np.int64)]
+        for g in np.flatnonzero(large):
+            (x, m), (y, n) = (np.unique(ids[start:start + size], return_counts=True) for ids, start, size in (
+                (self.a, starts_a[g], n_a[g]), (self.b, starts_b[g], n_b[g])))
+            pairs.append((x[:, None] << 32 | y).ravel())
+            times.append((m[:, None] * n).ravel())
+        pair, time = np.concatenate(pairs), np.concatenate(times)
+        order = np.argsort(pair, kind="stable")
+        pair, time = pair[order], time[order]
+        first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        return pair[first], np.add.reduceat(time, first)
+
+
+def grouped(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token the number of offsets before its end at which tokens of both sides end. Both sides end at the same offset."""
+    shared_a = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a
+    shared_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
+    return np.cumsum(shared_a) - shared_a, np.cumsum(shared_b) - shared_b
 
 
 def _piece_bytes(piece: str) -> bytes:
@@ -99,7 +113,7 @@ def _piece_bytes(piece: str) -> bytes:
 STATS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
+def aligned(docs: DataFrame, ranks: str, pieces: str) -> DataFrame:
     """(number, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs, times): the alignment of each whole text of `docs`.
 
     `number` tells rows apart, repeated ones too, so the result must be written before it is read twice. `pairs` are the different linked ids
@@ -109,9 +123,9 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     ids = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = kept_in_process(("aligner", byte_level, pieces), lambda: Aligner(byte_level, pieces))
+        aligner = kept_in_process(("aligner", ranks, pieces), lambda: Aligner(ranks, pieces))
         for batch in arrow_pieces(batches, "text"):
-            rows = [_row(aligner.units(text)) for text in batch.column("text").to_pylist()]
+            rows = [_row(aligner, text) for text in batch.column("text").to_pylist()]
             if rows:
                 kinds = [pa.int64()] * len(STATS) + [pa.string(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
@@ -123,13 +137,14 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     return numbered.mapInArrow(run, f"number long, doc_id {ids}, {stats}, groups_sha256 string, pairs binary, times binary")
 
 
-def _row(units: list[Unit]) -> tuple[int, int, int, int, str, bytes, bytes]:
-    if not units:
+def _row(aligner: Aligner, text: str | None) -> tuple[int, int, int, int, str, bytes, bytes]:
+    found = aligner.groups(text)
+    if found is None:
         return 0, 0, 0, 0, "", b"", b""
-    digest = hashlib.sha256(";".join([unit.text for unit in units]).encode()).hexdigest()
-    pairs, times = np.unique(np.concatenate([unit.pairs for unit in units]), return_counts=True)
-    return (sum(u.n_a for u in units), sum(u.n_b for u in units), sum(u.n_groups for u in units), sum(u.links for u in units),
-            digest, pairs.astype("<i8").tobytes(), times.astype("<i8").tobytes())
+    n_a, n_b = found.sizes
+    pairs, times = found.links()
+    return (len(found.a), len(found.b), len(n_a), int(n_a @ n_b), hashlib.sha256(aligner.text_of(found).encode()).hexdigest(),
+            pairs.astype("<i8").tobytes(), times.astype("<i8").tobytes())
 
 
 def packed_postings(pair: np.ndarray, block: np.ndarray, plane: np.ndarray, low: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -299,13 +314,13 @@ def document_scores(postings: DataFrame, counts: DataFrame) -> DataFrame:
     return by_block.mapInArrow(run, "number long, n_best long, count_sum long")
 
 
-def alignment_report(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
+def alignment_report(docs: DataFrame, ranks: str, pieces: str) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), a row per document.
 
     `count_sum` adds up, over a text's links, in how many documents the linked pair of ids is; `n_best` are the links whose pair has the most
     documents of all with its first id. Other columns of `docs` are not read; repeated rows count each for itself.
     """
-    links = written(aligned(docs, byte_level, pieces), "aligned")
+    links = written(aligned(docs, ranks, pieces), "aligned")
     postings = written(merged_postings(written(partial_postings(links), "part-postings")), "postings")
     scores = document_scores(postings, written(pair_counts(postings), "pair-counts"))
     zero = [F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in ("n_best", "count_sum")]

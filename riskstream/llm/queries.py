@@ -25,7 +25,7 @@ from riskstream.llm.warc import read_archives, write_archives
 from riskstream.workspace import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-VOCABULARIES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 URL_RULES = (Rule(BLOCK, "net"), Rule(ALLOW, "example.net", "/en/"), Rule(BLOCK, "example.com", "/de/"), Rule(ALLOW, "org", "/fr/"))
 
 
@@ -100,7 +100,7 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignment_report(read_table(spark, sf_dir, "documents"), *VOCABULARIES)
+    return alignment_report(read_table(spark, sf_dir, "documents"), RANKS, PIECES)
 
 
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

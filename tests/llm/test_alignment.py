@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -10,20 +11,27 @@ from tokenizers import Tokenizer
 
 from riskstream.llm import alignment
 from riskstream.llm.alignment import (
-    Aligner, aligned, aligned_groups, alignment_report, byte_signs, merged_postings, packed_postings, pair_counts, partial_postings, unpacked)
-from riskstream.llm.queries import VOCABULARIES, op12_tokenizer_alignment
+    Aligner, aligned, alignment_report, grouped, merged_postings, packed_postings, pair_counts, partial_postings, unpacked)
+from riskstream.llm.queries import PIECES, RANKS, op12_tokenizer_alignment
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
+def byte_signs():
+    """The sign that the vocabulary's file writes for each byte."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in visible]
+    return {**{chr(byte): byte for byte in visible}, **{chr(256 + n): byte for n, byte in enumerate(others)}}
+
+
 class Plain:
     """Whole texts through both tokenizers, cut where offsets meet."""
 
     def __init__(self):
-        self.a = Tokenizer.from_file(VOCABULARIES[0])
+        self.a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
         self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=VOCABULARIES[1])
+        self.b = sentencepiece.SentencePieceProcessor(model_file=PIECES)
         self.signs = byte_signs()
 
     def groups(self, text):
@@ -81,23 +89,39 @@ ODD_TEXTS = ["a  b", " a", "a ", "\n\nx", "é😀", "<s> x </s> <unk>", "\u2581x
 
 def test_odd_texts_equal_brute_force(docs_of, plain):
     rows = list(enumerate(ODD_TEXTS + ODD_TEXTS[:3]))
-    assert found(alignment_report(docs_of(rows), *VOCABULARIES)) == plain.report(rows)
+    assert found(alignment_report(docs_of(rows), RANKS, PIECES)) == plain.report(rows)
 
 
 def test_random_texts_equal_whole_tokenisation(plain):
-    draw, aligner = random.Random(5), Aligner(*VOCABULARIES)
+    draw, aligner = random.Random(5), Aligner(RANKS, PIECES)
     signs = [" ", " ", " ", "\n", "\t", "a", "The", "é", "ing", "'s", "1", "23", ".", ",", "😀", "\u00a0", "\u3000", "ß", "漢字", "\x1d", "\r", "<s>"]
     for _ in range(1500):
         text = "".join(draw.choices(signs, k=draw.randint(1, 25)))
         n_a, n_b, groups = plain.groups(text)
-        units = aligner.units(text)
-        assert (sum(u.n_a for u in units), sum(u.n_b for u in units), sum(u.n_groups for u in units)) == (n_a, n_b, len(groups)), repr(text)
-        assert ";".join(u.text for u in units) == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        row = alignment._row(aligner, text)
+        assert row[:4] == (n_a, n_b, len(groups), sum(len(x) * len(y) for x, y in groups)), repr(text)
+        written = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        assert row[4] == (hashlib.sha256(written.encode()).hexdigest() if n_a else "")
+
+
+def test_both_files_of_the_first_vocabulary_give_the_same_ids(plain):
+    aligner = Aligner(RANKS, PIECES)
+    for start in range(0, 0x3100, 64):
+        text = "".join(f" a{c}b {c} {c}1{c}'s\n{c} " for c in map(chr, range(start, start + 64)))
+        assert plain.a.encode(text, add_special_tokens=False).ids == aligner.a.encode_ordinary(text), hex(start)
 
 
 def test_groups():
-    assert aligned_groups([(1, b"ab"), (2, b"c"), (3, b"d")], [(7, b"a"), (8, b"bc"), (9, b"d")]) == [([1, 2], [7, 8]), ([3], [9])]
-    assert aligned_groups([], []) == []
+    ends = np.array([2, 3, 4]), np.array([1, 3, 4])
+    assert [x.tolist() for x in grouped(*ends)] == [[0, 0, 1], [0, 0, 1]]
+
+
+def test_large_groups_link_the_same(monkeypatch):
+    found = alignment.Groups(np.array([1, 2, 1, 5]), np.array([7, 7, 8, 7]), np.array([0, 0, 0, 1]), np.array([0, 0, 0, 1]))
+    expected = [(1 << 32 | 7, 4), (1 << 32 | 8, 2), (2 << 32 | 7, 2), (2 << 32 | 8, 1), (5 << 32 | 7, 1)]
+    assert list(zip(*(x.tolist() for x in found.links()))) == expected
+    monkeypatch.setattr(alignment, "MOST_IN_GROUP", 2)
+    assert list(zip(*(x.tolist() for x in found.links()))) == expected
 
 
 def test_postings_pack_and_unpack():
@@ -119,9 +143,8 @@ def test_parts_of_a_block_are_merged(spark, plain, docs_of, monkeypatch):
     rows = [(i, t) for i, t in enumerate(["so so so it is", "it is so", "is it", "so so"] * 20)]
     expected = plain.report(rows)
     monkeypatch.setattr(alignment, "MOST_LINKS", 5)
-    monkeypatch.setattr(alignment, "MOST_UNITS", 2)
     docs = docs_of(rows)
-    links = aligned(docs, *VOCABULARIES).cache()
+    links = aligned(docs, RANKS, PIECES).cache()
     parts = partial_postings(links).cache()
     merged = merged_postings(parts).cache()
     assert parts.count() > merged.count()
@@ -131,18 +154,18 @@ def test_parts_of_a_block_are_merged(spark, plain, docs_of, monkeypatch):
         assert r.n_docs == sum((r.a, r.b) in p for p in per) and r.n_links == sum(p[r.a, r.b] for p in per)
     again = merged_postings(parts.drop("n").unionByName(parts))     # repeated parts change nothing
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, merged.collect()))
-    assert found(alignment_report(docs, *VOCABULARIES)) == expected
+    assert found(alignment_report(docs, RANKS, PIECES)) == expected
 
 
 def test_a_pair_in_all_documents_over_several_blocks(spark, plain, monkeypatch):
     rows = [(i, "common words" if i % 3 else f"common n{i}") for i in range(900)]
     monkeypatch.setattr(alignment, "BLOCK_BITS", 5)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert found(alignment_report(docs, *VOCABULARIES)) == plain.report(rows)
+    assert found(alignment_report(docs, RANKS, PIECES)) == plain.report(rows)
 
 
 def test_odd_rows(odd_docs, docs_of, plain):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
-    assert found(alignment_report(odd_docs.selectExpr("*", "'x' AS number", "'y' AS pairs", "1 AS n_a"), *VOCABULARIES)) == plain.report(rows)
-    assert alignment_report(docs_of([]), *VOCABULARIES).count() == 0
-    assert found(alignment_report(docs_of([(1, None), (None, "")]), *VOCABULARIES)) == plain.report([(1, None), (None, "")])
+    assert found(alignment_report(odd_docs.selectExpr("*", "'x' AS number", "'y' AS pairs", "1 AS n_a"), RANKS, PIECES)) == plain.report(rows)
+    assert alignment_report(docs_of([]), RANKS, PIECES).count() == 0
+    assert found(alignment_report(docs_of([(1, None), (None, "")]), RANKS, PIECES)) == plain.report([(1, None), (None, "")])
