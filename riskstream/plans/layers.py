@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskstream.operators.alerts import activity_then_tx, login_then_tx
+from riskstream.operators.interval_join import HotSpan
 from riskstream.operators.lateness import mark_on_time
 from riskstream.operators.routes import ROUTES, tag_feed, tagged, union_aligned
 from riskstream.operators.scoring import score_transactions
@@ -34,7 +35,7 @@ class Layers:
     feeds: Feeds
     settings: Settings
     proc_time: Column | str | None = None
-    hot: Sequence[str] = ()
+    hot: Sequence[str | HotSpan] = ()
 
     def _marked(self, df: DataFrame) -> DataFrame:
         df = mark_on_time(df, self.settings.late_allowance, self.proc_time)

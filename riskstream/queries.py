@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import TimestampType
 
 from riskstream.functions.clock import add_dt_hr, add_event_time
@@ -19,7 +19,7 @@ from riskstream.operators.keyed import serving_alerts
 from riskstream.operators.lateness import split_late
 from riskstream.operators import routes
 from riskstream.operators.routes import ROUTES
-from riskstream.operators.sinks import write_layer
+from riskstream.operators.sinks import COMPACTED, write_layer
 from riskstream.plans.compaction import compact, compact_in_place, inventory
 from riskstream.plans.gold import daily_kpi, daily_kpi_by_flag, location_risk
 from riskstream.plans.hourly import run_hour
@@ -303,9 +303,10 @@ def compacted_day(lake: Lake) -> DataFrame:
     """A day of alerts compacted into itself."""
     lake.write_in_batches("ALERT", lake.alerts)
     compact_in_place(lake.spark, lake.settings, "ALERT", DAY)
+    leaves_left = F.size(F.collect_set("batch_id").over(Window.partitionBy("dt", "hr"))).alias("leaves")
     return lake.read("ALERT", DAY).select(
         "account_id", "event_time", "transaction_id", "alert_type", "login_id", "risk_score",
-        "dt", "hr", "batch_id")
+        "dt", "hr", F.col("batch_id").startswith(COMPACTED).alias("compacted"), leaves_left)
 
 
 @query
@@ -391,6 +392,14 @@ def stream_activity_then_tx(lake: Lake) -> DataFrame:
         *lake.layers().activity_alerts.columns)
 
 
+@query
+def stream_growing_hot_list(lake: Lake) -> DataFrame:
+    """All alerts of a replay whose list of busy accounts is empty at first and measured again at each restart."""
+    feeds = ("BRONZE_TX", "BRONZE_LOGIN", "BRONZE_ACTIVITY")
+    replay(lake.spark, lake.settings, lake.decoded, slices=3, only=(*feeds, "ALERT"), grow_hot=True)
+    return lake.read("ALERT").select(*lake.alerts.columns)
+
+
 @query
 def stream_route_counts(lake: Lake) -> DataFrame:
     """All routes through one query; counts of what landed in the lake."""

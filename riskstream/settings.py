@@ -52,6 +52,7 @@ class Settings:
     # At most 1 / hot_share accounts can qualify, which bounds the list.
     hot_share: float = 0.01
     hot_salts: int = 16
+    hot_hours: int = 6                        # of the lake, latest first, in which accounts are measured
 
     def layer(self, name: str) -> str:
         return f"{self.root}/{name}"

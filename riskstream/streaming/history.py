@@ -15,6 +15,7 @@ from riskstream.settings import Settings
 from riskstream.sources.events import Feeds
 from riskstream.sources.feeds import CONTRACTS, Contract
 from riskstream.sources.files import stream_files
+from riskstream.streaming.hot_accounts import grown_hot_accounts
 from riskstream.streaming.jobs import start_router, stream_session, unified_stream
 
 REPLAYED = schemas.merge(schemas.RAW, StructType([StructField("proc_time", TimestampType())]))
@@ -66,20 +67,23 @@ def time_slices(feeds: Feeds, at_least: int = 1) -> list[tuple[int, int]]:
 
 
 def replay(spark: SparkSession, settings: Settings, feeds: Feeds, slices: int = 3,
-           only: Iterable[str] = tuple(ROUTES), hot: Iterable[str] = (), open_store=None) -> list[int]:
+           only: Iterable[str] = tuple(ROUTES), hot: Iterable[str] = (), open_store=None,
+           grow_hot: bool = False) -> list[int]:
     """Stream the feeds slice by slice into the lake; returns the input rows of each micro-batch.
 
     A slice is staged completely, then a query on the same checkpoint takes it as one micro-batch
     and stops. Batches therefore follow event time, no row falls behind the watermark however the
-    files are ordered, and every slice but the first restarts from the checkpoint.
+    files are ordered, and every slice but the first restarts from the checkpoint. `grow_hot`: before each slice the
+    list of busy accounts is measured again.
     """
     session = stream_session(spark, settings)
     topics = settings.layer("_staging/topics")
     sizes: list[int] = []
     for number, (first, after) in enumerate(time_slices(feeds, slices)):
         stage_slice(feeds, topics, first, after, untimed=number == 0)
+        busy = (*hot, *grown_hot_accounts(session, settings)) if grow_hot else tuple(hot)
         unified = unified_stream(
-            topic_streams(session, topics), settings, "json", "proc_time", tuple(hot), only)
+            topic_streams(session, topics), settings, "json", "proc_time", busy, only)
         query = start_router(unified, settings, open_store=open_store, available_now=True)
         query.awaitTermination()
         sizes += [progress.numInputRows for progress in query.recentProgress]

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.functions.clock import add_dt_hr, add_event_time
-from riskstream.operators.interval_join import hot_keys
+from riskstream.operators.interval_join import HotSpan
 from riskstream.operators.routes import ROUTES
 from riskstream.operators.scoring import score_transactions
 from riskstream.plans.layers import Layers, unify
 from riskstream.settings import Settings
 from riskstream.sources.events import Feeds
 from riskstream.sources.feeds import CONTRACTS, decode_feed, ingest
-from riskstream.sources.files import folder_exists
 from riskstream.sources.kafka import read_kafka
+from riskstream.streaming.hot_accounts import grown_hot_accounts
 from riskstream.streaming.router import dual_write_router, foreach_batch_router
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -65,7 +66,7 @@ def rows_dropped_by_watermark(query: StreamingQuery) -> int:
 
 
 def unified_stream(raw: Feeds, settings: Settings, body: str = "avro",
-                   proc_time: Column | str | None = None, hot: Sequence[str] = (),
+                   proc_time: Column | str | None = None, hot: Sequence[str | HotSpan] = (),
                    only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
     """Raw framed topics -> tagged union."""
     feeds = Feeds(*(ingest(df, contract, body) for df, contract in zip(raw, CONTRACTS.values())))
@@ -92,7 +93,8 @@ def run_stream(spark: SparkSession, settings: Settings, body: str = "avro",
     """
     session = stream_session(spark, settings)
     topics = kafka_topics(session, settings)
-    hot = pinned_hot_accounts(session, settings)
+    # Joins on a query of their own may be ahead of the layers.
+    hot = grown_hot_accounts(session, settings, time.time_ns() // 1000 if split else None)
     plain = [tag for tag in ROUTES if tag != "ALERT"]
     groups = {"layers": plain, "alerts": ["ALERT"]} if split else {"risk_layers": list(ROUTES)}
     return [
@@ -101,26 +103,6 @@ def run_stream(spark: SparkSession, settings: Settings, body: str = "avro",
     ]
 
 
-def pinned_hot_accounts(spark: SparkSession, settings: Settings) -> list[str]:
-    """Accounts the stream joins in parts, measured on bronze once per lake.
-
-    Rows already held as join state were split by the list in force when they arrived. The list is
-    therefore stored beside the checkpoints and read from there ever after; to measure it again,
-    start from new checkpoints.
-    """
-    pinned = settings.checkpoint("hot_accounts")
-    if folder_exists(spark, f"{pinned}/_SUCCESS"):
-        return sorted(row[0] for row in spark.read.schema("account_id string").json(pinned).collect())
-    route = ROUTES["BRONZE_TX"]
-    found = []
-    if folder_exists(spark, settings.layer(route.layer)):
-        bronze = spark.read.schema(route.stored).parquet(settings.layer(route.layer))
-        found = hot_keys(bronze, "account_id", settings.hot_share)
-    spark.createDataFrame([(key,) for key in found], "account_id string").coalesce(1).write.mode(
-        "overwrite").json(pinned)
-    return found
-
-
 def dual_write_stream(raw: DataFrame, settings: Settings, body: str = "avro") -> DataFrame:
     decoded = decode_feed(raw, CONTRACTS["transactions"], body)
     return add_dt_hr(add_event_time(score_transactions(decoded, settings.high_risk_threshold)))

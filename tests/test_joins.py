@@ -5,7 +5,7 @@ from helpers import activity, at, logins, rows_of, scored_tx
 
 from riskstream.functions.clock import add_event_time
 from riskstream.operators.alerts import activity_then_tx, login_then_tx
-from riskstream.operators.interval_join import hot_keys
+from riskstream.operators.interval_join import HotSpan, hot_keys
 from riskstream.plans.layers import Layers
 from riskstream.settings import Settings
 from riskstream.sources.events import EVENTS, Feeds, feeds_from_events
@@ -92,6 +92,25 @@ def test_every_form_equals_brute_force(spark, seed):
         assert rows_of(login_then_tx(tx, log, **form), "transaction_id", "login_id") == brute
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_spans_of_hot_keys_change_nothing(spark, seed):
+    tx, log, brute = random_frames(spark, seed, accounts=3)
+    begin = int(at(0).timestamp() * 1_000_000)
+    spans = [HotSpan("hot", begin + 100_000_000, begin + 400_000_000), HotSpan("hot", begin + 600_000_000), HotSpan("a1", begin, begin)]
+    for hot in (spans, [*spans, "a2"]):
+        pairs = login_then_tx(tx, log, hot=hot, hot_parts=5)
+        assert rows_of(pairs, "transaction_id", "login_id") == brute
+    with pytest.raises(ValueError, match="needs cells"):
+        login_then_tx(tx, log, hot=spans, cells=False)
+
+
+def test_a_span_begins_behind_all_state():
+    width = 60
+    first, after = HotSpan("k", 125, 200).cells(width)
+    # A trigger at 125 reaches until 185, in cell 3.
+    assert (first, after) == (4, 5) and HotSpan("k", 120).cells(width) == (4, None)
+
+
 def test_hot_keys_are_exactly_those_above_the_share(spark):
     df = spark.createDataFrame([("a",)] * 50 + [("b",)] * 30 + [("c",)] * 20 + [(None,)] * 100, "k string")
     assert hot_keys(df, "k", 0.15) == ["a", "b"]

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from riskstream.__main__ import arguments, main
 from riskstream.operators.keyed import high_risk_cells, latest_by_key, put_rows, serving_alerts
+from riskstream.functions.clock import add_dt_hr
+from riskstream.operators.interval_join import HotSpan
 from riskstream.operators.routes import ROUTES, route_counts, tagged, union_aligned
 from riskstream.plans.layers import unify
 from riskstream.queries import Lake
@@ -19,8 +21,9 @@ from riskstream.streaming.history import (
     REPLAYED, as_messages, replay, stage_slice, time_slices, topic_streams,
 )
 from riskstream.streaming import jobs
+from riskstream.streaming.hot_accounts import grown_hot_accounts
 from riskstream.streaming.jobs import (
-    dual_write_stream, pinned_hot_accounts, rows_dropped_by_watermark, start_dual_write, start_router, stream_session, unified_stream,
+    dual_write_stream, rows_dropped_by_watermark, start_dual_write, start_router, stream_session, unified_stream,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -238,13 +241,41 @@ def test_last_write_wins_per_key(spark):
     assert rows_of(latest_by_key(rows, F.desc("batch")), "row_key", "v") == [("j", "only"), ("k", "new")]
 
 
-def test_hot_accounts_are_measured_once(lake, spark):
-    assert pinned_hot_accounts(spark, Lake(spark, SF).settings) == []
+def test_hot_accounts_come_and_go(lake, spark):
+    assert grown_hot_accounts(spark, lake.settings) == []
     lake.write("BRONZE_TX", lake.silver)
-    assert pinned_hot_accounts(spark, lake.settings) == ["ACC-1000"]  # one account holds it all
-    other = union_aligned([lake.silver.withColumn("account_id", F.lit(x)) for x in ("p", "q")])
-    lake.write("BRONZE_TX", other)
-    assert pinned_hot_accounts(spark, lake.settings) == ["ACC-1000"]
+    latest = lake.silver.agg(F.max(F.unix_micros("event_time"))).first()[0]
+    one = HotSpan("ACC-1000", latest)           # one account holds it all
+    assert grown_hot_accounts(spark, lake.settings) == [one] == grown_hot_accounts(spark, lake.settings)
+    later = lake.silver.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL '3' DAY")).drop("dt", "hr")
+    other = union_aligned([add_dt_hr(later).withColumn("account_id", F.lit(x)) for x in ("p", "q")])
+    lake.write("BRONZE_LOGIN", other.withColumn("login_id", F.lit("l")))
+    settings = replace(lake.settings, hot_hours=1, watermark_delay="9 weeks")
+    last = latest + 3 * 86_400_000_000
+    assert grown_hot_accounts(spark, settings) == [one._replace(until=last), HotSpan("p", last), HotSpan("q", last)]
+    # Rows of the first span can't come any more.
+    assert grown_hot_accounts(spark, lake.settings, now=last + 3_600_000_000) == [HotSpan("p", last), HotSpan("q", last)]
+
+
+def test_list_of_an_older_lake_is_in_force_from_the_beginning(lake, spark):
+    spark.createDataFrame([("ACC-1000",)], "account_id string").coalesce(1).write.json(lake.settings.checkpoint("hot_accounts"))
+    assert [span.key for span in grown_hot_accounts(spark, lake.settings)] == ["ACC-1000"]
+
+
+def test_state_of_an_account_spreads_once_it_is_listed(lake, spark):
+    """The list grows between two restarts: older state is found, newer rows lie in several tasks."""
+    settings = replace(lake.settings, watermark_delay="9 weeks")        # all state is kept
+    replay(spark, settings, lake.decoded, slices=3, only=("BRONZE_TX", "BRONZE_LOGIN", "BRONZE_ACTIVITY", "ALERT"), grow_hot=True)
+    columns = lake.alerts.columns
+    assert rows_of(lake.read("ALERT"), *columns) == rows_of(lake.alerts, *columns)
+    [span] = grown_hot_accounts(spark, settings)
+    state = stream_session(spark, settings).read.format("statestore").option("joinSide", "left").option("operatorId", 0).load(
+        settings.checkpoint("risk_layers")).select("partition_id", "value.*")
+    cells = state.where(F.col("account_id") == span.key).groupBy("_cell").agg(
+        F.count("*").alias("n"), F.countDistinct("_part").alias("parts"), F.max("_part").alias("last"))
+    first = min(span.cells(width)[0] for width in (60_000_000, 300_000_000))
+    assert cells.where((F.col("_cell") < first) & (F.col("last") > 0)).isEmpty()
+    assert cells.where((F.col("_cell") >= first) & (F.col("parts") > 1)).count() > 0
 
 
 def test_callers_session_is_left_alone(spark, lake):
