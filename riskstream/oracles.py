@@ -153,6 +153,8 @@ _QUERIES = {
         FROM tx WHERE on_time AND dt = DATE '2024-01-01' AND hr = 7""",
     "compacted_day": """SELECT account_id, event_time, transaction_id, alert_type, login_id,
         risk_score, dt, hr, true AS compacted, CAST(1 AS INTEGER) AS leaves FROM alert WHERE dt = DATE '2024-01-01'""",
+    "folded_hours": """SELECT account_id, event_time, transaction_id, alert_type, login_id,
+        risk_score, dt, hr, CAST(0 AS INTEGER) AS leaves_left FROM alert WHERE dt = DATE '2024-01-01'""",
     "partition_inventory": "SELECT dt, hr, count(*) AS row_count FROM tx WHERE on_time GROUP BY dt, hr",
     "synced_table_counts": """SELECT dt, hr, count(*) AS late_count,
         CAST(0 AS BIGINT) AS count_before_sync FROM tx WHERE NOT on_time GROUP BY dt, hr""",
@@ -186,6 +188,7 @@ _QUERIES = {
     "stream_route_counts": _COUNTS,
     "replay_null_times": """SELECT CASE WHEN on_time AND NOT ends_with(transaction_id, '7') THEN 'BRONZE_TX' ELSE 'LATE_TX' END
         AS _type, count(*) AS row_count FROM tx GROUP BY ALL""",
+    "stream_commit_records": _COUNTS,
     "stream_dual_write": """SELECT transaction_id, account_id, amount, risk_score,
         risk_score >= 50 AS is_high_risk, event_time, dt, hr FROM tx""",
 }

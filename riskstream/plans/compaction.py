@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable
 from math import ceil
@@ -14,6 +13,7 @@ from riskstream.operators.scoring import score_transactions
 from riskstream.operators.sinks import COMPACTED, write_leaves
 from riskstream.schemas import conform
 from riskstream.settings import Settings
+from riskstream.sources.commits import LIVE, finished
 from riskstream.sources.files import bytes_of, delete_folder, folder_exists, leaves, read_leaves
 
 
@@ -31,7 +31,6 @@ def inventory(layer: DataFrame) -> DataFrame:
 
 
 Leaves = list[tuple[int, str]]
-LIVE = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}-(\d+)")     # query id and micro-batch
 STEPS = "hr int, leaf string, fresh string, state string"
 
 
@@ -71,7 +70,7 @@ def compact(spark: SparkSession, settings: Settings, dt: str, hr: int | None = N
     origin, route = ROUTES[source], ROUTES[target]
     from_layer, to_layer = settings.layer(origin.layer), settings.layer(route.layer)
     old = leaves(spark, to_layer, dt, hr)
-    read = leaves(spark, from_layer, dt, hr)
+    read = finished(spark, settings, leaves(spark, from_layer, dt, hr))
     if not read:
         return
     taken = {*read, *_folded(spark, settings, origin, dt)}

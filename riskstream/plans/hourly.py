@@ -12,6 +12,7 @@ from riskstream.plans.gold import load_gold
 from riskstream.plans.serving import load_serving
 from riskstream.plans.tables import create_tables, sync_day
 from riskstream.settings import Settings, seconds
+from riskstream.sources.commits import clock_of_layers
 from riskstream.sources.files import folder_exists, read_hours
 
 
@@ -19,12 +20,18 @@ def hour_ready(spark: SparkSession, settings: Settings, dt: str, hr: int,
                now: datetime | None = None) -> bool:
     """Whether bronze holds rows of the hour and no on-time row of it can still arrive.
 
-    A micro-batch that began in time may still be writing: compaction replaces only leaves that it has read, so
-    what lands later stays, and repeating the hour takes it in.
+    A micro-batch that began in time may still be writing. Streams leave a record of each finished batch, so the hour is ready when one
+    with a later clock is finished; a stream without rows makes no batches and is waited for no longer than `idle_allowance`. In a lake
+    without records the wall clock alone decides: compaction replaces only leaves that it has read, so what
+    lands later stays, and repeating the hour takes it in.
     """
     end = datetime.fromisoformat(dt).replace(tzinfo=timezone.utc) + timedelta(hours=int(hr) + 1)
     now = now or datetime.now(timezone.utc)
-    if now < end + timedelta(seconds=seconds(settings.late_allowance)):
+    due = end + timedelta(seconds=seconds(settings.late_allowance))
+    if now < due:
+        return False
+    clock = clock_of_layers(spark, settings)
+    if clock is not None and clock < due and now < due + timedelta(seconds=seconds(settings.idle_allowance)):
         return False
     route = ROUTES["BRONZE_TX"]
     layer = settings.layer(route.layer)

@@ -28,12 +28,16 @@ DAILY_TABLES = {
 }
 
 
-def create_tables(spark: SparkSession, settings: Settings) -> None:
-    """External tables over the streamed layers, and daily ones for gold and serving. Safe to repeat, also in a
-    process whose catalog starts empty: what earlier ones have written is found again."""
+def create_database(spark: SparkSession, settings: Settings) -> None:
     if settings.database != "default":
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {settings.database} "
                   f"LOCATION '{settings.layer('gold')}'")
+
+
+def create_tables(spark: SparkSession, settings: Settings) -> None:
+    """External tables over the streamed layers, and daily ones for gold and serving. Safe to repeat, also in a
+    process whose catalog starts empty: what earlier ones have written is found again."""
+    create_database(spark, settings)
     for table, tag in LAYER_TABLES.items():
         route = ROUTES[tag]
         # A sync needs the folder, and a layer without rows so far has none.

@@ -28,10 +28,12 @@ from riskstream.plans import reports
 from riskstream.plans.reports import rows
 from riskstream.plans.serving import load_serving, serving_high_risk
 from riskstream.plans.tables import create_tables, sync_partitions
+from riskstream.plans.versions import drop_folded, fold_day, hours_table
 from riskstream.settings import Settings
 from riskstream.sources.events import EVENTS, Feeds, feeds_from_events
 from riskstream.sources.feeds import CONTRACTS, bad_frames, decode_feed
-from riskstream.sources.files import read_hours
+from riskstream.sources.commits import records
+from riskstream.sources.files import leaves, read_hours
 from riskstream.streaming.jobs import dual_write_stream, start_dual_write, stream_session
 from riskstream.streaming.history import replay, stage_slice, time_slices, topic_streams
 from riskstream.workspace import shared_folder
@@ -83,10 +85,10 @@ class Lake:
         route = ROUTES[tag]
         write_layer(df, self.settings.layer(route.layer), route, batch_id)
 
-    def write_in_batches(self, tag: str, df: DataFrame, batches: int = 4) -> None:
+    def write_in_batches(self, tag: str, df: DataFrame, batches: int = 4, prefix: str = "batch") -> None:
         """History laid out the way a stream leaves it: several leaves in every hour."""
         number = F.pmod(F.xxhash64("transaction_id"), F.lit(batches))
-        self.write(tag, df, F.concat(F.lit("batch-"), number.cast("string")))
+        self.write(tag, df, F.concat(F.lit(f"{prefix}-"), number.cast("string")))
 
     def read(self, tag: str, dt: str | None = None, hr: int | None = None) -> DataFrame:
         route = ROUTES[tag]
@@ -309,6 +311,19 @@ def compacted_day(lake: Lake) -> DataFrame:
         "dt", "hr", F.col("batch_id").startswith(COMPACTED).alias("compacted"), leaves_left)
 
 
+@query
+def folded_hours(lake: Lake) -> DataFrame:
+    """A day of alerts in versioned hours: folded in two rounds, with new leaves between them, and what was folded deleted."""
+    table, halves = "silver_fraud_alerts", F.pmod(F.xxhash64("transaction_id", "alert_type"), F.lit(2))
+    for half in (0, 1):
+        lake.write_in_batches("ALERT", lake.alerts.where(halves == half), batches=3, prefix=f"round-{half}")
+        fold_day(lake.spark, lake.settings, table, DAY)
+        drop_folded(lake.spark, lake.settings, table, DAY, keep_seconds=0)
+    left = len(leaves(lake.spark, lake.settings.layer(ROUTES["ALERT"].layer), DAY))
+    return lake.spark.table(hours_table(lake.settings, table)).where(F.col("dt") == F.to_date(F.lit(DAY))).select(
+        "account_id", "event_time", "transaction_id", "alert_type", "login_id", "risk_score", "dt", "hr", F.lit(left).alias("leaves_left"))
+
+
 @query
 def partition_inventory(lake: Lake) -> DataFrame:
     lake.write("BRONZE_TX", lake.silver.drop("risk_score", "is_high_risk"))
@@ -413,6 +428,13 @@ def stream_route_counts(lake: Lake) -> DataFrame:
     return routes.route_counts(union)
 
 
+@query
+def stream_commit_records(lake: Lake) -> DataFrame:
+    """Rows by route as the records of the finished micro-batches have them."""
+    noted = records(_streamed(lake).spark, lake.settings).select(F.explode("hours").alias("h"))
+    return noted.groupBy(F.col("h.tag").alias("_type")).agg(F.sum("h.row_count").alias("row_count"))
+
+
 @query
 def replay_null_times(lake: Lake) -> DataFrame:
     """A replay in which some transactions have no time: they land in the dead letters."""

@@ -36,16 +36,18 @@ def leaves(spark: SparkSession, layer: str, dt: str, hr: int | None = None) -> l
     return sorted(found)
 
 
+def level_values(spark: SparkSession, pattern: str) -> list[str]:
+    """What stands behind `=` in the names of the folders that match, or whole names."""
+    fs, path = _file_system(spark, pattern)
+    return [status.getPath().getName().rpartition("=")[2] for status in fs.globStatus(path) or ()]
+
+
 def latest_hours(spark: SparkSession, layer: str, count: int) -> list[tuple[str, int]]:
     """(dt, hr) of the last hours of a layer that have a folder, latest first; days are listed by name, and only as many are
     opened as it takes."""
-    def names(pattern: str) -> list[str]:
-        fs, path = _file_system(spark, pattern)
-        return [status.getPath().getName().split("=", 1)[1] for status in fs.globStatus(path) or ()]
-
     found: list[tuple[str, int]] = []
-    for dt in sorted(names(f"{layer}/dt=[0-9]*"), reverse=True):
-        found += [(dt, hr) for hr in sorted(map(int, names(f"{layer}/dt={dt}/hr=[0-9]*")), reverse=True)]
+    for dt in sorted(level_values(spark, f"{layer}/dt=[0-9]*"), reverse=True):
+        found += [(dt, hr) for hr in sorted(map(int, level_values(spark, f"{layer}/dt={dt}/hr=[0-9]*")), reverse=True)]
         if len(found) >= count:
             break
     return found[:count]

@@ -49,7 +49,7 @@ def start_router(unified: DataFrame, settings: Settings, query: str = "risk_laye
     trigger = {"availableNow": True} if available_now else {"processingTime": settings.trigger_interval}
     return (
         unified.writeStream.queryName(query).outputMode("append")
-        .foreachBatch(foreach_batch_router(settings, open_store))
+        .foreachBatch(foreach_batch_router(settings, open_store, query))
         .trigger(**trigger)
         .option("checkpointLocation", settings.checkpoint(query))
         .start()

@@ -13,6 +13,7 @@ from riskstream.operators.keyed import high_risk_cells, latest_by_key, put_rows,
 from riskstream.operators.routes import ROUTES, Route
 from riskstream.operators.sinks import write_micro_batch
 from riskstream.settings import Settings
+from riskstream.sources.commits import is_recorded, last_batch, note_commit, note_start
 
 SINKS_AT_ONCE = 4
 
@@ -27,18 +28,28 @@ def leaf_name(batch: DataFrame, batch_id: int) -> str:
 
 
 def foreach_batch_router(settings: Settings, open_store: Callable[[], object] | None = None,
-                         ) -> Callable[[DataFrame, int], None]:
+                         query: str | None = None) -> Callable[[DataFrame, int], None]:
     """Write every tagged row to the layer of its tag, and the alerts also to a keyed store.
 
-    The batch is cached before anything looks at it, so the joins run once. One count per tag (at
-    most one row per route) fills the cache, sizes the files and skips the empty routes. Writes
+    The batch is cached before anything looks at it, so the joins run once. One count per tag and hour
+    fills the cache, sizes the files and skips the empty routes. Writes
     replace the batch's own leaves and puts are upserts, so a repeated batch changes nothing.
+    With the name of the `query` a record is left when all of it is written: until then its leaves are not read by
+    compaction, and a batch that is repeated after its record writes nothing (but is counted: that moves the joins' state on).
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        leaf = leaf_name(batch, batch_id)
+        spark, leaf = batch.sparkSession, leaf_name(batch, batch_id)
+        query_id = leaf.rpartition("-")[0]
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = dict(batch.groupBy("_type").count().collect())
+            hours = [tuple(r) for r in batch.groupBy("_type", F.col("dt").cast("string").alias("dt"), "hr").count().collect()]
+            if query and is_recorded(spark, settings, query_id, batch_id):
+                return
+            if query and last_batch(spark, settings, query_id) is None:
+                note_start(spark, settings, query, query_id)
+            counts: dict[str, int] = {}
+            for tag, _, _, rows in hours:
+                counts[tag] = counts.get(tag, 0) + rows
 
             def write(tag: str) -> None:
                 route = ROUTES[tag]
@@ -49,6 +60,8 @@ def foreach_batch_router(settings: Settings, open_store: Callable[[], object] |
             if open_store is not None and counts.get("ALERT"):
                 latest = serving_alerts(batch.where(F.col("_type") == "ALERT"))
                 put_rows(latest, open_store, settings.put_batch)
+            if query:
+                note_commit(spark, settings, query, query_id, batch_id, hours)
         finally:
             batch.unpersist()
 

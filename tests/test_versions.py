@@ -1,0 +1,188 @@
+"""Versioned hours and commit records."""
+
+import json
+import os
+from datetime import datetime, timedelta, timezone
+from glob import glob
+
+import pytest
+from helpers import rows_of
+from pyspark.sql import functions as F
+
+from riskstream.operators.routes import ROUTES, route_counts
+from riskstream.plans import versions
+from riskstream.plans.compaction import compact
+from riskstream.plans.hourly import hour_ready
+from riskstream.plans.layers import unify
+from riskstream.plans.versions import create_hours_table, drop_folded, fold_day, fold_hour, hours_table, restore_hours
+from riskstream.queries import DAY, HOUR, Lake
+from riskstream.sources import commits
+from riskstream.sources.commits import clock_of_layers, finished, note_start, records
+from riskstream.sources.files import leaves
+from riskstream.streaming.history import replay, stage_slice, time_slices, topic_streams
+from riskstream.streaming.jobs import start_router, stream_session, unified_stream
+
+SF = "/root/testdata/sf0.001"
+TABLE = "bronze_transactions"
+QUERY = "0f1e2d3c-0000-4000-8000-00000000000a"
+
+
+@pytest.fixture
+def lake(spark):
+    return Lake(spark, SF)
+
+
+@pytest.fixture
+def bronze(lake):
+    return lake.silver.drop("risk_score", "is_high_risk").where(F.col("dt") == F.to_date(F.lit(DAY))).cache()
+
+
+def folded(lake, hr=HOUR):
+    return sorted(r.transaction_id for r in lake.spark.table(hours_table(lake.settings, TABLE)).where(F.col("hr") == hr).collect())
+
+
+def ids(df, hr=HOUR):
+    return sorted(r.transaction_id for r in df.where(F.col("hr") == hr).select("transaction_id").collect())
+
+
+def test_a_reader_between_any_two_steps_sees_each_row_once(lake, spark, bronze, monkeypatch):
+    half = F.pmod(F.xxhash64("transaction_id"), F.lit(2))
+    first, whole = ids(bronze.where(half == 0)), ids(bronze)
+    assert 0 < len(first) < len(whole)
+    lake.write_in_batches("BRONZE_TX", bronze.where(half == 0), prefix="a")
+    assert fold_hour(spark, lake.settings, TABLE, DAY, HOUR) and folded(lake) == first
+    lake.write_in_batches("BRONZE_TX", bronze.where(half == 1), prefix="b")
+    planned, seen = spark.table(hours_table(lake.settings, TABLE)).where(F.col("hr") == HOUR), []
+    for step in ("_write_version", "_note", "_switch"):
+        def watched(*args, done=getattr(versions, step), name=step, **options):
+            seen.append(("before", name, folded(lake)))
+            done(*args, **options)
+            seen.append(("after", name, folded(lake)))
+
+        monkeypatch.setattr(versions, step, watched)
+    assert fold_hour(spark, lake.settings, TABLE, DAY, HOUR)
+    switch = seen.index(("after", "_switch", whole))
+    assert [x[2] for x in seen[:switch]] == [first] * switch and all(x[2] == whole for x in seen[switch:])
+    assert sorted(r.transaction_id for r in planned.collect()) in (first, whole)
+    monkeypatch.undo()
+    assert not fold_hour(spark, lake.settings, TABLE, DAY, HOUR)
+    assert drop_folded(spark, lake.settings, TABLE, DAY) == 0 and leaves(spark, lake.settings.layer("bronze/transactions"), DAY, HOUR)
+    there = len(leaves(spark, lake.settings.layer("bronze/transactions"), DAY, HOUR))
+    assert drop_folded(spark, lake.settings, TABLE, DAY, keep_seconds=0) == there + 1      # and the older version
+    assert folded(lake) == whole and not leaves(spark, lake.settings.layer("bronze/transactions"), DAY, HOUR)
+    assert not fold_hour(spark, lake.settings, TABLE, DAY, HOUR)
+
+
+@pytest.mark.parametrize("step, times", [("_write_version", 1), ("_note", 1), ("_switch", 1), ("_note", 2)])
+def test_a_broken_off_fold_is_repeated_without_loss(lake, spark, bronze, monkeypatch, step, times):
+    lake.write_in_batches("BRONZE_TX", bronze)
+    done, left = getattr(versions, step), [times]
+
+    def break_off(*args, **options):
+        left[0] -= 1
+        if not left[0]:
+            raise RuntimeError("lost")
+        return done(*args, **options)
+
+    monkeypatch.setattr(versions, step, break_off)
+    with pytest.raises(RuntimeError, match="lost"):
+        fold_hour(spark, lake.settings, TABLE, DAY, HOUR)
+    monkeypatch.undo()
+    assert folded(lake) in ([], ids(bronze))
+    assert fold_hour(spark, lake.settings, TABLE, DAY, HOUR)
+    assert folded(lake) == ids(bronze)
+    drop_folded(spark, lake.settings, TABLE, DAY, keep_seconds=0)
+    assert folded(lake) == ids(bronze)
+    assert len(glob(f"{lake.settings.root}/_hours/bronze/transactions/dt={DAY}/hr={HOUR}/*")) <= 2   # one that was never noted may stay
+
+
+def test_a_leaf_written_again_under_its_name_is_not_folded_twice(lake, spark, bronze):
+    lake.write("BRONZE_TX", bronze, f"{QUERY}-3")
+    assert fold_day(spark, lake.settings, TABLE, DAY)
+    drop_folded(spark, lake.settings, TABLE, DAY, keep_seconds=0)
+    lake.write("BRONZE_TX", bronze, f"{QUERY}-3")
+    assert fold_day(spark, lake.settings, TABLE, DAY) == [] and folded(lake) == ids(bronze)
+    assert drop_folded(spark, lake.settings, TABLE, DAY, keep_seconds=0) > 0
+
+
+def test_an_empty_catalog_finds_the_current_versions(lake, spark, bronze):
+    lake.write_in_batches("BRONZE_TX", bronze)
+    hours = fold_day(spark, lake.settings, TABLE, DAY)
+    assert set(hours) == {r.hr for r in bronze.select("hr").distinct().collect()}
+    spark.sql(f"DROP TABLE {hours_table(lake.settings, TABLE)}")
+    create_hours_table(spark, lake.settings, TABLE)
+    assert folded(lake) == []
+    restore_hours(spark, lake.settings, TABLE, DAY)
+    assert folded(lake) == ids(bronze)
+    whole = spark.table(hours_table(lake.settings, TABLE))
+    assert whole.count() == bronze.count() and "batch_id" not in whole.columns
+
+
+def test_leaves_of_unfinished_batches_are_left_out(lake, spark, bronze):
+    third = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    lake.write("BRONZE_TX", bronze.where(third == 0), f"{QUERY}-7")
+    assert finished(spark, lake.settings, [(1, f"{QUERY}-7"), (1, "history")]) == [(1, f"{QUERY}-7"), (1, "history")]    # a lake without records
+    note_start(spark, lake.settings, "risk_layers", QUERY)
+    assert finished(spark, lake.settings, [(1, f"{QUERY}-0"), (1, "history")]) == [(1, "history")]
+    clock = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    commits._write(spark, lake.settings, ("risk_layers", QUERY, 7, clock + timedelta(days=400 * 3), None, [], []))
+    lake.write("BRONZE_TX", bronze.where(third == 1), f"{QUERY}-8")
+    assert fold_hour(spark, lake.settings, TABLE, DAY, HOUR)
+    assert folded(lake) == ids(bronze.where(third == 0))
+    compact(spark, lake.settings, DAY, HOUR)
+    assert ids(lake.read("SILVER_TX", DAY, HOUR)) == ids(bronze.where(third == 0))
+
+
+def test_an_hour_is_ready_when_a_later_batch_is_finished(lake, spark, bronze):
+    lake.write("BRONZE_TX", bronze, f"{QUERY}-0")
+    end = datetime.fromisoformat(DAY).replace(tzinfo=timezone.utc) + timedelta(hours=HOUR + 1)
+    due = end + timedelta(minutes=10)
+    ready = lambda now: hour_ready(spark, lake.settings, DAY, HOUR, now)
+    assert ready(due) and clock_of_layers(spark, lake.settings) is None
+    second = QUERY[:-1] + "b"
+    note = lambda query, id, batch, clock: commits._write(spark, lake.settings, (query, id, batch, clock, None, [], []))
+    note("layers", QUERY, 0, due - timedelta(seconds=1))
+    assert not ready(due) and not ready(due + timedelta(minutes=59)) and ready(due + timedelta(hours=1))
+    note("alerts", second, 4, due - timedelta(minutes=1))
+    note("layers", QUERY, 1, due)
+    assert not ready(due)                   # the alerts are behind
+    note("alerts", second, 5, due + timedelta(seconds=3))
+    assert ready(due) and clock_of_layers(spark, lake.settings) == due
+
+
+def test_records_hold_clock_offsets_and_rows(lake, spark):
+    replay(spark, lake.settings, lake.decoded, slices=2, only=("BRONZE_TX", "LATE_TX"))
+    found = [r for r in records(spark, lake.settings).orderBy("batch").collect() if r.batch >= 0]
+    leaf_names = {leaf for _, leaf in leaves(spark, lake.settings.layer("bronze/transactions"), DAY)}
+    assert {f"{r.query_id}-{r.batch}" for r in found} >= leaf_names and {r.query for r in found} == {"risk_layers"}
+    for r in found:
+        log = open(f"{lake.settings.checkpoint('risk_layers')}/offsets/{r.batch}").read().splitlines()
+        assert log[2:] == r.offsets
+        assert int(r.clock.replace(tzinfo=timezone.utc).timestamp() * 1000) == json.loads(log[1])["batchTimestampMs"]
+    rows = {}
+    for r in found:
+        for h in r.hours:
+            rows[h.tag] = rows.get(h.tag, 0) + h.row_count
+    assert rows == {tag: lake.read(tag).count() for tag in ("BRONZE_TX", "LATE_TX")}
+
+
+def test_a_batch_repeated_after_its_record_writes_nothing(lake, spark):
+    """The driver is lost between the record and the query's own commit: leaves keep their files, and the joins go on."""
+    topics, batch = lake.settings.layer("_staging/topics"), dict(route_counts(unify(lake.layers())).collect())
+    session = stream_session(spark, lake.settings)
+    tags = [tag for tag in ROUTES if tag != "BAD_FRAME"]
+    for number, (first, after) in enumerate(time_slices(lake.decoded, 2)):
+        stage_slice(lake.decoded, topics, first, after, untimed=number == 0)
+        unified = unified_stream(topic_streams(session, topics), lake.settings, "json", "proc_time", only=tags)
+        start_router(unified, lake.settings, available_now=True).awaitTermination()
+        if number == 0:
+            log = f"{lake.settings.checkpoint('risk_layers')}/commits"
+            [last] = sorted(int(os.path.basename(f)) for f in glob(f"{log}/[0-9]*"))[-1:]
+            for name in (f"{log}/{last}", f"{log}/.{last}.crc"):
+                if os.path.exists(name):
+                    os.remove(name)
+            files = set(glob(f"{lake.settings.layer('bronze')}/**/*.parquet", recursive=True))
+    assert files <= set(glob(f"{lake.settings.layer('bronze')}/**/*.parquet", recursive=True))
+    assert {tag: lake.read(tag).count() for tag in batch} == batch
+    assert rows_of(lake.read("ALERT"), "transaction_id", "login_id", "alert_type") == rows_of(
+        lake.alerts, "transaction_id", "login_id", "alert_type")
