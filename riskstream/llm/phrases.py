@@ -16,7 +16,9 @@ from riskstream.llm.common import arrow_pieces, written
 LONGEST = 4
 NO_LANGUAGE = "und"
 SCALE, PERCENT = 2_000_000, 80
-CHUNK_WORDS = 2_000_000         # words that a task counts at once
+RUN_WORDS = 200_000             # words of a run, one row of the written corpus
+MOST_RUNS = 64                  # languages that a task has open runs of
+CHUNK_WORDS = 1_000_000         # words that a task counts at once
 ROWS = 100_000                  # of a batch that a task hands on
 FEW_LANGUAGES = 10_000          # a table with a row for each is sent to every task
 LEAST_BITS, MOST_BITS = 20, 27  # size of a filter, as powers of two: at most 16 MB
@@ -39,9 +41,9 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (x ^ (x >> np.uint64(32))) * MIX[2]
 
 
-def _word_hashes(lang: str, words: Iterable[bytes]) -> list[int]:
+def _word_hashes(lang: str, words: Iterable[bytes]) -> np.ndarray:
     seed = xxhash.xxh64_intdigest(lang.encode())
-    return [xxhash.xxh64_intdigest(word, seed) for word in words]
+    return np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in words), np.uint64)
 
 
 def _windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -110,35 +112,89 @@ def _counts(words: pa.Array, ids: np.ndarray, size: int, places: np.ndarray) ->
     return pc.binary_join_element_wise(*columns, " ") if size > 1 else columns[0], n
 
 
-class _Chunk:
-    """Words of one language, numbered as they come."""
+class _Run:
+    """Words of one language in order, numbered as they come. The first is b".", which is no word."""
 
-    def __init__(self, lang: str):
-        self.lang = lang
+    def __init__(self) -> None:
         self.numbers: dict[bytes, int] = {b".": 0}
-        self.runs: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+        self.held = 0
+        self.leads: list[int] = []
 
-    def add(self, text: str | None) -> int:
-        tokens = words_and_marks(text)
-        tokens.append(b".")
+    def add(self, tokens: list[bytes], goes_on: bool) -> None:
         numbers = self.numbers
         for token in set(tokens):
             numbers.setdefault(token, len(numbers))
-        self.runs.append(np.fromiter(map(numbers.__getitem__, tokens), np.uint32, len(tokens)))
-        return len(tokens)
+        if goes_on:
+            self.leads.append(self.held)
+        self.ids += [np.fromiter(map(numbers.__getitem__, tokens), np.uint32, len(tokens)), np.zeros(1, np.uint32)]
+        self.held += len(tokens) + 1
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """(lang, words, ids, leads): all texts as numbers of words, in runs of at most about RUN_WORDS that each list their own words.
+
+    A longer text goes on in the next run, which repeats its last LONGEST - 1 words; `leads` says where such repetitions begin.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: dict[str, _Run] = {}
+
+        def closed(lang: str) -> pa.RecordBatch:
+            done = runs.pop(lang)
+            blobs = b" ".join(done.numbers), np.concatenate(done.ids).astype("<u4").tobytes(), np.array(done.leads, "<u4").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([lang]), *(pa.array([blob], pa.binary()) for blob in blobs)], ["lang", "words", "ids", "leads"])
+
+        for batch in arrow_pieces(batches, "text"):
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                lang, tokens = NO_LANGUAGE if lang is None else lang, words_and_marks(text)
+                for start in range(0, len(tokens), RUN_WORDS):
+                    if lang in runs and runs[lang].held + len(tokens) - start > RUN_WORDS:
+                        yield closed(lang)
+                    runs.setdefault(lang, _Run()).add(tokens[max(0, start - LONGEST + 1):start + RUN_WORDS], start > 0)
+                if len(runs) > MOST_RUNS:
+                    yield closed(next(iter(runs)))
+        for lang in list(runs):
+            yield closed(lang)
+
+    texts = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "lang string, words binary, ids binary, leads binary")
+
+
+class _Chunk:
+    """Runs of one language, renumbered to be counted together."""
+
+    def __init__(self, lang: str):
+        self.lang = lang
+        self.numbers: dict[bytes, int] = {b".": 0}
+        self.ids: list[np.ndarray] = []
+        self.held = 0
+        self.leads: list[int] = []
+
+    def add(self, words: pa.Buffer, ids: pa.Buffer, leads: pa.Buffer) -> int:
+        numbers, listed = self.numbers, words.to_pybytes().split(b" ")
+        for word in listed:
+            numbers.setdefault(word, len(numbers))
+        own = np.fromiter(map(numbers.__getitem__, listed), np.uint32, len(listed))
+        self.ids.append(own[np.frombuffer(ids, "<u4")])
+        self.leads += (np.frombuffer(leads, "<u4") + self.held).tolist()
+        self.held += len(self.ids[-1])
+        return len(self.ids[-1])
 
     def counted(self, size: int, admits: Admits | None, filters: list[Filter]) -> Iterator[pa.RecordBatch]:
-        ids = np.concatenate(self.runs)
+        ids = np.concatenate(self.ids)
         word = ids > 0
         inside = word[:max(0, len(ids) - size + 1)].copy()
         for k in range(1, size):
             inside &= word[k:len(ids) - size + 1 + k]
+        for lead in self.leads:         # counted in the run before
+            inside[lead:lead + LONGEST - size] = False
         if admits is not None and len(inside):
-            hashes = np.array(_word_hashes(self.lang, self.numbers), np.uint64)[ids]
+            hashes = _word_hashes(self.lang, self.numbers)[ids]
             inside &= admits(lambda n: _windows(hashes, n), filters)
-        if size == 1:       # the number of all words
-            yield self._rows(pa.array([""]), np.array([word.sum()]))
+            del hashes
         places = np.flatnonzero(inside)
+        if size == 1:       # the number of all words
+            yield self._rows(pa.array([""]), np.array([len(places)]))
         if len(places):
             yield self._rows(*_counts(pa.array(list(self.numbers), pa.binary()).cast(pa.string()), ids, size, places))
 
@@ -147,10 +203,10 @@ class _Chunk:
         return pa.RecordBatch.from_arrays([langs, phrases, pa.array(n.astype(np.int64))], ["lang", "phrase", "n"])
 
 
-def phrase_counts(docs: DataFrame, sizes: tuple[int, ...], admits: Admits | None = None, filters: tuple[Filter, ...] = ()) -> DataFrame:
-    """(lang, phrase, n) of the phrases that `admits` lets through: every occurrence in `docs`, overlaps too, summed per task first.
-    For words, the empty phrase holds the number of all."""
-    spark = docs.sparkSession
+def phrase_counts(runs: DataFrame, size: int, admits: Admits | None = None, filters: tuple[Filter, ...] = ()) -> DataFrame:
+    """(lang, phrase, n) of the phrases that `admits` lets through: every occurrence in `encoded` runs, overlaps too, summed per
+    task first. For words, the empty phrase holds the number of all."""
+    spark = runs.sparkSession
     sent = [(f.bits, spark.sparkContext.broadcast(f.table)) for f in filters]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,23 +215,21 @@ def phrase_counts(docs: DataFrame, sizes: tuple[int, ...], admits: Admits | None
         held = 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
-            for chunk in chunks.values():
-                for size in sizes:
-                    for rows in chunk.counted(size, admits, tables):
-                        yield from (rows.slice(at, ROWS) for at in range(0, rows.num_rows, ROWS))
-            chunks.clear()
-
-        for batch in arrow_pieces(batches, "text"):
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                lang = NO_LANGUAGE if lang is None else lang
-                held += chunks.setdefault(lang, _Chunk(lang)).add(text)
-            if held >= CHUNK_WORDS:
-                yield from flushed()
-                held = 0
+            while chunks:
+                for rows in chunks.pop(next(iter(chunks))).counted(size, admits, tables):
+                    yield from (rows.slice(at, ROWS) for at in range(0, rows.num_rows, ROWS))
+                pa.default_memory_pool().release_unused()
+
+        for batch in batches:
+            for lang, *blobs in zip(*batch.columns):
+                lang = lang.as_py()
+                held += chunks.setdefault(lang, _Chunk(lang)).add(*(blob.as_buffer() for blob in blobs))
+                if held >= CHUNK_WORDS:
+                    yield from flushed()
+                    held = 0
         yield from flushed()
 
-    counted = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, COUNTED)
-    return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return runs.mapInArrow(run, COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _score(a: str, parts: str) -> Column:
@@ -280,12 +334,11 @@ def collocations(docs: DataFrame, top: int = 2000, at_least: int = 30, first_wan
     Null and empty texts have no words; rows that repeat count each for itself; an empty table gives an empty result.
     Only `text` and `lang` are read.
     """
-    spark = docs.sparkSession
-    docs = docs.select("text", "lang")
+    runs = written(encoded(docs), "runs")
     frequent = F.col("n") >= at_least
-    every_word = written(phrase_counts(docs, (1,)).where(frequent | (F.col("phrase") == "")), "words")
+    every_word = written(phrase_counts(runs, 1).where(frequent | (F.col("phrase") == "")), "words")
     words, totals = every_word.where("phrase <> ''").where(frequent), every_word.where("phrase = ''").select("lang", F.col("n").alias("total"))
-    counted = written(phrase_counts(docs, (2,), _pairs, (Filter.of(words),)).where(frequent), "pairs")
+    counted = written(phrase_counts(runs, 2, _pairs, (Filter.of(words),)).where(frequent), "pairs")
     pairs = written(scored(counted, words), "scored-pairs")
     any_pair = Filter.of(pairs)
     counts = {1: words, 2: counted, 3: None, 4: None}
@@ -296,7 +349,7 @@ def collocations(docs: DataFrame, top: int = 2000, at_least: int = 30, first_wan
         if unsettled is not None:
             least = least.join(unsettled, "lang", "left_semi")
         least = written(least, "thresholds")
-        found = _settled(docs, pairs, any_pair, counts, least, frequent)
+        found = _settled(runs, pairs, any_pair, counts, least, frequent)
         result = written(found, "settled")
         kept = result if kept is None else kept.unionByName(result)
         done = result.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
@@ -314,7 +367,7 @@ def ranked(kept: DataFrame, top: int) -> DataFrame:
     return kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top).withColumnRenamed("n", "a")
 
 
-def _settled(docs: DataFrame, pairs: DataFrame, any_pair: Filter, counts: dict[int, DataFrame | None], least: DataFrame,
+def _settled(runs: DataFrame, pairs: DataFrame, any_pair: Filter, counts: dict[int, DataFrame | None], least: DataFrame,
              frequent: Column) -> DataFrame:
     """(lang, phrase, n, l, r, score) of all candidates with a score of `least` or more that no longer one drops."""
     per_language = F.broadcast(least) if least.count() <= FEW_LANGUAGES else least
@@ -328,7 +381,7 @@ def _settled(docs: DataFrame, pairs: DataFrame, any_pair: Filter, counts: dict[i
     longer: dict[int, DataFrame] = {}
     for size in range(3, LONGEST + 1):
         filters = (any_pair, Filter.of(expanded), Filter.of(candidates[size - 1]))
-        new = written(phrase_counts(docs, (size,), _grown(size), filters).where(frequent), f"phrases-{size}")
+        new = written(phrase_counts(runs, size, _grown(size), filters).where(frequent), f"phrases-{size}")
         counts[size] = new if counts[size] is None else written(_both(counts[size], new), f"phrases-{size}")
         longer[size] = counts[size]
         found = written(scored(counts[size], below), f"scored-{size}")
@@ -337,7 +390,7 @@ def _settled(docs: DataFrame, pairs: DataFrame, any_pair: Filter, counts: dict[i
         if size == LONGEST:
             missing = written(missing, "missing")
             if not missing.isEmpty():
-                tails = phrase_counts(docs, (size - 1,), _tails, (Filter.of(missing),)).where(frequent)
+                tails = phrase_counts(runs, size - 1, _tails, (Filter.of(missing),)).where(frequent)
                 counts[size - 1] = written(_both(counts[size - 1], tails), "phrases-3")
                 below = counts[1].unionByName(counts[2]).unionByName(counts[3])
                 found = written(scored(reached.select("lang", "phrase", "n"), below), "scored-again")
