@@ -9,18 +9,20 @@ from riskstream.settings import seconds
 
 
 def mark_on_time(df: DataFrame, allowance: str = "10 minutes",
-                 proc_time: Column | str | None = None) -> DataFrame:
+                 proc_time: Column | str | None = None, ahead: str | None = None) -> DataFrame:
     """Adds the lag columns, `on_time` (never null) and `dlq_reason` (null for on-time rows).
 
     The bound is inclusive and compares microseconds, not the truncated lag columns. A row without
-    an event time is not on time: it goes to the dead letters instead of vanishing.
+    an event time is not on time: it goes to the dead letters instead of vanishing. So does one that lies more than `ahead` in the
+    future (None: no bound): one such event in each feed would move a stream's watermark there, and all on-time rows would miss the joins.
     """
     oldest = f"spark_proc_time - INTERVAL '{seconds(allowance)}' SECOND"
+    early = "false" if ahead is None else f"event_time > spark_proc_time + INTERVAL '{seconds(ahead)}' SECOND"
     return add_lags(df, proc_time).selectExpr(
-        "*", f"coalesce(event_time >= {oldest}, false) AS on_time"
+        "*", f"coalesce(event_time >= {oldest} AND NOT ({early}), false) AS on_time"
     ).selectExpr(
         "*", "CASE WHEN on_time THEN NULL WHEN event_time IS NULL THEN 'no event time' "
-             "ELSE 'late' END AS dlq_reason")
+             f"WHEN {early} THEN 'from the future' ELSE 'late' END AS dlq_reason")
 
 
 def split_late(df: DataFrame, allowance: str = "10 minutes",

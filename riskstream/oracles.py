@@ -188,6 +188,7 @@ _QUERIES = {
     "stream_route_counts": _COUNTS,
     "replay_null_times": """SELECT CASE WHEN on_time AND NOT ends_with(transaction_id, '7') THEN 'BRONZE_TX' ELSE 'LATE_TX' END
         AS _type, count(*) AS row_count FROM tx GROUP BY ALL""",
+    "stream_future_event": "SELECT * FROM alert",
     "stream_commit_records": _COUNTS,
     "stream_dual_write": """SELECT transaction_id, account_id, amount, risk_score,
         risk_score >= 50 AS is_high_risk, event_time, dt, hr FROM tx""",

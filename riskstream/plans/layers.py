@@ -38,7 +38,7 @@ class Layers:
     hot: Sequence[str | HotSpan] = ()
 
     def _marked(self, df: DataFrame) -> DataFrame:
-        df = mark_on_time(df, self.settings.late_allowance, self.proc_time)
+        df = mark_on_time(df, self.settings.late_allowance, self.proc_time, self.settings.future_allowance)
         if "frame_error" in df.columns:
             df = df.withColumns({
                 "on_time": F.expr("on_time AND frame_error IS NULL"),

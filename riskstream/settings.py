@@ -36,6 +36,7 @@ class Settings:
     trigger_interval: str = "5 seconds"
     watermark_delay: str = "10 minutes"
     late_allowance: str = "10 minutes"
+    future_allowance: str | None = "10 minutes"     # events further ahead of the clock are dead letters; None: no bound
     idle_allowance: str = "1 hour"            # after which an hour counts as complete though no later batch came
     login_tx_window: str = "1 minute"
     activity_tx_window: str = "5 minutes"
