@@ -37,12 +37,13 @@ def note_start(spark: SparkSession, settings: Settings, query: str, query_id: st
 
 def note_commit(spark: SparkSession, settings: Settings, query: str, query_id: str, batch: int,
                 hours: Iterable[tuple[str, str, int, int]]) -> None:
-    """The batch is written: its clock, watermark and source offsets from the query's own log, and its rows by route and hour."""
+    """The batch is written: its clock, watermark and source offsets from the query's own log, and its rows by route and hour (null for rows
+    without an event time)."""
     log = spark.read.text(f"{settings.checkpoint(query)}/offsets/{batch}").collect()
     clocks, *offsets = [row.value for row in log[1:]]
     times = json.loads(clocks)
     clock, watermark = (datetime.fromtimestamp(times[name] / 1000, timezone.utc) for name in ("batchTimestampMs", "batchWatermarkMs"))
-    _write(spark, settings, (query, query_id, batch, clock, watermark, offsets, sorted(hours)))
+    _write(spark, settings, (query, query_id, batch, clock, watermark, offsets, sorted(hours, key=repr)))
 
 
 def last_batch(spark: SparkSession, settings: Settings, query_id: str) -> tuple[str, int] | None:
