@@ -26,6 +26,17 @@ def written(df: DataFrame, purpose: str, partition_by: str | None = None) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def as_row(df: DataFrame, *without: str) -> Column:
+    """All columns of `df` but `without` as one named row, so that none of them clashes with what an operator adds."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns if c.lower() not in without]).alias("row")
+
+
+def from_row(df: DataFrame, like: DataFrame, **replaced: str | Column) -> DataFrame:
+    """The columns of `like`, in its order, out of `as_row`'s column; those in `replaced` from there."""
+    columns = [replaced.get(c.lower(), F.col("row").getField(c)) for c in like.columns]
+    return df.select(*[(F.col(x) if isinstance(x, str) else x).alias(c) for x, c in zip(columns, like.columns)])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

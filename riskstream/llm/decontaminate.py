@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskstream.llm.common import as_row, from_row, written
+
 WIDTH = 5               # words of a window
 SHARE = 0.8             # of an item's windows
 BROADCAST_ROWS = 200_000
@@ -28,16 +34,97 @@ def with_words(df: DataFrame) -> DataFrame:
     return df.withColumns({"raw": cut(plain), "words": cut(F.lower(template)), "raw_folded": cut(F.lower(plain)), "folded": cut(folded)})
 
 
-def _hashes(words: Column, width: int) -> Column:
-    starts = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - width + 1)).otherwise(
-        F.array().cast("array<int>"))
-    return F.transform(starts, lambda at: F.xxhash64(F.slice(words, at, width)))
+KINDS = {"template": ("raw", "words"), "folded": ("raw_folded", "folded")}
+
+
+def _windows(df: DataFrame, kinds: Sequence[str], width: int, at: str, *kept: str) -> DataFrame:
+    """(*kept, kind, `at`, window): the hash of each window of `width` words. Only narrow columns leave a row: words that went
+    along into every window would make the work grow with the square of a text's length."""
+    def placed(kind: str) -> DataFrame:
+        words = F.col(KINDS[kind][1])
+        number = F.greatest(F.size(words) - width + 1, F.lit(0))
+        shifted = F.arrays_zip(*[F.slice(words, k + 1, number).alias(f"w{k}") for k in range(width)])
+        return df.select(*kept, F.lit(kind).alias("kind"), F.posexplode(shifted).alias("pos", "window")).select(
+            *kept, "kind", (F.col("pos") + 1).alias(at), F.xxhash64("window").alias("window"))
+
+    return reduce(DataFrame.union, map(placed, kinds))
+
+
+def _placeholders(df: DataFrame, kinds: Sequence[str], at: str, word: str, *kept: str) -> DataFrame:
+    """(*kept, kind, `at`, `word`): the words of a text that its template replaces."""
+    def placed(kind: str) -> DataFrame:
+        raw, words = KINDS[kind]
+        return df.select(*kept, F.lit(kind).alias("kind"), F.posexplode(F.arrays_zip(
+            F.col(raw).alias("raw"), F.col(words).alias("words"))).alias("pos", "both")).where(
+            F.col("both.words").startswith("<")).select(*kept, "kind", (F.col("pos") + 1).alias(at), F.col("both.raw").alias(word))
+
+    return reduce(DataFrame.union, map(placed, kinds))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, broadcast if it has at most `BROADCAST_ROWS`."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _slots(raw: Column, words: Column, at: Column, width: int) -> Column:
-    """The window's words where the template has a placeholder, else null."""
-    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.when(
-        F.get(words, at + k).startswith("<"), F.get(raw, at + k)))
+def _same_text(left: str, right: str) -> Column:
+    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}._text") == F.col(f"{right}._text"))
+
+
+class _Found(NamedTuple):
+    """Windows that documents share with items, of documents that may hold the item, and the words in the slots."""
+    windows: DataFrame      # doc_id, _text, item, item_at, kind, diagonal
+    items: DataFrame        # item, item_id, total
+    was: DataFrame          # item, kind, place, was
+    now: DataFrame          # doc_id, _text, kind, doc_place, now
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, kinds: Sequence[str], width: int, share: float) -> _Found:
+    """One pass over the texts finds the windows. An item whose windows, whatever their slots, are too few is dropped
+    here; only the texts that are left are read again for the words in their slots."""
+    items = with_words(benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text")).withColumn(
+        "item", F.xxhash64("item_id", "text")).dropDuplicates(["item"]).where(F.size("words") >= width)
+    items = written(items.withColumn("total", F.size("words") - width + 1), "benchmark-items")
+    sought = written(_windows(items, kinds, width, "item_at", "item", "total"), "benchmark-windows")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("_text"), "text")
+    keys = ["doc_id", "_text", "item"]
+    hits = written(_windows(with_words(texts), kinds, width, "doc_at", "doc_id", "_text").join(
+        _small(sought), ["kind", "window"]).select(
+        *keys, "total", "item_at", "kind", (F.col("doc_at") - F.col("item_at")).alias("diagonal")), "benchmark-hits")
+    enough = hits.groupBy(*keys, "total").agg(F.count_distinct("item_at").alias("windows")).where(
+        F.col("windows") >= F.ceil(F.lit(share) * F.col("total")))
+    enough = written(enough.select(*keys), "benchmark-candidates")
+    windows = hits.alias("h").join(
+        _small(enough).alias("c"), _same_text("h", "c") & (F.col("h.item") == F.col("c.item")), "left_semi").drop("total")
+    candidates = written(enough.select("doc_id", "_text").distinct(), "benchmark-texts")
+    again = texts.alias("t").join(_small(candidates).alias("c"), _same_text("t", "c"), "left_semi").dropDuplicates(["doc_id", "_text"])
+    return _Found(
+        written(windows, "benchmark-found"), items.select("item", "item_id", "total"),
+        _placeholders(items, kinds, "place", "was", "item"),
+        written(_placeholders(with_words(again), kinds, "doc_place", "now", "doc_id", "_text"), "benchmark-slots"))
+
+
+def _held(found: _Found, kinds: Sequence[str], width: int, share: float) -> DataFrame:
+    """(doc_id, _text, item_id, windows, total, same) of each item of which enough windows lie on consistent diagonals."""
+    keys = ["doc_id", "_text", "item", "diagonal"]
+    windows = found.windows.where(F.col("kind").isin(*kinds))
+    places = windows.select(*keys, "kind", F.explode(F.sequence("item_at", F.col("item_at") + width - 1)).alias("place")).distinct()
+    asked = places.join(_small(found.was), ["item", "kind", "place"])
+    now = found.now.withColumnRenamed("kind", "now_kind")
+    slots = asked.alias("a").join(now.alias("n"), _same_text("a", "n") & (F.col("a.kind") == F.col("n.now_kind")) & (
+        F.col("a.place") + F.col("a.diagonal") == F.col("n.doc_place"))).select(
+        *[F.col(f"a.{k}") for k in keys], F.struct("a.kind", "a.was").alias("was"), F.col("n.now").alias("now"))
+    slots = slots.groupBy(*keys).agg(
+        F.count_distinct("was").alias("asked"), F.count_distinct("was", "now").alias("answers"),
+        F.min(F.col("was.was") == F.col("now")).alias("same"))
+    diagonals = windows.groupBy(*keys).agg(F.collect_set("item_at").alias("places"))
+    same_diagonal = _same_text("d", "s") & (F.col("d.item") == F.col("s.item")) & (F.col("d.diagonal") == F.col("s.diagonal"))
+    consistent = diagonals.alias("d").join(slots.alias("s"), same_diagonal, "left").where(
+        F.col("s.asked").isNull() | (F.col("s.asked") == F.col("s.answers"))).select(
+        "d.doc_id", "d._text", "d.item", "d.places", F.coalesce("s.same", F.lit(True)).alias("same"))
+    per_item = consistent.groupBy("doc_id", "_text", "item").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("windows"), F.min("same").alias("same"))
+    return per_item.join(_small(found.items), "item").where(
+        F.col("windows") >= F.ceil(F.lit(share) * F.col("total"))).drop("item")
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE) -> DataFrame:
@@ -50,74 +137,25 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sh
 
     Items of fewer than `width` words, null texts and null item_ids are never found. Items are told apart
     by item_id and text, so an item_id with two texts is found by either. The windows of the benchmark are
-    broadcast if there are at most `BROADCAST_ROWS`; more are joined by a shuffle.
+    broadcast if there are at most `BROADCAST_ROWS`; more are joined by a shuffle. Extra columns are ignored.
     """
-    items = with_words(benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text")).withColumn(
-        "item", F.xxhash64("item_id", "text"))
-    hashes = _hashes(F.col("words"), width)
-    items = items.dropDuplicates(["item"]).select(
-        "item_id", "item", "raw", "words", (F.size("words") - width + 1).alias("total"),
-        F.posexplode(hashes).alias("item_at", "window"))
-    items = items.select("item_id", "item", "total", "item_at", "window",
-                         _slots(F.col("raw"), F.col("words"), F.col("item_at"), width).alias("item_slots"))
-    if items.count() <= BROADCAST_ROWS:
-        items = F.broadcast(items)
-    texts = with_words(docs.select("doc_id", F.xxhash64("text").alias("_text"), "text"))
-    windows = texts.select("doc_id", "_text", "raw", "words", F.posexplode(hashes).alias("doc_at", "window"))
-    found = windows.join(items, "window").select(
-        "doc_id", "_text", "item_id", "item", "total", "item_at", (F.col("doc_at") - F.col("item_at")).alias("diagonal"),
-        F.filter(F.arrays_zip(F.col("item_slots").alias("was"), _slots(
-            F.col("raw"), F.col("words"), F.col("doc_at"), width).alias("now")), lambda s: s["was"].isNotNull()).alias("slots"))
-    keys = ["doc_id", "_text", "item_id", "item", "total"]
-    diagonals = found.groupBy(*keys, "diagonal").agg(
-        F.collect_set("item_at").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    slots = F.transform("slots", lambda s: s["was"])
-    consistent = diagonals.where(F.size(F.array_distinct(slots)) == F.size("slots"))
-    per_item = consistent.groupBy(*keys).agg(
-        F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"),
-        F.min(F.forall("slots", lambda s: s["was"] == s["now"])).alias("same"))
-    held = per_item.withColumn("windows", F.size("places").cast("long"))
-    held = held.where(F.col("windows") >= F.ceil(F.lit(share) * F.col("total")))
+    kinds = ("template",)
+    held = _held(_found(docs, benchmark, kinds, width, share), kinds, width, share)
     return held.groupBy("doc_id", "_text", "item_id").agg(
         F.max("windows").alias("windows"), F.max(F.col("windows") / F.col("total")).alias("share"),
         F.max("same").alias("same"))
 
 
-def folded_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE) -> DataFrame:
-    """(doc_id, _text): the documents that hold an item by its template windows together with windows of case-folded words,
-    in which only numbers and units are placeholders, so that a copy in other case is found as well. Slots are told
-    apart by kind of window. Otherwise as `benchmark_hits`."""
-    def placed(df: DataFrame, at: str, *kept: str) -> DataFrame:
-        both = [df.select(*kept, F.lit(kind).alias("kind"), F.col(raw).alias("raw"), F.col(words).alias("words"))
-                for kind, raw, words in (("template", "raw", "words"), ("folded", "raw_folded", "folded"))]
-        return both[0].union(both[1]).select(*kept, "kind", "raw", "words", F.posexplode(_hashes(F.col("words"), width)).alias(at, "window"))
-
-    items = with_words(benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text")).withColumn(
-        "item", F.xxhash64("item_id", "text")).dropDuplicates(["item"]).withColumn("total", F.size("words") - width + 1)
-    items = placed(items, "item_at", "item", "total")
-    items = items.select("item", "total", "item_at", "kind", "window", _slots(F.col("raw"), F.col("words"), F.col("item_at"), width).alias("item_slots"))
-    if items.count() <= BROADCAST_ROWS:
-        items = F.broadcast(items)
-    windows = placed(with_words(docs.select("doc_id", F.xxhash64("text").alias("_text"), "text")), "doc_at", "doc_id", "_text")
-    found = windows.join(items, ["kind", "window"]).select(
-        "doc_id", "_text", "item", "total", "item_at", (F.col("doc_at") - F.col("item_at")).alias("diagonal"),
-        F.filter(F.arrays_zip(F.transform("item_slots", lambda w: F.concat("kind", F.lit(" "), w)).alias("was"), _slots(
-            F.col("raw"), F.col("words"), F.col("doc_at"), width).alias("now")), lambda s: s["was"].isNotNull()).alias("slots"))
-    keys = ["doc_id", "_text", "item", "total"]
-    diagonals = found.groupBy(*keys, "diagonal").agg(
-        F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    consistent = diagonals.where(F.size(F.array_distinct(F.transform("slots", lambda s: s["was"]))) == F.size("slots"))
-    held = consistent.groupBy(*keys).agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("windows"))
-    return held.where(F.col("windows") >= F.ceil(F.lit(share) * F.col("total"))).select("doc_id", "_text")
-
-
 def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: float = SHARE) -> DataFrame:
-    """`docs`, all columns, without the rows that hold a benchmark item, by its template or in other case. Null and empty texts stay."""
-    hits = benchmark_hits(docs, benchmark, width, share).select("doc_id", "_text").union(
-        folded_hits(docs, benchmark, width, share)).toDF("_id", "_hash").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(hits, same, "left_anti")
+    """`docs`, all columns, without the rows that hold a benchmark item: by its template alone as in `benchmark_hits`, or by its template
+    windows together with windows of case-folded words, in which only numbers and units are placeholders, so that a copy in
+    other case is found as well; slots are told apart by kind of window. Null and empty texts stay. Columns of any name pass."""
+    kinds = tuple(KINDS)
+    found = _found(docs, benchmark, kinds, width, share)
+    hits = written(_held(found, ("template",), width, share).select("doc_id", "_text").union(
+        _held(found, kinds, width, share).select("doc_id", "_text")).distinct(), "benchmark-held")
+    keyed = docs.select(as_row(docs), "doc_id", F.xxhash64("text").alias("_text"))
+    return from_row(keyed.alias("t").join(_small(hits).alias("h"), _same_text("t", "h"), "left_anti"), docs)
 
 
 ORACLE = """
