@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskstream.llm.common import read_table, written
+from riskstream.llm.common import as_row, from_row, read_table, written
 from riskstream.llm.decontaminate import decontaminated
 from riskstream.llm.language import UNKNOWN, identify, learn_languages
 from riskstream.llm.packing import packed_documents
@@ -26,8 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = learn_languages(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = identify(docs, model)
-    return found.where(found["lang_pred"] != UNKNOWN).select(docs.columns)
+    found = identify(docs.select(as_row(docs, "text"), "text"), model)
+    return from_row(found.where(found["lang_pred"] != UNKNOWN), docs, text="text")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from riskstream.llm.common import arrow_pieces, hash_part, utf8
+from riskstream.llm.common import arrow_pieces, as_row, from_row, hash_part, utf8
 
 ORDER = 3
 SAMPLE_ROWS = 150           # training texts of a language
@@ -165,10 +166,11 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     lang_pred is the language whose tree codes the whole text in the fewest bits (ties: the first by name), lang_score
     its share if each language had probability 2^-bits: 0 to 1. A text that is null or has no letter,
-    or a model without languages: `und` and 0. Only the text is looked at.
+    or a model without languages: `und` and 0. Only the text is looked at. The new columns stand in place of
+    those that `docs` may have of the same names.
     """
+    docs = docs.drop("lang_pred", "lang_score")
     shared = docs.sparkSession.sparkContext.broadcast(model.plain())   # bounded by the sample's bounds
-    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, trees = shared.value
@@ -184,9 +186,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     predicted[i] = languages[best]
                     scores[i] = float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(predicted), pa.array(scores)], [*names, "lang_pred", "lang_score"])
+                [*batch.columns, pa.array(predicted), pa.array(scores)], ["row", "text", "lang_pred", "lang_score"])
 
-    if {"lang_pred", "lang_score"} & set(names):
-        raise ValueError("the columns lang_pred and lang_score are taken")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{columns}, lang_pred string, lang_score double")
+    rows = docs.select(as_row(docs, "text"), "text")
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
+    both = docs.withColumns({"lang_pred": F.lit(None), "lang_score": F.lit(None)})
+    return from_row(rows.mapInArrow(run, schema), both, text="text", lang_pred="lang_pred", lang_score="lang_score")

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskstream.llm.common import written
+from riskstream.llm.common import as_row, from_row, written
 
 # The kinds in order, and their forms. The forms find, leftmost and longest first, what the
 # plain ones in the brackets find, but never go back over what they have read: a run of characters
@@ -180,19 +180,18 @@ def span_report(spans: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """`docs`, all columns and rows, with <kind> in `text` in place of personal data; null text stays null."""
+    """`docs`, all columns and rows, with <kind> in `text` in place of personal data; null text stays null. Columns of any name pass."""
     more = personal_data(docs).where("NOT known").groupBy("doc_id", "_text").agg(
-        F.sort_array(F.collect_set(F.struct("start", "end", "kind")), False).alias("_more"))
-    more = written(more, "pii-more").withColumnRenamed("doc_id", "_id")
-    names = docs.columns
-    df = docs.withColumn("_hash", F.xxhash64("text")).join(
-        more, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left")
-    df = df.withColumn("text", F.when(F.col("_more").isNull(), F.col("text")).otherwise(F.aggregate(
-        "_more", F.col("text"), lambda t, s: F.concat(
+        F.sort_array(F.collect_set(F.struct("start", "end", "kind")), False).alias("more"))
+    keyed = docs.select(as_row(docs, "text"), "doc_id", "text", F.xxhash64("text").alias("_text"))
+    same = F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("t._text") == F.col("m._text"))
+    df = keyed.alias("t").join(written(more, "pii-more").alias("m"), same, "left").select("row", "text", "more")
+    df = df.withColumn("text", F.when(F.col("more").isNull(), F.col("text")).otherwise(F.aggregate(
+        "more", F.col("text"), lambda t, s: F.concat(
             F.substring(t, F.lit(1), s["start"].cast("int")), F.lit("<"), s["kind"], F.lit(">"),
             F.substring(t, s["end"].cast("int") + 1, F.length(t))))))
     for kind in KINDS:
         df = df.withColumn("text", F.when(F.col("text").isNotNull(), _masked(kind, F.col("text"))))
-    return df.select(*names)
+    return from_row(df, docs, text="text")
 
 

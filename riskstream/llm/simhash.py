@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskstream.llm.common import utf8, words_of, written
+from riskstream.llm.common import as_row, from_row, utf8, words_of, written
 from riskstream.llm.graph import components
 
 BITS = 64
@@ -205,14 +205,15 @@ def one_of_each(docs: DataFrame, most: int = 4, width: int = 4) -> DataFrame:
     """`docs`, all columns, without the near copies: the row of a component's smallest doc_id stays.
 
     Rows of one doc_id in a component stay or go together; rows that repeat both doc_id and text are one
-    row. A row with a null doc_id stays only if its component has no doc_id at all.
+    row. A row with a null doc_id stays only if its component has no doc_id at all. Columns of any name pass.
     """
-    keyed = docs.withColumns({
-        "_no_id": F.col("doc_id").isNull(), "_text": F.xxhash64("text"),
-        "_id": F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))})
+    text = F.xxhash64("text").alias("_text")
+    keyed = docs.select(
+        as_row(docs), F.col("doc_id").isNull().alias("_no_id"), text,
+        F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("_id"))
     keys = ["_no_id", "_id", "_text"]
-    rows = written(with_fingerprint(keyed, width, others=("_text",)), "fingerprints")
+    rows = written(with_fingerprint(docs.select("doc_id", text, "text"), width, others=("_text",)), "fingerprints")
     kept = _labelled(rows, most).where("doc_id <=> component_id").select(
         F.col("doc_id").isNull().alias("_no_id"),
         F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("_id"), "_text")
-    return keyed.join(kept.distinct(), keys).dropDuplicates(keys).select(docs.columns)
+    return from_row(keyed.join(kept.distinct(), keys).dropDuplicates(keys), docs)

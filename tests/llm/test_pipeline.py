@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = {n.split("_")[0] for n in queries.QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
     assert all(list(inspect.signature(f).parameters) == ["spark", "docs", "sf_dir"] for _, f in corpus_pipeline.STAGES)
 
