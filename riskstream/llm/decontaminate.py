@@ -90,8 +90,9 @@ def _found(docs: DataFrame, benchmark: DataFrame, kinds: Sequence[str], width: i
     hits = written(_windows(with_words(texts), kinds, width, "doc_at", "doc_id", "_text").join(
         _small(sought), ["kind", "window"]).select(
         *keys, "total", "item_at", "kind", (F.col("doc_at") - F.col("item_at")).alias("diagonal")), "benchmark-hits")
-    enough = hits.groupBy(*keys, "total").agg(F.count_distinct("item_at").alias("windows")).where(
-        F.col("windows") >= F.ceil(F.lit(share) * F.col("total")))
+    # Sets are bounded by the item's size.
+    enough = hits.groupBy(*keys, "total").agg(F.collect_set("item_at").alias("places")).where(
+        F.size("places") >= F.ceil(F.lit(share) * F.col("total")))
     enough = written(enough.select(*keys), "benchmark-candidates")
     windows = hits.alias("h").join(
         _small(enough).alias("c"), _same_text("h", "c") & (F.col("h.item") == F.col("c.item")), "left_semi").drop("total")
@@ -107,15 +108,15 @@ def _held(found: _Found, kinds: Sequence[str], width: int, share: float) -> Data
     """(doc_id, _text, item_id, windows, total, same) of each item of which enough windows lie on consistent diagonals."""
     keys = ["doc_id", "_text", "item", "diagonal"]
     windows = found.windows.where(F.col("kind").isin(*kinds))
-    places = windows.select(*keys, "kind", F.explode(F.sequence("item_at", F.col("item_at") + width - 1)).alias("place")).distinct()
+    places = windows.select(*keys, "kind", F.explode(F.sequence("item_at", F.col("item_at") + width - 1)).alias("place"))
     asked = places.join(_small(found.was), ["item", "kind", "place"])
     now = found.now.withColumnRenamed("kind", "now_kind")
     slots = asked.alias("a").join(now.alias("n"), _same_text("a", "n") & (F.col("a.kind") == F.col("n.now_kind")) & (
         F.col("a.place") + F.col("a.diagonal") == F.col("n.doc_place"))).select(
-        *[F.col(f"a.{k}") for k in keys], F.struct("a.kind", "a.was").alias("was"), F.col("n.now").alias("now"))
-    slots = slots.groupBy(*keys).agg(
-        F.count_distinct("was").alias("asked"), F.count_distinct("was", "now").alias("answers"),
-        F.min(F.col("was.was") == F.col("now")).alias("same"))
+        *[F.col(f"a.{k}") for k in keys], F.struct("a.kind", "a.was", "n.now").alias("slot"))
+    slots = slots.groupBy(*keys).agg(F.collect_set("slot").alias("slots")).select(
+        *keys, F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["was"])))).alias("asked"),
+        F.size("slots").alias("answers"), F.forall("slots", lambda s: s["was"] == s["now"]).alias("same"))
     diagonals = windows.groupBy(*keys).agg(F.collect_set("item_at").alias("places"))
     same_diagonal = _same_text("d", "s") & (F.col("d.item") == F.col("s.item")) & (F.col("d.diagonal") == F.col("s.diagonal"))
     consistent = diagonals.alias("d").join(slots.alias("s"), same_diagonal, "left").where(
