@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 from riskstream.llm import sampling
 from riskstream.llm.queries import op8_weighted_sampling
@@ -73,3 +74,43 @@ def test_odd_rows(odd_docs, docs_of):
     assert compared_with_next(docs_of([])).count() == 0
     alone = compared_with_next(docs_of([(9, "a b c d e f")])).collect()
     assert len(alone) == 1 and alone[0].near_next == 1
+
+
+def plain_signature(text, samples=64):
+    """Each word by itself, its numbers by Python's integers."""
+    mask = (1 << 64) - 1
+
+    def uniform(x, number):
+        out = []
+        for sample in range(samples):
+            z = (x + (5 * sample + number + 1) * 0x9E3779B97F4A7C15) & mask
+            z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & mask
+            z = (z ^ z >> 27) * 0x94D049BB133111EB & mask
+            out.append((z ^ z >> 31) >> 40)
+        return (np.array(out, np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24)
+
+    rows = []
+    for word, times in Counter(text.encode().lower().split()).items():
+        x = xxhash.xxh64_intdigest(word)
+        u = [uniform(x, k) for k in range(5)]
+        r, log_c = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3]))
+        steps = np.floor(np.log(np.full(samples, times, np.float32)) / r + u[4])
+        codes = [((x ^ (int(t) * 0x9E3779B97F4A7C15 & mask)) * 0xBF58476D1CE4E5B9 & mask) >> 48 for t in steps]
+        rows.append((log_c - r * (steps - u[4]) - r, codes))
+    if not rows:
+        return [0] * samples
+    best = np.argmin([values for values, _ in rows], axis=0)
+    return [rows[b][1][i] for i, b in enumerate(best)]
+
+
+def test_fingerprints_equal_the_plain_sampler(monkeypatch):
+    texts = [f"A b b c {'d ' * k} word{k} word{k % 7} B" for k in range(40)] + ["", " \t", "one"]
+    texts.append(" ".join(f"t{i % 333}" for i in range(1000)))
+    expected = [plain_signature(t) for t in texts]
+    assert Sampler().signatures(texts).tolist() == expected
+    # Tables that are full again and again, blocks of few words, a text of more words than a block and a table hold.
+    for name, most in (("MOST_TERMS", 60), ("MOST_WEIGHED", 5), ("WORDS_AT_ONCE", 100)):
+        monkeypatch.setattr(sampling, name, most)
+    sampler = Sampler()
+    assert sampler.signatures(texts).tolist() == expected
+    assert sampler.signatures(texts[::-1]).tolist() == expected[::-1]
