@@ -114,6 +114,15 @@ _QUERIES = {
         CASE tms % 10 WHEN 0 THEN 'frame without body' WHEN 1 THEN 'unknown magic byte'
              ELSE 'undecodable body' END AS dlq_reason,
         count(*) AS message_count FROM lg WHERE tms % 10 < 3 GROUP BY ALL""",
+    "schema_versions": """SELECT transaction_id, account_id, amount,
+        CASE WHEN old THEN 'EUR' ELSE currency END AS currency,
+        CASE WHEN NOT old THEN transaction_type END AS transaction_type,
+        CASE WHEN NOT old THEN merchant_category END AS merchant_category,
+        location, "timestamp", CASE WHEN NOT old THEN is_international END AS is_international, kafka_timestamp
+        FROM (SELECT *, tms % 10 IN (3, 4, 5) AS old FROM tx WHERE tms % 10 NOT IN (6, 7))""",
+    "schema_version_audit": """SELECT 'transactions' AS topic, CAST(CASE tms % 10 WHEN 6 THEN 99 ELSE 11 END AS BIGINT) AS schema_id,
+        CASE tms % 10 WHEN 6 THEN 'unknown schema id' ELSE 'undecodable body' END AS dlq_reason,
+        count(*) AS message_count FROM tx WHERE tms % 10 IN (6, 7) GROUP BY ALL""",
     "risk_scores": """SELECT transaction_id, account_id, amount, location, is_international,
         risk_score, risk_score >= 50 AS is_high_risk FROM tx""",
     "risk_score_dist": """SELECT risk_score, risk_score >= 50 AS is_high_risk, count(*) AS tx_count,

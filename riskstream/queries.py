@@ -7,10 +7,11 @@ with any engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import LongType, StringType, TimestampType
 
 from riskstream.functions.clock import add_dt_hr, add_event_time
 from riskstream.functions.frames import frame_columns, to_frame
@@ -29,9 +30,10 @@ from riskstream.plans.reports import rows
 from riskstream.plans.serving import load_serving, serving_high_risk
 from riskstream.plans.tables import create_tables, sync_partitions
 from riskstream.plans.versions import drop_folded, fold_day, hours_table
+from riskstream.schemas import struct
 from riskstream.settings import Settings
 from riskstream.sources.events import EVENTS, Feeds, feeds_from_events
-from riskstream.sources.feeds import CONTRACTS, bad_frames, decode_feed
+from riskstream.sources.feeds import CONTRACTS, Contract, Version, bad_frames, decode_feed
 from riskstream.sources.commits import records
 from riskstream.sources.files import leaves, read_hours
 from riskstream.streaming.jobs import dual_write_stream, start_dual_write, stream_session
@@ -161,6 +163,37 @@ def bad_frame_audit(lake: Lake) -> DataFrame:
         rows().alias("message_count"))
 
 
+def versioned_messages(lake: Lake) -> tuple[DataFrame, Contract]:
+    """Transactions as a long-lived topic holds them: three in ten by an earlier schema with other names, an amount as text
+    and fewer columns, one by a schema that nobody knows, one by the earlier schema with an amount that is no number."""
+    newest = CONTRACTS["transactions"]
+    earlier = Version(
+        11, struct(tx_id=StringType, account=StringType, amount=StringType, location=StringType, timestamp=LongType),
+        renamed=(("transaction_id", "tx_id"), ("account_id", "account")), defaults=(("currency", "EUR"),))
+    amount = F.when(F.col("timestamp") % 10 == 7, "n/a").otherwise(F.col("amount").cast("string"))
+    old_body = F.to_json(F.struct(
+        F.col("transaction_id").alias("tx_id"), F.col("account_id").alias("account"), amount.alias("amount"),
+        "location", "timestamp"))
+    new_body = F.to_json(F.struct(*newest.schema.names))
+    kind = F.col("timestamp") % 10
+    value = (F.when(kind.isin(3, 4, 5, 7), to_frame(old_body, earlier.schema_id))
+             .when(kind == 6, to_frame(new_body, 99)).otherwise(to_frame(new_body, newest.schema_id)))
+    return lake.decoded.transactions.select(value.alias("value"), "kafka_timestamp"), replace(newest, versions=(earlier,))
+
+
+@query
+def schema_versions(lake: Lake) -> DataFrame:
+    """Messages of two schemas of one topic, each decoded by the schema it names."""
+    return decode_feed(*versioned_messages(lake), "json")
+
+
+@query
+def schema_version_audit(lake: Lake) -> DataFrame:
+    """What of them goes to the dead letters."""
+    return bad_frames(*versioned_messages(lake), "json").groupBy("topic", "schema_id", "dlq_reason").agg(
+        rows().alias("message_count"))
+
+
 @query
 def risk_scores(lake: Lake) -> DataFrame:
     return lake.layers().transactions.select(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,7 +15,7 @@ from riskstream.operators.scoring import score_transactions
 from riskstream.plans.layers import Layers, unify
 from riskstream.settings import Settings
 from riskstream.sources.events import Feeds
-from riskstream.sources.feeds import CONTRACTS, decode_feed, ingest
+from riskstream.sources.feeds import CONTRACTS, Contract, decode_feed, ingest
 from riskstream.sources.kafka import read_kafka
 from riskstream.streaming.hot_accounts import grown_hot_accounts
 from riskstream.streaming.router import dual_write_router, foreach_batch_router
@@ -67,9 +67,10 @@ def rows_dropped_by_watermark(query: StreamingQuery) -> int:
 
 def unified_stream(raw: Feeds, settings: Settings, body: str = "avro",
                    proc_time: Column | str | None = None, hot: Sequence[str | HotSpan] = (),
-                   only: Iterable[str] = tuple(ROUTES)) -> DataFrame:
-    """Raw framed topics -> tagged union."""
-    feeds = Feeds(*(ingest(df, contract, body) for df, contract in zip(raw, CONTRACTS.values())))
+                   only: Iterable[str] = tuple(ROUTES),
+                   contracts: Mapping[str, Contract] = CONTRACTS) -> DataFrame:
+    """Raw framed topics -> tagged union. `contracts`: by feed, in the order of CONTRACTS."""
+    feeds = Feeds(*(ingest(df, contracts[name], body) for df, name in zip(raw, CONTRACTS)))
     return unify(Layers(feeds, settings, proc_time, hot), only)
 
 
@@ -83,7 +84,7 @@ def kafka_topics(spark: SparkSession, settings: Settings) -> Feeds:
 
 def run_stream(spark: SparkSession, settings: Settings, body: str = "avro",
                open_store: Callable[[], object] | None = None, split: bool = False,
-               ) -> list[StreamingQuery]:
+               contracts: Mapping[str, Contract] = CONTRACTS) -> list[StreamingQuery]:
     """Start the three-topic job and return its queries.
 
     One query with one checkpoint writes everything. split=True runs the stateless layers and the alerts as
@@ -98,7 +99,7 @@ def run_stream(spark: SparkSession, settings: Settings, body: str = "avro",
     plain = [tag for tag in ROUTES if tag != "ALERT"]
     groups = {"layers": plain, "alerts": ["ALERT"]} if split else {"risk_layers": list(ROUTES)}
     return [
-        start_router(unified_stream(topics, settings, body, hot=hot, only=only), settings, name, open_store)
+        start_router(unified_stream(topics, settings, body, hot=hot, only=only, contracts=contracts), settings, name, open_store)
         for name, only in groups.items()
     ]
 

@@ -1,16 +1,19 @@
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
 import pytest
 from helpers import at, millis, rows_of
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from riskstream.functions.clock import add_dt_hr, add_event_time
 from riskstream.functions.frames import frame_columns, to_frame
 from riskstream.functions.keys import alert_row_key, high_risk_row_key
 from riskstream.operators.lateness import mark_on_time, split_late
 from riskstream.operators.scoring import score_transactions
+from riskstream.schemas import struct
 from riskstream.settings import Settings, seconds
-from riskstream.sources.feeds import CONTRACTS, bad_frames, decode_feed
+from riskstream.sources.feeds import CONTRACTS, Version, bad_frames, decode_feed
 from riskstream.sources.kafka import kafka_options
 
 
@@ -122,6 +125,50 @@ def test_frame_fields_are_big_endian(spark):
     assert (row.magic, row.schema_id, bytes(row.body), row.frame_error) == (0, 66051, b"{}", None)
 
 
+def versioned_contract():
+    earlier = Version(9, struct(acct=StringType, login_id=StringType, ip_address=StringType, timestamp=StringType, zone=StringType),
+                      renamed=(("account_id", "acct"),), defaults=(("device_type", "unknown"),))
+    return replace(CONTRACTS["logins"], versions=(earlier, Version(8, struct(account_id=StringType, timestamp=LongType))))
+
+
+def test_messages_are_read_by_the_schema_they_name(spark):
+    contract = versioned_contract()
+    messages = [
+        (2, '{"account_id": "a", "login_id": "l1", "ip_address": "i", "location": "p", "device_type": "d", "timestamp": 1}'),
+        (9, '{"acct": "b", "login_id": "l2", "ip_address": "i", "timestamp": "2", "zone": "z", "location": "not in this schema"}'),
+        (9, '{"acct": "b", "login_id": "l3", "timestamp": "soon"}'),
+        (9, "{}"), (9, "[]"), (9, '{"acct": "b"'), (8, '{"account_id": "c", "timestamp": 3}'), (8, '{"account_id": "c", "timestamp": "x"}'),
+        (7, '{"account_id": "d", "timestamp": 4}'), (2 ** 31 + 2, '{"account_id": "e", "timestamp": 5}')]
+    values = [b"\x00" + number.to_bytes(4, "big") + body.encode() for number, body in messages]
+    raw = spark.createDataFrame([(v, at()) for v in [*values, b"\x07", None]], "value binary, kafka_timestamp timestamp")
+    good = decode_feed(raw, contract, "json")
+    assert good.columns == [*contract.schema.names, "kafka_timestamp"]
+    assert [f.dataType for f in good.schema][:6] == [f.dataType for f in contract.schema]
+    assert sorted(tuple(r)[:6] for r in good.select(*contract.schema.names).na.fill("-").collect()) == [
+        ("a", "l1", "i", "p", "d", 1), ("b", "l2", "i", "-", "unknown", 2), ("c", "-", "-", "-", "-", 3)]
+    bad = bad_frames(raw, contract, "json")
+    assert sorted((r.dlq_reason, r.schema_id or 0) for r in bad.collect()) == [
+        ("frame without body", 0), ("frame without body", 0),
+        ("undecodable body", 8), *[("undecodable body", 9)] * 4,
+        ("unknown schema id", 7), ("unknown schema id", 2 ** 31 + 2)]
+    assert decode_feed(raw.limit(0), contract, "json").count() == 0
+
+
+def test_each_message_is_parsed_by_one_schema(spark):
+    raw = spark.createDataFrame([(b"", at())], "value binary, kafka_timestamp timestamp")
+    plan = decode_feed(raw, versioned_contract(), "json")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 3
+
+
+def test_versions_must_fit_their_contract():
+    contract = CONTRACTS["logins"]
+    with pytest.raises(ValueError, match="two versions"):
+        replace(contract, versions=(Version(2, contract.schema),))
+    for wrong in ({"renamed": (("account_id", "nobody"),)}, {"renamed": (("nobody", "login_id"),)}, {"defaults": (("nobody", 1),)}):
+        with pytest.raises(ValueError, match="nobody"):
+            replace(contract, versions=(Version(3, contract.schema, **wrong),))
+
+
 def test_avro_body(spark):
     """Untested where the package is absent, as on the build box."""
     if not spark._jvm.java.lang.Thread.currentThread().getContextClassLoader().getResource(

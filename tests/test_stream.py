@@ -6,16 +6,19 @@ from glob import glob
 import pytest
 from helpers import at, rows_of
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from riskstream.__main__ import arguments, main
 from riskstream.operators.keyed import high_risk_cells, latest_by_key, put_rows, serving_alerts
 from riskstream.functions.clock import add_dt_hr
+from riskstream.functions.frames import to_frame
 from riskstream.operators.interval_join import HotSpan
 from riskstream.operators.routes import ROUTES, route_counts, tagged, union_aligned
 from riskstream.plans.layers import unify
 from riskstream.queries import Lake, from_the_future
+from riskstream.schemas import struct
 from riskstream.sources.events import Feeds
-from riskstream.sources.feeds import CONTRACTS
+from riskstream.sources.feeds import CONTRACTS, Version
 from riskstream.sources.files import stream_files
 from riskstream.streaming.history import (
     REPLAYED, as_messages, replay, stage_slice, time_slices, topic_streams,
@@ -362,3 +365,19 @@ def test_command_line(lake, spark):
     tables = spark.table(lake.settings.table("silver_transactions"))
     assert {r.hr for r in tables.select("hr").distinct().collect()} == {7, 8}
     assert arguments(["--root", "r", "dual-write", "--bootstrap", "b:1"]).trigger == "10 seconds"
+
+
+def test_streams_take_contracts_with_versions(lake, tmp_path):
+    earlier = Version(77, struct(id=StringType, account_id=StringType, timestamp=LongType), renamed=(("login_id", "id"),))
+    contracts = {**CONTRACTS, "logins": replace(CONTRACTS["logins"], versions=(earlier,))}
+    def messages(number):
+        body = F.to_json(F.struct(F.col("login_id").alias("id"), "account_id", "timestamp"))
+        return lake.decoded.logins.select(to_frame(body, number).alias("value"), "kafka_timestamp", "proc_time")
+    no_messages = messages(77).limit(0)
+    raw = Feeds(no_messages, messages(77).union(messages(78)), no_messages)
+    unified = unified_stream(raw, lake.settings, "json", "proc_time", contracts=contracts)
+    n = lake.decoded.logins.count()
+    found = {(r._type, r.dlq_reason if r._type == "BAD_FRAME" else None): r["count"]
+             for r in unified.groupBy("_type", "dlq_reason").count().collect()}
+    assert found.pop(("BAD_FRAME", "unknown schema id")) == n
+    assert set(found) <= {("BRONZE_LOGIN", None), ("LATE_LOGIN", None)} and sum(found.values()) == n
