@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.plans.compaction import compact, compact_in_place
 from riskstream.plans.hourly import run_hour
+from riskstream.plans.repair import repair_alerts
 from riskstream.plans.serving import load_serving
 from riskstream.plans.tables import create_tables, sync_day, sync_partitions
 from riskstream.settings import Settings
@@ -39,6 +40,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("dt")
         job.add_argument("hr", type=int, nargs="?" if name == "compact" else None, help="left out: the whole day")
     jobs.add_parser("serving").add_argument("dt")
+    jobs.add_parser("repair", help="append alerts that the watermark refused").add_argument("dt")
     jobs.choices["compact"].add_argument("--in-place", metavar="TAG", help="route to compact into itself")
     jobs.add_parser("tables")
     return parser.parse_args(argv)
@@ -72,6 +74,8 @@ def main(spark: SparkSession, args: argparse.Namespace) -> int:
         create_tables(spark, settings)
         sync_day(spark, settings, args.dt, "silver_transactions", "silver_fraud_alerts")
         load_serving(spark, settings, args.dt)
+    elif args.job == "repair":
+        return 0 if repair_alerts(spark, settings, args.dt) else 1
     elif args.job == "tables":
         create_tables(spark, settings)
         sync_partitions(spark, settings)

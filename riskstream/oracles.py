@@ -164,6 +164,8 @@ _QUERIES = {
         risk_score, dt, hr, true AS compacted, CAST(1 AS INTEGER) AS leaves FROM alert WHERE dt = DATE '2024-01-01'""",
     "folded_hours": """SELECT account_id, event_time, transaction_id, alert_type, login_id,
         risk_score, dt, hr, CAST(0 AS INTEGER) AS leaves_left FROM alert WHERE dt = DATE '2024-01-01'""",
+    "repaired_alerts": """SELECT account_id, event_time, transaction_id, alert_type, login_id, old_value, risk_score, dt, hr,
+        epoch_ms(event_time) % 3 = 0 AS repaired, 0 AS still_missing FROM alert WHERE dt = DATE '2024-01-01'""",
     "partition_inventory": "SELECT dt, hr, count(*) AS row_count FROM tx WHERE on_time GROUP BY dt, hr",
     "synced_table_counts": """SELECT dt, hr, count(*) AS late_count,
         CAST(0 AS BIGINT) AS count_before_sync FROM tx WHERE NOT on_time GROUP BY dt, hr""",

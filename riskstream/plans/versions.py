@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from math import ceil
 from typing import NamedTuple
 
@@ -138,6 +139,26 @@ def fold_day(spark: SparkSession, settings: Settings, table: str, dt: str) -> li
     return [hr for hr in found if fold_hour(spark, settings, table, dt, hr)]
 
 
+def whole_days(spark: SparkSession, settings: Settings, tag: str, days: list[str]) -> DataFrame | None:
+    """All finished rows of a route on these days, without `batch_id`: what the current versions hold, and the leaves that none of them
+    holds. Leaves are listed before the notes are read, and none is deleted that a version does not hold; None: no rows."""
+    route = ROUTES[tag]
+    layer = settings.layer(route.layer)
+    table = next(name for name, own in LAYER_TABLES.items() if own == tag)
+    parts, folders = [], []
+    for dt in days:
+        listed = finished(spark, settings, leaves(spark, layer, dt))
+        current = {hr: version for hr, own in versions(spark, settings, table, dt).items() if (version := _current(own))}
+        folders += [_folder(settings, route, dt, hr, version.name) for hr, version in current.items()]
+        loose = [(hr, leaf) for hr, leaf in listed if hr not in current or leaf not in current[hr].leaves]
+        if loose:
+            parts.append(read_leaves(spark, layer, route.stored, dt, loose).drop("batch_id"))
+    if folders:
+        held = spark.read.schema(_columns(route)).option("basePath", settings.layer(f"_hours/{route.layer}"))
+        parts.append(held.parquet(*folders))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def restore_hours(spark: SparkSession, settings: Settings, table: str, dt: str) -> None:
     """Point the partitions of a day to their current versions, for a catalog that starts empty or has lost a switch."""
     create_hours_table(spark, settings, table)

@@ -26,6 +26,7 @@ from riskstream.plans.gold import daily_kpi, daily_kpi_by_flag, location_risk
 from riskstream.plans.hourly import run_hour
 from riskstream.plans.layers import Layers, unify
 from riskstream.plans import reports
+from riskstream.plans.repair import REPAIR, missing_alerts, repair_alerts
 from riskstream.plans.reports import rows
 from riskstream.plans.serving import load_serving, serving_high_risk
 from riskstream.plans.tables import create_tables, sync_partitions
@@ -357,6 +358,26 @@ def folded_hours(lake: Lake) -> DataFrame:
         "account_id", "event_time", "transaction_id", "alert_type", "login_id", "risk_score", "dt", "hr", F.lit(left).alias("leaves_left"))
 
 
+@query
+def repaired_alerts(lake: Lake) -> DataFrame:
+    """A day's alerts of which a third was never raised and a part lies in versioned hours, repaired twice."""
+    lake.write("SILVER_TX", lake.silver)
+    lake.write("BRONZE_LOGIN", add_dt_hr(Layers.on_time(lake.layers().logins)))
+    lake.write("BRONZE_ACTIVITY", add_dt_hr(Layers.on_time(lake.layers().activity)))
+    raised = lake.alerts.where(F.unix_millis("event_time") % 3 != 0)
+    early = F.col("hr") < HOUR
+    lake.write("ALERT", raised.where(early), "early")
+    fold_day(lake.spark, lake.settings, "silver_fraud_alerts", DAY)
+    drop_folded(lake.spark, lake.settings, "silver_fraud_alerts", DAY, keep_seconds=0)
+    lake.write("ALERT", raised.where(~early), "live")
+    repair_alerts(lake.spark, lake.settings, DAY)
+    left = missing_alerts(lake.spark, lake.settings, DAY).count()
+    names = ("account_id", "event_time", "transaction_id", "alert_type", "login_id", "old_value", "risk_score", "dt", "hr")
+    folded = lake.spark.table(hours_table(lake.settings, "silver_fraud_alerts")).where(F.col("dt") == F.to_date(F.lit(DAY)))
+    return lake.read("ALERT", DAY).select(*names, F.col("batch_id").startswith(REPAIR).alias("repaired")).union(
+        folded.select(*names, F.lit(False))).withColumn("still_missing", F.lit(left).cast("int"))
+
+
 @query
 def partition_inventory(lake: Lake) -> DataFrame:
     lake.write("BRONZE_TX", lake.silver.drop("risk_score", "is_high_risk"))

@@ -1,0 +1,82 @@
+"""Alerts that a stream never raised."""
+
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from helpers import rows_of
+from pyspark.sql import functions as F
+
+from riskstream.__main__ import arguments, main
+from riskstream.functions.clock import add_dt_hr
+from riskstream.plans import repair
+from riskstream.plans.layers import Layers
+from riskstream.plans.repair import REPAIR, missing_alerts, repair_alerts, settled_until
+from riskstream.queries import DAY, Lake
+from riskstream.sources.commits import note_start
+from riskstream.streaming.history import replay
+
+SF = "/root/testdata/sf0.001"
+NAMES = repair.IDENTITY
+
+
+@pytest.fixture
+def lake(spark):
+    lake = Lake(spark, SF)
+    lake.write("SILVER_TX", lake.silver)
+    lake.write("BRONZE_LOGIN", add_dt_hr(Layers.on_time(lake.layers().logins)))
+    lake.write("BRONZE_ACTIVITY", add_dt_hr(Layers.on_time(lake.layers().activity)))
+    return lake
+
+
+def of_day(df):
+    return df.where(F.col("dt") == F.to_date(F.lit(DAY))).select(*NAMES)
+
+
+def test_a_lake_without_alerts_gets_all_and_only_once(lake, spark):
+    assert repair_alerts(spark, lake.settings, DAY)
+    assert rows_of(lake.read("ALERT", DAY).select(*NAMES)) == rows_of(of_day(lake.alerts))
+    assert main(spark, arguments(["--root", lake.settings.root, "repair", DAY])) == 0
+    assert rows_of(lake.read("ALERT", DAY).select(*NAMES)) == rows_of(of_day(lake.alerts))
+    assert not repair_alerts(spark, lake.settings, "2031-01-01")
+
+
+def test_copies_are_counted(lake, spark):
+    """A transaction that came twice raises its alerts twice; one of them is there."""
+    lake.write("SILVER_TX", lake.silver, "again")
+    lake.write("ALERT", lake.alerts)
+    repair_alerts(spark, lake.settings, DAY)
+    fresh = lake.read("ALERT", DAY).where(F.col("batch_id").startswith(REPAIR))
+    assert rows_of(fresh.select(*NAMES)) == rows_of(of_day(lake.alerts))
+
+
+def test_what_the_stream_may_still_join_is_left_out(lake, spark, monkeypatch):
+    assert settled_until(spark, lake.settings) is None
+    note_start(spark, lake.settings, "risk_layers", "0f1e2d3c-0000-4000-8000-00000000000a")
+    assert missing_alerts(spark, lake.settings, DAY).count() == 0
+    times = lake.alerts.agg(F.min("event_time"), F.max("event_time")).first()
+    middle = times[0].replace(tzinfo=timezone.utc) + (times[1] - times[0]) / 2
+    monkeypatch.setattr(repair, "settled_until", lambda *_: middle)
+    expected = of_day(lake.alerts).where(F.col("event_time") < F.lit(middle))
+    assert rows_of(missing_alerts(spark, lake.settings, DAY)) == rows_of(expected)
+
+
+def test_triggers_of_the_day_before(spark):
+    lake = Lake(spark, SF)
+    midnight = datetime(2030, 5, 2, tzinfo=timezone.utc)
+
+    def moved(df, at):
+        row = df.limit(1).withColumn("event_time", F.lit(at)).withColumn("account_id", F.lit("one"))
+        return add_dt_hr(row)
+
+    lake.write("SILVER_TX", moved(lake.silver.withColumn("location", F.lit("here")), midnight))
+    lake.write("BRONZE_LOGIN", moved(Layers.on_time(lake.layers().logins).withColumn("location", F.lit("there")), midnight - timedelta(minutes=1)))
+    found = missing_alerts(spark, lake.settings, "2030-05-02").collect()
+    assert [(r.account_id, r.alert_type) for r in found] == [("one", "LOGIN_THEN_TX")]
+
+
+def test_after_a_stream_that_raised_everything_nothing_is_missing(spark):
+    lake = Lake(spark, SF)
+    replay(lake.spark, lake.settings, lake.decoded, slices=2)
+    until = settled_until(spark, lake.settings)
+    assert until is not None and until > datetime(2024, 1, 1, tzinfo=timezone.utc)
+    assert missing_alerts(spark, lake.settings, DAY).count() == 0
