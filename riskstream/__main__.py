@@ -24,6 +24,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder of the lake")
     parser.add_argument("--database", default="default")
     parser.add_argument("--hive", action="store_true", help="keep tables in the cluster's metastore")
+    parser.add_argument("--set", action="append", default=[], type=Settings.parsed, metavar="NAME=VALUE", dest="changes",
+                        help="any field of Settings, for example watermark_delay='5 minutes'; stands before the job, may be repeated, wins over the job's own options")
     jobs = parser.add_subparsers(dest="job", required=True)
     for name in ("stream", "dual-write"):
         job = jobs.add_parser(name)
@@ -60,13 +62,21 @@ def await_first(queries: list[StreamingQuery], poll_seconds: int = 5) -> None:
         pass
 
 
-def main(spark: SparkSession, args: argparse.Namespace) -> int:
+def settings_of(args: argparse.Namespace) -> Settings:
+    """The job's options, and over them what `--set` names."""
     settings = Settings(args.root, args.database)
     if args.job in ("stream", "dual-write"):
-        settings = Settings(args.root, args.database, bootstrap=args.bootstrap,
-                            trigger_interval=args.trigger, max_offsets_per_trigger=args.max_offsets)
+        settings = replace(settings, bootstrap=args.bootstrap, trigger_interval=args.trigger,
+                           max_offsets_per_trigger=args.max_offsets)
+    if args.job == "stream":
+        settings = replace(settings, starting_offsets=args.starting_offsets, fail_on_data_loss=args.fail_on_data_loss)
+    return replace(settings, **dict(args.changes))
+
+
+def main(spark: SparkSession, args: argparse.Namespace) -> int:
+    settings = settings_of(args)
+    if args.job in ("stream", "dual-write"):
         if args.job == "stream":
-            settings = replace(settings, starting_offsets=args.starting_offsets, fail_on_data_loss=args.fail_on_data_loss)
             await_first(run_stream(spark, settings, args.body, open_store(args.store), args.split))
         else:
             await_first(run_dual_write_stream(spark, settings, args.body, open_store(args.store)))

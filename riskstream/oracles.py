@@ -186,6 +186,16 @@ _QUERIES = {
                               || '_' || transaction_id AS row_key FROM alert
                     WHERE dt = DATE '2024-01-01'))
         WHERE rn = 1""",
+    "serving_cells": """SELECT row_key, amount, CAST(risk_score AS INTEGER) AS risk, CAST(NULL AS TIMESTAMP) AS proc_ts
+        FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY alert_type) AS rn
+              FROM (SELECT *, account_id || '_' || CAST(epoch_us(event_time) // 1000 AS VARCHAR)
+                              || '_' || transaction_id AS row_key FROM alert WHERE dt = DATE '2024-01-01'))
+        WHERE rn = 1
+        UNION ALL SELECT row_key, amount, CAST(risk_score AS INTEGER), spark_proc_time
+        FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY spark_proc_time DESC, transaction_id DESC) AS rn
+              FROM (SELECT *, account_id || '_' || CAST(tms AS VARCHAR) AS row_key
+                    FROM tx WHERE on_time AND risk_score >= 50 AND dt = DATE '2024-01-01'))
+        WHERE rn = 1""",
     "high_risk_serving": """SELECT row_key, transaction_id, amount,
           CAST(risk_score AS VARCHAR) AS tx_risk_score, location AS tx_location,
           'true' AS tx_is_high_risk

@@ -441,6 +441,20 @@ def serving_table(lake: Lake) -> DataFrame:
     return lake.spark.table(lake.settings.table("serving_alerts")).drop("tx_amount")
 
 
+@query
+def serving_cells(lake: Lake) -> DataFrame:
+    """The text cells of a day in both serving tables, read back as the number and the time that they write."""
+    lake.write("ALERT", lake.alerts)
+    lake.write("SILVER_TX", lake.silver)
+    create_tables(lake.spark, lake.settings)
+    sync_partitions(lake.spark, lake.settings, "silver_fraud_alerts", "silver_transactions")
+    load_serving(lake.spark, lake.settings, DAY)
+    amount = "CAST(tx_amount AS DOUBLE) AS amount"
+    alerts, high_risk = (lake.spark.table(lake.settings.table(name)) for name in ("serving_alerts", "serving_high_risk"))
+    return alerts.selectExpr("row_key", amount, "CAST(tx_risk AS INT) AS risk", "CAST(NULL AS TIMESTAMP) AS proc_ts").unionAll(
+        high_risk.selectExpr("row_key", amount, "CAST(tx_risk_score AS INT) AS risk", "CAST(tx_proc_ts AS TIMESTAMP) AS proc_ts"))
+
+
 def from_the_future(feeds: Feeds) -> Feeds:
     """A copy of each feed's first event that the alert rules look at, ten years later."""
     watched = ("amount >= 10000", "true", "activity_type = 'LIMIT_CHANGE'")

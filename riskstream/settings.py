@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import timedelta
 
+DURATIONS = ("watermark_delay", "late_allowance", "future_allowance", "idle_allowance", "login_tx_window", "activity_tx_window")
+
+
 def seconds(duration: str | timedelta) -> int:
     """Seconds of '10 minutes', '1 hour', timedelta(...), ...; a part of a second is refused, not cut off."""
     if isinstance(duration, str):
@@ -65,6 +68,24 @@ class Settings:
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
 
+    @classmethod
+    def parsed(cls, text: str) -> tuple[str, object]:
+        """(name, value) of `name=value`, the value of the field's own type; `none` where a field may be None."""
+        name, given, value = text.partition("=")
+        field = next((f for f in fields(cls) if f.name == name), None)
+        if field is None or not given:
+            raise ValueError(f"no setting: {text!r}")
+        kind, _, optional = str(field.type).partition(" | ")
+        if optional and value.lower() == "none":
+            return name, None
+        if kind == "bool":
+            if value.lower() not in ("true", "false"):
+                raise ValueError(f"{name}: neither true nor false: {value!r}")
+            return name, value.lower() == "true"
+        if name in DURATIONS:
+            seconds(value)
+        return name, {"int": int, "float": float, "str": str}[kind](value)
+
     @classmethod
     def small_box(cls, root: str, **changes) -> Settings:
         """The throttled profile for a single 3-core worker."""

@@ -6,6 +6,7 @@ from helpers import at, millis, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
+from riskstream.__main__ import arguments, settings_of
 from riskstream.functions.clock import add_dt_hr, add_event_time
 from riskstream.functions.frames import frame_columns, to_frame
 from riskstream.functions.keys import alert_row_key, high_risk_row_key
@@ -178,6 +179,20 @@ def test_avro_body(spark):
     assert decode_feed(raw, CONTRACTS["logins"], "avro").columns == [*CONTRACTS["logins"].schema.names, "kafka_timestamp"]
 
 
+def test_every_setting_from_the_command_line():
+    job = ["stream", "--bootstrap", "b:1", "--trigger", "9 seconds"]
+    options = ["watermark_delay=3 minutes", "late_allowance=2 minutes", "login_tx_window=30 seconds", "high_risk_threshold=70",
+               "hot_share=0.5", "future_allowance=none", "fail_on_data_loss=true", "topic_tx=t=1", "trigger_interval=1 second"]
+    found = settings_of(arguments(["--root", "r", *[x for option in options for x in ("--set", option)], *job]))
+    assert found == Settings(
+        "r", bootstrap="b:1", watermark_delay="3 minutes", late_allowance="2 minutes", login_tx_window="30 seconds",
+        high_risk_threshold=70, hot_share=0.5, future_allowance=None, fail_on_data_loss=True, topic_tx="t=1", trigger_interval="1 second")
+    assert settings_of(arguments(["--root", "r", *job])) == Settings("r", bootstrap="b:1", trigger_interval="9 seconds")
+    for wrong in ("nothing=1", "watermark_delay", "watermark_delay=soon", "high_risk_threshold=x", "fail_on_data_loss=2", "bootstrap"):
+        with pytest.raises(SystemExit):
+            arguments(["--root", "r", "--set", wrong, "tables"])
+
+
 def test_avro_contract_text():
     assert '"name": "is_international", "type": "boolean"' in CONTRACTS["transactions"].avro()
 
