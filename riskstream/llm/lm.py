@@ -21,8 +21,12 @@ NEAR = 256                  # ids that describe a neighbourhood when classes are
 DIM = 16
 PAST, STEP = 16, 16         # a window scores STEP ids and sees PAST more before them
 WINDOWS = 512               # in a batch
-SAMPLE_ROWS, SAMPLE_CHARS = 1500, 20_000    # texts that classes and weights are learned from
-TRAIN_STEPS, TRAIN_WINDOWS, RATE = 500, 128, 3e-3
+SAMPLE_CHARS = 1_000_000    # ids whose windows a task shuffles before it learns from all of them
+ROUNDS = 4                  # parts of the learned texts, after each of which the tasks' weights are averaged
+TRAIN_STEPS, TRAIN_WINDOWS, RATE = 500, 128, 3e-3   # steps at least, where a task's texts are few
+TRAINED = ("query", "key", "value", "query_at", "key_at", "value_at", "out")
+BLOCK = 256                 # weights in a row, when tasks send theirs
+FIXED = 1 << 20             # weights are summed as whole numbers of this part of one, so in any order
 KEPT = 10                   # pairs' worth of what a row's class says, where pairs are few
 OWN_SHARE = 0.5             # of a word's probability, from its ids
 NEVER = -1e4                # logarithm of nothing
@@ -79,9 +83,14 @@ class Numbered(dict):
             self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
             self.flat, self.sizes = np.append(self.flat, ids), np.append(self.sizes, sizes)
             self.new = []
-        sizes = self.sizes[numbers]
-        at = np.repeat(self.starts[numbers] - (np.cumsum(sizes) - sizes), sizes)
-        return self.flat[at + np.arange(len(at))], sizes
+        return spelled(self.flat, self.starts, self.sizes, numbers)
+
+
+def spelled(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all numbered words, how many each has); the word of a number has `sizes` ids of `flat` from `starts` on."""
+    each = sizes[numbers]
+    at = np.repeat(starts[numbers] - (np.cumsum(each) - each), each)
+    return flat[at + np.arange(len(at))], each
 
 
 def pair_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -95,26 +104,24 @@ def learned(docs: DataFrame) -> DataFrame:
 
 # Classes -------------------------------------------------------------------------------------------
 
-def make_classes(sequences: list[np.ndarray], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(class of every id, ids with rows of their own). Frequent ids with alike neighbours share a class; the
-    most frequent ids are classes of their own, and the last class has those that the sample hardly has."""
-    whole = np.concatenate([np.array([END_ID]), *sequences])
-    counts = np.bincount(whole, minlength=IDS)
+def frequent_ids(counts: np.ndarray) -> np.ndarray:
+    """The ids with rows of their own, most frequent first; the end is one."""
+    counts = counts.copy()
     counts[END_ID] = max(counts[END_ID], 1)
     frequent = np.argsort(-counts, kind="stable")[:FREQUENT]
-    frequent = frequent[counts[frequent] > 0]
-    place = np.full(IDS, -1)
-    place[frequent] = np.arange(len(frequent))
+    return frequent[counts[frequent] > 0]
+
+
+def make_classes(counts: np.ndarray, frequent: np.ndarray, pairs: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Class of every id, from how often each id stands and each row after each row. Frequent ids with alike neighbours
+    share a class; the most frequent ids are classes of their own, and the last class has the ids without a row."""
     near = min(NEAR, len(frequent))
-    features = np.zeros((len(frequent), 2 * near + 2))
-    a, b = place[whole[:-1]], place[whole[1:]]
-    for own, other, at in ((a, b, 0), (b, a, near + 1)):
-        other = np.where((other < 0) | (other >= near), near, other)
-        np.add.at(features, (own[own >= 0], at + other[own >= 0]), 1)
+    features = np.hstack([np.hstack([table[:len(frequent), :near], table[:len(frequent), near:].sum(axis=1, keepdims=True)])
+                          for table in (pairs, pairs.T)]).astype(float)
     features = np.sqrt(features / np.maximum(features.sum(axis=1, keepdims=True), 1))
     alone = min(12, len(frequent))
     kinds = CLASSES - 1 - alone
-    weights, points = counts[frequent[alone:]], features[alone:]
+    weights, points = np.maximum(counts[frequent[alone:]], 1), features[alone:]
     classes = np.full(IDS, CLASSES - 1)
     classes[frequent[:alone]] = np.arange(alone)
     if len(points):
@@ -127,7 +134,7 @@ def make_classes(sequences: list[np.ndarray], seed: int = 0) -> tuple[np.ndarray
                     centres[k] = np.average(points[nearest == k], axis=0, weights=weights[nearest == k])
         sure = counts[frequent[alone:]] >= 3
         classes[frequent[alone:][sure]] = alone + nearest[sure]
-    return classes, frequent
+    return classes
 
 
 def symbols_of(frequent: np.ndarray) -> np.ndarray:
@@ -160,14 +167,19 @@ def attend(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, .
     """Logits over classes of the last STEP ids of each window, and what the way back needs. One head: the row of the
     id before asks, all ids up to it answer."""
     past = symbols[:, :-1]
-    q = p["query"][past[:, PAST - 1:]] + p["query_at"]
-    k = p["key"][past] + p["key_at"]
-    v = p["value"][past] + p["value_at"]
-    scores = q @ k.transpose(0, 2, 1) + MASK
+    asking = past[:, PAST - 1:]
+    q, k, v = p["query"].take(asking, axis=0), p["key"].take(past, axis=0), p["value"].take(past, axis=0)
+    q += p["query_at"]
+    k += p["key_at"]
+    v += p["value_at"]
+    scores = q @ k.transpose(0, 2, 1)
+    scores += MASK
     np.exp(np.minimum(scores, 60, out=scores), out=scores)
-    scores /= scores.sum(axis=2, keepdims=True)
+    scores /= scores @ np.ones((PAST + STEP - 1, 1), np.float32)
     mixed = scores @ v
-    return p["bigram"][past[:, PAST - 1:]] + mixed @ p["out"], q, k, v, scores, mixed
+    logits = p["bigram"].take(asking, axis=0)
+    logits += (mixed.reshape(-1, DIM) @ p["out"]).reshape(logits.shape)
+    return logits, q, k, v, scores, mixed
 
 
 def log_likelihood(p: dict[str, np.ndarray], ids: np.ndarray, counted: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
@@ -187,113 +199,170 @@ def log_likelihood(p: dict[str, np.ndarray], ids: np.ndarray, counted: tuple[np.
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         pairs = np.where(keys[at] == wanted, n[at], 0)
         spelled = np.log((pairs + KEPT * np.exp(spelled)) / (p["follow"][before, own] + KEPT))
-    return known - np.log(logits.sum(axis=2)) + spelled
+    return known - np.log(logits @ np.ones(CLASSES, np.float32)) + spelled
 
 
-def train(p: dict[str, np.ndarray], sequences: list[np.ndarray], seed: int = 0) -> None:
-    """Adam on the cross-entropy of the classes; the bigram rows are counts of the corpus and stay."""
-    ids, scored, _ = windows(sequences)
-    rng = np.random.default_rng(seed)
-    names = ["query", "key", "value", "query_at", "key_at", "value_at", "out"]
-    first, second = ({n: np.zeros_like(p[n]) for n in names} for _ in range(2))
-    for step in range(1, TRAIN_STEPS + 1):
-        batch = rng.integers(0, len(ids), TRAIN_WINDOWS)
-        symbols, target = p["symbols"][ids[batch]], p["classes"][ids[batch][:, PAST:]]
+def _row_sums(rows: np.ndarray, change: np.ndarray, to: np.ndarray) -> None:
+    """Adds each row of `change` to the row of `to` that `rows` names."""
+    width = to.shape[1]
+    to += np.bincount((rows[:, None] * width + np.arange(width)).ravel(), change.ravel(), to.size).reshape(to.shape)
+
+
+class Trainer:
+    """Adam on the cross-entropy of the classes; the bigram rows are counts of the corpus and stay. `p` has the weights."""
+
+    def __init__(self, p: dict[str, np.ndarray]):
+        self.weights = np.concatenate([p[n].ravel() for n in TRAINED]).astype(np.float32)
+        self.p = {**p, **self._parts(self.weights, p)}
+        self.slope = np.zeros_like(self.weights)
+        self.slopes = self._parts(self.slope, p)
+        self.first, self.second, self.steps = np.zeros_like(self.weights), np.zeros_like(self.weights), 0
+
+    @staticmethod
+    def _parts(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        ends = np.cumsum([like[n].size for n in TRAINED])
+        return {n: part.reshape(like[n].shape) for n, part in zip(TRAINED, np.split(flat, ends[:-1]))}
+
+    def step(self, ids: np.ndarray, scored: np.ndarray) -> None:
+        p, slopes = self.p, self.slopes
+        symbols, target = p["symbols"][ids], p["classes"][ids[:, PAST:]]
         logits, q, k, v, weights, mixed = attend(p, symbols)
-        logits -= logits.max(axis=2, keepdims=True)
-        slope = np.exp(logits)
-        slope /= slope.sum(axis=2, keepdims=True)
-        np.put_along_axis(slope, target[..., None], np.take_along_axis(slope, target[..., None], axis=2) - 1, axis=2)
-        slope *= scored[batch][..., None] / max(1, scored[batch].sum())
-        to_mixed = slope @ p["out"].T
-        to_weights = to_mixed @ v.transpose(0, 2, 1)
+        slope = np.exp(np.minimum(logits, 60, out=logits), out=logits).reshape(-1, CLASSES)
+        slope /= slope @ np.ones((CLASSES, 1), np.float32)
+        slope[np.arange(len(slope)), target.ravel()] -= 1
+        slope *= (scored.ravel() / max(1, scored.sum())).astype(np.float32)[:, None]
+        to_mixed = (slope @ p["out"].T).reshape(mixed.shape)
+        to_scores = to_mixed @ v.transpose(0, 2, 1)
+        to_scores -= (to_mixed * mixed).sum(axis=2, keepdims=True)
+        to_scores *= weights
         to_v = weights.transpose(0, 2, 1) @ to_mixed
-        to_scores = weights * (to_weights - (to_weights * weights).sum(axis=2, keepdims=True))
         to_q, to_k = to_scores @ k, to_scores.transpose(0, 2, 1) @ q
-        slopes = {"out": np.einsum("nsd,nsc->dc", mixed, slope), "query_at": to_q.sum(axis=0), "key_at": to_k.sum(axis=0),
-                  "value_at": to_v.sum(axis=0)}
+        self.slope[:] = 0
+        slopes["out"][:] = mixed.reshape(-1, DIM).T @ slope
         past = symbols[:, :-1]
         for name, rows, change in (("query", past[:, PAST - 1:], to_q), ("key", past, to_k), ("value", past, to_v)):
-            slopes[name] = np.zeros_like(p[name])
-            np.add.at(slopes[name], rows.ravel(), change.reshape(-1, DIM))
-        for name in names:
-            first[name] += 0.1 * (slopes[name] - first[name])
-            second[name] += 0.001 * (slopes[name] ** 2 - second[name])
-            p[name] -= RATE * (first[name] / (1 - 0.9 ** step)) / (np.sqrt(second[name] / (1 - 0.999 ** step)) + 1e-8)
+            _row_sums(rows.ravel(), change.reshape(-1, DIM), slopes[name])
+        for name, change in (("query_at", to_q), ("key_at", to_k), ("value_at", to_v)):
+            slopes[name][:] = change.sum(axis=0)
+        self.steps += 1
+        self.first += 0.1 * (self.slope - self.first)
+        self.second += 0.001 * (self.slope ** 2 - self.second)
+        self.weights -= RATE / (1 - 0.9 ** self.steps) * self.first / (np.sqrt(self.second / np.float32(1 - 0.999 ** self.steps)) + 1e-8)
+
+    def over(self, sequences: list[np.ndarray], rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+        """Steps over every window once, in a random order. Returns the windows and what is scored in them."""
+        ids, scored, _ = windows(sequences)
+        order = rng.permutation(len(ids))
+        for at in range(0, len(order), WINDOWS):
+            self.step(ids[order[at:at + WINDOWS]], scored[order[at:at + WINDOWS]])
+        return ids, scored
+
+
+def train(p: dict[str, np.ndarray], sequences: list[np.ndarray], seed: int = 0) -> None:
+    """TRAIN_STEPS steps on windows drawn from the sequences."""
+    ids, scored, _ = windows(sequences)
+    rng, trainer = np.random.default_rng(seed), Trainer(p)
+    for _ in range(TRAIN_STEPS):
+        batch = rng.integers(0, len(ids), TRAIN_WINDOWS)
+        trainer.step(ids[batch], scored[batch])
+    p.update({n: trainer.p[n] for n in TRAINED})
 
 
 # Corpus counts and the model -----------------------------------------------------------------------
 
-def _count(docs: DataFrame, tokenizer: str, symbols: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of all learned texts: how often each id stands, each row after each row, and each class after each id."""
-    rows = FREQUENT + 1
-    shared = docs.sparkSession.sparkContext.broadcast((symbols, classes))
+def _tally(pairs: DataFrame, size: int, key) -> np.ndarray:
+    """How often the learned texts have each key, below `size`, that `key` makes of the ids before and the ids of pairs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.int64)
+        for batch in batches:
+            pair = batch.column("pair").to_numpy()
+            at, back = np.unique(key(pair >> 16, pair & 0xffff), return_inverse=True)
+            counts[at] += np.bincount(back, batch.column("n").to_numpy(), len(at)).astype(np.int64)
+        at = np.flatnonzero(counts)
+        for a in range(0, len(at), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[a:a + 50_000]), pa.array(counts[at[a:a + 50_000]])], ["key", "n"])
+
+    found = pairs.mapInArrow(run, "key long, n long").groupBy("key").agg(
+        F.sum("n").alias("n")).toPandas()              # of a size that the constants bound, whatever the corpus
+    counts = np.zeros(size, np.int64)
+    counts[found.key.to_numpy(np.int64)] = found.n.to_numpy(np.int64)
+    return counts
+
+
+def _round(docs: DataFrame, tokenizer: str, model: dict, seed: int) -> None:
+    """Trains on every window of every text of `docs`: each task on those of its partition, from the weights of `model`, which
+    then become the tasks' average, by windows. A task with few texts goes over them again."""
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast({n: model[n] for n in ("classes", "symbols", "bigram", *TRAINED)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, (symbols, classes) = word_ids(tokenizer), shared.value
-        counts = [np.zeros(n, np.int64) for n in (IDS, rows * rows, IDS * CLASSES)]
-        numbered = Numbered(encoder)
+        encoder, trainer = word_ids(tokenizer), Trainer(shared.value)
+        kept = kept_in_process(("numbered", tokenizer), lambda: [Numbered(encoder)])
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
         held: list[np.ndarray] = []
+        size = learned_from = 0
 
-        def add() -> None:
-            if held:
-                ids, _ = numbered.ids(np.concatenate(held))
-                before = np.roll(ids, 1)                            # the end of the text before is an end as well
-                counts[0][:] += np.bincount(ids, minlength=IDS)
-                for whole, keys in ((counts[1], symbols[before] * rows + symbols[ids]), (counts[2], before * CLASSES + classes[ids])):
-                    at, n = np.unique(keys, return_counts=True)
-                    whole[at] += n
-                held.clear()
-
-        size = 0
         for batch in batches:
             for text in utf8(batch.column("text")):
-                held.append(numbered.number(words_of(text)))
+                if held and size >= SAMPLE_CHARS:
+                    learned_from += len(trainer.over(held, rng)[0])
+                    held, size = [], 0
+                if len(kept[0]) > MOST:
+                    kept[0] = Numbered(encoder)
+                held.append(kept[0].number(words_of(text)))
+                held[-1] = kept[0].ids(held[-1])[0].astype(np.int32)
                 size += len(held[-1])
-                if size >= 500_000:
-                    add()
-                    size = 0
-                    if len(numbered) > MOST:
-                        numbered = Numbered(encoder)
-        add()
-        for kind, n in enumerate(counts):
-            at = np.flatnonzero(n)
-            for a in range(0, len(at), 50_000):
-                part = at[a:a + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), kind, np.int32)), pa.array(part), pa.array(n[part])], ["kind", "key", "n"])
-
-    found = docs.where("learn").select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(
-        F.sum("n").alias("n")).toPandas()              # of a size that the constants bound, whatever the corpus
-    counts = [np.zeros(n, np.int64) for n in (IDS, rows * rows, IDS * CLASSES)]
-    for kind, whole in enumerate(counts):
-        own = found[found.kind == kind]
-        whole[own.key.to_numpy(np.int64)] = own.n.to_numpy(np.int64)
-    return counts[0], counts[1].reshape(rows, rows), counts[2].reshape(IDS, CLASSES)
-
-
-def learn(docs: DataFrame, tokenizer: str, seed: int = 0) -> dict:
+        if held:
+            all_held = not learned_from
+            ids, scored = trainer.over(held, rng)
+            learned_from += len(ids)
+            while all_held and trainer.steps < TRAIN_STEPS // ROUNDS:
+                batch = rng.integers(0, len(ids), TRAIN_WINDOWS)
+                trainer.step(ids[batch], scored[batch])
+            whole = np.rint(trainer.weights.astype(np.float64) * FIXED).astype(np.int64) * learned_from
+            parts = np.split(whole, np.arange(BLOCK, len(whole), BLOCK))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(np.full(len(parts), learned_from, np.int64)),
+                pa.array([x.tobytes() for x in parts], pa.binary())], ["block", "n", "weights"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for block, n, weights in zip(*(batch.column(c).to_pylist() for c in ("block", "n", "weights"))):
+                own = sums.setdefault(block, [0, 0])
+                own[0] += n
+                own[1] = own[1] + np.frombuffer(weights, np.int64)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(list(sums), pa.int32()), pa.array([n for n, _ in sums.values()], pa.int64()),
+            pa.array([x.tobytes() for _, x in sums.values()], pa.binary())], ["block", "n", "weights"])
+
+    kind = "block int, n long, weights binary"
+    rows = sorted(docs.mapInArrow(run, kind).repartition("block").mapInArrow(add, kind).collect())   # as many as the weights fill
+    if rows:
+        flat = np.concatenate([np.frombuffer(r.weights, np.int64) / (r.n * FIXED) for r in rows]).astype(np.float32)
+        model.update(Trainer._parts(flat, model))
+
+
+def learn(docs: DataFrame, tokenizer: str, seed: int = 0, chunks: DataFrame | None = None) -> dict:
     """The model, a dict of arrays. p(id | ids before) = p(class | ids before) p(id | class, id before), and a word's probability
     is OWN_SHARE of that of its ids, the rest that of the word among all words of the corpus.
 
-    `docs` has doc_id, text and learn. Classes and attention weights come from at most SAMPLE_ROWS texts of 1 to
-    SAMPLE_CHARS characters that may be learned, those with the smallest hash; how often an id, a row after a row or a class
-    after an id stands is counted over all that may be learned. Counts of words and of pairs of ids grow with the
-    corpus and are no part of the model: `scored` joins them. Without any text, ids are equally likely.
+    `docs` has doc_id, text and learn; `chunks` is their table, if it is there. Rows of ids, classes, counts and attention
+    weights all come from all texts that may be learned: counts by sums over the chunks' pairs of ids, weights in ROUNDS
+    passes, each over a part of the texts, in which each window is learned from where it lies and the tasks' weights are averaged.
+    Counts of words and of pairs of ids grow with the corpus and are no part of the model: `scored` joins them. Without
+    any text, ids are equally likely.
     """
-    usable = docs.where(F.col("learn") & F.length("text").between(1, SAMPLE_CHARS))
-    order = F.xxhash64("doc_id", "text")
-    n = usable.count()
-    share = min(1.0, (2 * SAMPLE_ROWS + 50) / max(1, n))
-    drawn = usable.where(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20)).select(order.alias("at"), "text").collect()
-    texts = [words_of(r.text.encode()) for r in sorted(drawn)[:SAMPLE_ROWS]]
-    encode = word_ids(tokenizer).sequence
-    sample = [encode(t) for t in texts]
-    classes, frequent = make_classes(sample, seed)
+    chunks = written(_chunks(docs, tokenizer), "numbered-chunks", "kind") if chunks is None else chunks
+    learned_pairs = chunks.where("kind = 2 AND n > 0").select("pair", "n")
+    rows = FREQUENT + 1
+    ids = _tally(learned_pairs, IDS, lambda before, ids: ids)
+    frequent = frequent_ids(ids)
     symbols = symbols_of(frequent)
-    ids, pairs, follow = _count(docs, tokenizer, symbols, classes)
+    pairs = _tally(learned_pairs, rows * rows, lambda before, ids: symbols[before] * rows + symbols[ids]).reshape(rows, rows)
+    classes = make_classes(ids, frequent, pairs, seed)
+    follow = _tally(learned_pairs, IDS * CLASSES, lambda before, ids: before * CLASSES + classes[ids]).reshape(IDS, CLASSES)
 
-    rows = FREQUENT + 1
     row_class = np.full(rows, CLASSES - 1)
     row_class[:len(frequent)] = classes[frequent]
     row_ids = np.bincount(symbols, ids + 0.1, minlength=rows)           # rows of no id stay at nothing
@@ -312,17 +381,18 @@ def learn(docs: DataFrame, tokenizer: str, seed: int = 0) -> dict:
         "query": draw(rows, DIM), "key": draw(rows, DIM), "value": draw(rows, DIM),
         "query_at": draw(STEP, DIM), "key_at": draw(PAST + STEP - 1, DIM), "value_at": draw(PAST + STEP - 1, DIM),
         "out": np.zeros((DIM, CLASSES), np.float32)}
-    if sample:
-        train(model, sample, seed)
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    for number in range(ROUNDS):
+        _round(docs.where(F.col("learn") & (part == number)).select("text"), tokenizer, model, seed + number)
     return model
 
 
-def text_scores(model: dict, numbered: Numbered, alone: np.ndarray, counted: tuple[np.ndarray, np.ndarray],
+def text_scores(model: dict, spelling: tuple[np.ndarray, ...], alone: np.ndarray, counted: tuple[np.ndarray, np.ndarray],
                 texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the probability of each text, given as the numbers of its words and the end, in batches of a bounded
-    number of windows. `alone`: by number, the logarithm of a word's share of all words."""
+    number of windows. `spelling`: what `spelled` asks for; `alone`: by number, the logarithm of a word's share of all words."""
     whole = np.concatenate(texts)
-    flat, lengths = numbered.ids(whole)
+    flat, lengths = spelled(*spelling, whole)
     firsts = np.cumsum(lengths) - lengths
     sizes = np.array(list(map(len, texts)))
     heads = np.cumsum(sizes) - sizes
@@ -373,15 +443,18 @@ class _Chunk:
         for at in range(0, len(words), 50_000):
             part = words[at:at + 50_000]
             n = len(part)
-            yield _rows(n, chunk=[self.name] * n, kind=np.zeros(n, np.int32), number=np.arange(at, at + n, dtype=np.int32),
-                        word=part, n=self.learned[at:at + n])
+            numbers = np.arange(at, at + n)
+            ids, sizes = self.numbered.ids(numbers)
+            spellings = np.split(ids.astype("<u2"), np.cumsum(sizes)[:-1])
+            yield _rows(n, chunk=[self.name] * n, kind=np.zeros(n, np.int32), number=numbers.astype(np.int32),
+                        word=part, ids=[x.tobytes() for x in spellings], n=self.learned[at:at + n])
         for at in range(0, len(self.keys), 50_000):
             part = self.keys[at:at + 50_000]
             yield _rows(len(part), chunk=[self.name] * len(part), kind=np.full(len(part), 2, np.int32), pair=part,
                         n=self.n[at:at + 50_000])
 
 
-FIELDS = {"chunk": pa.string(), "kind": pa.int32(), "number": pa.int32(), "word": pa.binary(), "pair": pa.int64(), "n": pa.int64(),
+FIELDS = {"chunk": pa.string(), "kind": pa.int32(), "number": pa.int32(), "word": pa.binary(), "ids": pa.binary(), "pair": pa.int64(), "n": pa.int64(),
           "doc_id": pa.int64(), "held_out": pa.bool_(), "numbers": pa.binary()}
 
 
@@ -391,7 +464,7 @@ def _rows(size: int, **columns) -> pa.RecordBatch:
 
 
 def _chunks(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Rows of kind 0: the distinct words of a chunk of texts, numbered, with their learned occurrences. Of kind 1: its
+    """Rows of kind 0: the distinct words of a chunk of texts, numbered, with their ids and learned occurrences. Of kind 1: its
     texts, with the numbers of their words. Of kind 2: its distinct pairs of ids with their learned occurrences."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(tokenizer)
@@ -415,7 +488,7 @@ def _chunks(docs: DataFrame, tokenizer: str) -> DataFrame:
             yield from chunk.rows()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "learn").mapInArrow(
-        run, "chunk string, kind int, number int, word binary, pair long, n long, doc_id long, held_out boolean, numbers binary")
+        run, "chunk string, kind int, number int, word binary, ids binary, pair long, n long, doc_id long, held_out boolean, numbers binary")
 
 
 def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
@@ -430,18 +503,18 @@ def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
     and its texts are scored there.
     """
     docs = learned(docs.select("doc_id", "text"))
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, tokenizer, seed))    # of a size that the constants fix
     chunks = written(_chunks(docs, tokenizer), "numbered-chunks", "kind")
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, tokenizer, seed, chunks))    # of a size that the constants fix
     same_word, same_pair = Window.partitionBy("word"), Window.partitionBy("pair")
     words = written(chunks.where("kind = 0").select(
-        "chunk", "number", "word", F.sum("n").over(same_word).alias("c"),
+        "chunk", "number", "ids", F.sum("n").over(same_word).alias("c"),
         (F.min("chunk").over(same_word) == F.col("chunk")).alias("first")), "word-counts")
     totals = words.agg(F.sum(F.when(F.col("first"), F.col("c"))).alias("n"),
                        F.count(F.when(F.col("first") & (F.col("c") > 0), 1)).alias("v")).first()
     train_tokens = totals.n or 0
     usual = float(np.log10(train_tokens + totals.v + 1))
-    kinds = {"number": "int", "word": "binary", "pair": "long", "c": "long", "doc_id": "long", "held_out": "boolean", "numbers": "binary"}
-    parts = [(words, 0, ["number", "word", "c"]),
+    kinds = {"number": "int", "ids": "binary", "pair": "long", "c": "long", "doc_id": "long", "held_out": "boolean", "numbers": "binary"}
+    parts = [(words, 0, ["number", "ids", "c"]),
              (chunks.where("kind = 2").select("chunk", "pair", F.sum("n").over(same_pair).alias("c")), 1, ["pair", "c"]),
              (chunks.where("kind = 1"), 2, ["doc_id", "held_out", "numbers"])]
     back, pairs, texts = (df.select("chunk", F.lit(k).alias("kind"), *[
@@ -449,8 +522,7 @@ def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
     met = back.union(pairs).union(texts).repartition("chunk").sortWithinPartitions("chunk", "kind", "number", "pair")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, model = word_ids(tokenizer), shared.value
-        name = None
+        model, name = shared.value, None
         for batch in batches:
             labels = np.array(batch.column("chunk").to_pylist(), object)
             kinds = batch.column("kind").to_numpy()
@@ -460,11 +532,13 @@ def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
                     continue
                 part = batch.slice(a, b - a)
                 if labels[a] != name:
-                    name, numbered, ready = labels[a], Numbered(encoder), False
+                    name, ready = labels[a], False
                     found: list[list[np.ndarray]] = [[], [], []]            # counts of words; pairs; their counts
+                    flat, sizes = [], []                                    # ids of words, by number
                 if kinds[a] == 0:
-                    for word in part.column("word").to_pylist():            # by number, so each gets its own again
-                        numbered[word]
+                    spellings = part.column("ids")
+                    flat.append(np.frombuffer(b"".join(spellings.to_pylist()), "<u2"))
+                    sizes.append(pa.compute.binary_length(spellings).to_numpy() // 2)
                     found[0].append(part.column("c").to_numpy())
                     continue
                 if kinds[a] == 1:
@@ -473,6 +547,8 @@ def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
                     continue
                 if not ready:
                     counts, keys, n = map(np.concatenate, found)
+                    own = np.concatenate(sizes).astype(np.int64)
+                    spelling = np.concatenate(flat).astype(np.int64), np.cumsum(own) - own, own
                     alone = np.where(counts > 0, np.log(np.maximum(counts, 1) / max(train_tokens, 1)), NEVER)
                     alone[0], ready = NEVER, True                           # the end is an id only
                 for at in range(0, part.num_rows, 100):
@@ -483,7 +559,7 @@ def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
                         some.column("doc_id"), some.column("held_out"), pa.array([len(c) for c in rows], pa.int64()),
                         pa.array([int(np.count_nonzero(c)) for c in rows], pa.int64()), pa.array([train_tokens] * len(rows), pa.int64()),
                         pa.array([float(np.log10(c + 1).sum()) - len(c) * usual for c in rows]),
-                        pa.array(text_scores(model, numbered, alone, (keys, n), numbers))],
+                        pa.array(text_scores(model, spelling, alone, (keys, n), numbers))],
                         ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return met.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

@@ -147,3 +147,26 @@ def test_shares_by_counted_pairs_sum_to_one():
     ids[:, lm.PAST] = np.arange(lm.IDS)
     total = sum(np.exp(lm.log_likelihood(model, ids[at:at + 4096], (keys, n))[:, 0].astype(float)).sum() for at in range(0, lm.IDS, 4096))
     assert total == pytest.approx(1, abs=1e-3)
+
+
+def test_classes_and_weights_come_from_every_learned_text(docs_of):
+    """Also from texts of more than 20,000 characters, and from none that is held out."""
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    rows = [(i, f"the cat sat on the mat and the dog sat too w{i} " * 500) for i in range(20) if not held(i)]
+    docs = lm.learned(docs_of(rows))
+    model = lm.learn(docs, RANKS)
+    assert model["out"].any() and np.isfinite(model["out"]).all()
+    ids = np.unique(np.concatenate([lm.word_ids(RANKS).sequence(t.encode().split()) for _, t in rows]))
+    assert (model["symbols"][ids] < lm.FREQUENT).all()
+    apart = next(i for i in range(5000, 6000) if held(i))
+    same = lm.learn(lm.learned(docs_of([*rows, (apart, "zyzzyva quokka " * 3000)])), RANKS)
+    assert np.array_equal(same["symbols"], model["symbols"]) and np.array_equal(same["classes"], model["classes"])
+
+
+def test_a_task_learns_from_each_window_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm.Trainer, "step", lambda self, ids, scored: seen.append(ids[:, lm.PAST:][scored]))
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, lm.END_ID, n) for n in (1, 40, 33, 500, 16)]
+    lm.Trainer(toy_model()).over(texts, rng)
+    assert np.array_equal(np.sort(np.concatenate(seen)), np.sort(np.concatenate(texts)))
