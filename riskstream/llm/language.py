@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from riskstream.llm.common import arrow_pieces, as_row, from_row, hash_part, utf8
+from riskstream.llm.common import arrow_pieces, as_row, from_row, give_back, hash_part, utf8
 
 ORDER = 3
 SAMPLE_ROWS = 150           # training texts of a language
@@ -187,6 +187,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     scores[i] = float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(predicted), pa.array(scores)], ["row", "text", "lang_pred", "lang_score"])
+        give_back()
 
     rows = docs.select(as_row(docs, "text"), "text")
     schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])

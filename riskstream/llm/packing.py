@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from riskstream.llm.common import arrow_pieces, written
+from riskstream.llm.common import arrow_pieces, give_back, written
 from riskstream.llm.subwords import encoder
 
 PIECES_PER_TASK = 40_000
@@ -23,7 +23,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: in
     that repeat a doc_id are cut each for itself. Whole texts, whatever their length.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).text_ids
+        kept = encoder(tokenizer)
+        encode = kept.text_ids
         names = ["doc_id", "piece", "start", "length", "ids"]
         for batch in arrow_pieces(batches, "text"):
             at, pieces, starts, lengths, blobs = [], [], [], [], []
@@ -40,6 +41,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: in
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").take(pa.array(at, pa.int32())), pa.array(pieces, pa.int32()),
                 pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(blobs, pa.binary())], names)
+        kept.clear()            # the vocabulary stays, the words of the task go
+        give_back()
 
     ids = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
@@ -100,6 +103,8 @@ def pack(pieces: DataFrame, capacity: int = 1024, per_task: int = PIECES_PER_TAS
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([base + b for b, _ in placed], pa.int64()),
                  pa.array([o for _, o in placed], pa.int64())], [*batch.schema.names, "sequence_id", "offset"])
+        del bins
+        give_back()
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return dealt.mapInArrow(run, f"{columns}, sequence_id long, offset long").unionByName(full)

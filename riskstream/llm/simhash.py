@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskstream.llm.common import as_row, from_row, utf8, words_of, written
+from riskstream.llm.common import arrow_pieces, as_row, from_row, give_back, utf8, words_of, written
 from riskstream.llm.graph import components
 
 BITS = 64
@@ -43,10 +43,11 @@ def with_fingerprint(docs: DataFrame, width: int = 4, seed: int = 42, others: tu
     kept = ["doc_id", *others]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrow_pieces(batches, "text"):
             values = [fingerprint(text, width, seed) for text in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in kept), pa.array(values, pa.int64())], [*kept, "fp"])
+        give_back()
 
     types = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in kept)
     return docs.select(*kept, "text").mapInArrow(run, f"{types}, fp long")
@@ -149,6 +150,8 @@ def _bucket_edges(most: int):
                 yield _edge_batch(links(now[0][:cut], now[1][:cut], now[2][:cut].view(np.uint64)))
         if held is not None and len(held[0]):
             yield _edge_batch(links(held[0], held[1], held[2].view(np.uint64)))
+        held = None
+        give_back()
 
     return run
 

@@ -1,9 +1,16 @@
 import inspect
+import re
+import sys
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from riskstream.llm import queries
-from riskstream.llm.common import written
+from riskstream.llm.common import give_back, written
+from riskstream.llm.packing import cut_pieces
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +51,27 @@ def test_without_languages_texts_with_letters_stay(spark, docs_of):
     docs = docs_of([(1, "some words"), (2, "12 34"), (3, None), (4, "слова")]).selectExpr(
         "doc_id", "text", "CAST(null AS string) AS lang", "source", "n_chars")
     assert sorted(r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF).collect()) == [1, 4]
+
+
+def test_workers_keep_no_words_of_a_task_that_has_ended(spark, docs_of):
+    docs = docs_of([(i, " ".join(f"word{i}x{k}" for k in range(2000))) for i in range(8)])
+    assert cut_pieces(docs, queries.RANKS).count()
+
+    def kept(batches):
+        list(batches)
+        found = [len(v) for k, v in vars(sys).get("_riskstream_kept", {}).items() if k == ("encoder", queries.RANKS)]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["n"])
+
+    found = [r.n for r in spark.range(8).mapInArrow(kept, "n long").collect()]
+    assert found and set(found) == {0}
+
+
+def test_freed_memory_is_given_back():
+    def resident():
+        return int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+    held = [np.ones(100_000, np.uint8) for _ in range(1500)]
+    last, held = held[-1], None                 # what lies below it can't be cut off the heap's end
+    before = resident()
+    give_back()
+    assert last.all() and before - resident() > 75
