@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskstream.llm.common import hash_part, kept_in_process, utf8, words_of, written
+from riskstream.llm.common import arrow_pieces, hash_part, kept_in_process, utf8, words_of, written
 from riskstream.llm.subwords import MOST, Encoder
 
 IDS = 50_257                # of the vocabulary
@@ -31,6 +31,7 @@ KEPT = 10                   # pairs' worth of what a row's class says, where pai
 OWN_SHARE = 0.5             # of a word's probability, from its ids
 NEVER = -1e4                # logarithm of nothing
 CHUNK_WORDS = 3_000_000     # words whose strings a task keeps
+ENCODED_BYTES = 1 << 20     # of texts whose new words are encoded at once, when weights are learned
 
 
 class WordEncoder(Encoder):
@@ -85,6 +86,13 @@ class Numbered(dict):
             self.new = []
         return spelled(self.flat, self.starts, self.sizes, numbers)
 
+    def sequences(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text and its end. What is new in any of them is encoded at once, as that copies all that is known."""
+        numbers = [self.number(words_of(text)) for text in texts]
+        ids, each = self.ids(np.concatenate(numbers))
+        ends = np.cumsum(each)[np.cumsum([len(x) for x in numbers]) - 1]
+        return np.split(ids.astype(np.int32), ends[:-1])
+
 
 def spelled(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all numbered words, how many each has); the word of a number has `sizes` ids of `flat` from `starts` on."""
@@ -302,16 +310,15 @@ def _round(docs: DataFrame, tokenizer: str, model: dict, seed: int) -> None:
         held: list[np.ndarray] = []
         size = learned_from = 0
 
-        for batch in batches:
-            for text in utf8(batch.column("text")):
+        for batch in arrow_pieces(batches, "text", ENCODED_BYTES):
+            if len(kept[0]) > MOST:
+                kept[0] = Numbered(encoder)
+            for ids in kept[0].sequences(utf8(batch.column("text"))):
                 if held and size >= SAMPLE_CHARS:
                     learned_from += len(trainer.over(held, rng)[0])
                     held, size = [], 0
-                if len(kept[0]) > MOST:
-                    kept[0] = Numbered(encoder)
-                held.append(kept[0].number(words_of(text)))
-                held[-1] = kept[0].ids(held[-1])[0].astype(np.int32)
-                size += len(held[-1])
+                held.append(ids)
+                size += len(ids)
         if held:
             all_held = not learned_from
             ids, scored = trainer.over(held, rng)

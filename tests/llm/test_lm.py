@@ -170,3 +170,13 @@ def test_a_task_learns_from_each_window_once(monkeypatch):
     texts = [rng.integers(0, lm.END_ID, n) for n in (1, 40, 33, 500, 16)]
     lm.Trainer(toy_model()).over(texts, rng)
     assert np.array_equal(np.sort(np.concatenate(seen)), np.sort(np.concatenate(texts)))
+
+
+def test_new_words_of_many_texts_are_encoded_at_once(monkeypatch):
+    encoder, calls = lm.word_ids(RANKS), []
+    monkeypatch.setattr(lm.WordEncoder, "words", lambda self, words, f=lm.WordEncoder.words: (calls.append(len(words)), f(self, words))[1])
+    texts = [f"The cat no{i} sat on mat{i * i}" .encode() for i in range(50)] + [b"", b" \n", "ünï 😀 the".encode()]
+    found = lm.Numbered(encoder).sequences(texts)
+    assert len(calls) == 1
+    assert len(found) == len(texts)
+    assert all(np.array_equal(x, encoder.sequence(t.lower().split())) for x, t in zip(found, texts))
