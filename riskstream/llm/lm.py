@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from riskstream.llm.common import arrow_pieces, hash_part, kept_in_process, utf8, words_of, written
-from riskstream.llm.subwords import MOST, Encoder
+from riskstream.llm.common import arrow_pieces, hash_part, kept_in_process, written
+from riskstream.llm.subwords import Encoder
 
 IDS = 50_257                # of the vocabulary
 END_ID = 50_256             # ends a text, and stands before it
@@ -21,6 +22,7 @@ NEAR = 256                  # ids that describe a neighbourhood when classes are
 DIM = 16
 PAST, STEP = 16, 16         # a window scores STEP ids and sees PAST more before them
 WINDOWS = 512               # in a batch
+TILE = 64                   # windows of a batch that are computed at once, so that they stay in a core's cache
 SAMPLE_CHARS = 1_000_000    # ids whose windows a task shuffles before it learns from all of them
 ROUNDS = 4                  # parts of the learned texts, after each of which the tasks' weights are averaged
 TRAIN_STEPS, TRAIN_WINDOWS, RATE = 500, 128, 3e-3   # steps at least, where a task's texts are few
@@ -30,8 +32,8 @@ FIXED = 1 << 20             # weights are summed as whole numbers of this part o
 KEPT = 10                   # pairs' worth of what a row's class says, where pairs are few
 OWN_SHARE = 0.5             # of a word's probability, from its ids
 NEVER = -1e4                # logarithm of nothing
-CHUNK_WORDS = 3_000_000     # words whose strings a task keeps
-ENCODED_BYTES = 1 << 20     # of texts whose new words are encoded at once, when weights are learned
+CHUNK_WORDS = 3_000_000     # words whose strings a task keeps; also bytes of texts that are numbered at once
+BUCKETS = 1024              # parts of a chunk's words, and of its pairs, that meet those of other chunks
 
 
 class WordEncoder(Encoder):
@@ -45,7 +47,7 @@ class WordEncoder(Encoder):
 
     def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all, how many each has). The words are one text, which parts where an id has a space in front."""
-        ids = np.array(self.encoding.encode_ordinary(" " + b" ".join(words).decode()), np.int64)
+        ids = self.encoding.encode_to_numpy(" " + b" ".join(words).decode(), disallowed_special=()).astype(np.int64)
         starts = np.flatnonzero(self.begins[ids])
         if len(starts) == len(words):
             return ids, np.diff(np.append(starts, len(ids)))
@@ -60,38 +62,48 @@ def word_ids(path: str) -> WordEncoder:
     return kept_in_process(("words", path), lambda: WordEncoder(path))
 
 
-class Numbered(dict):
-    """Words, numbered as they come, with their ids. The end is number 0."""
+class Numbered:
+    """The words of texts, numbered as they come, with their ids. The end is number 0."""
 
     def __init__(self, encoder: WordEncoder):
-        super().__init__({END_WORD: 0})
-        self.encoder, self.new = encoder, []
-        self.flat, self.starts, self.sizes = np.array([END_ID]), np.array([0]), np.array([1])
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
-
-    def number(self, words: list[bytes]) -> np.ndarray:
-        """The numbers of the words and the end."""
-        return np.array([*map(self.__getitem__, words), 0], np.int64)
+        self.encoder = encoder
+        self.held: list[pa.Array] = [pa.array([], pa.large_binary())]
+        self.lengths = [np.zeros(0, np.int64)]
+
+    def add(self, texts: pa.Array) -> np.ndarray:
+        """How many words and ends each text has."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        words = split.flatten()
+        there = pc.binary_length(words).to_numpy() > 0                 # white space at either end leaves an empty one
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        self.lengths.append(np.diff(np.append(0, np.cumsum(there))[ends], prepend=0) + 1)
+        self.held.append(words.filter(pa.array(there)).cast(pa.binary()).cast(pa.large_binary()))
+        return self.lengths[-1]
+
+    def close(self) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of all texts' words, an end behind each; how many each has). The words are encoded at once."""
+        coded, lengths = pa.concat_arrays(self.held).dictionary_encode(), np.concatenate(self.lengths)
+        numbers = np.zeros(len(coded) + len(lengths), np.int64)
+        is_word = np.ones(len(numbers), bool)
+        is_word[np.cumsum(lengths) - 1] = False
+        numbers[is_word] = coded.indices.to_numpy() + np.int64(1)
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
+        ids, sizes = self.encoder.words(words) if len(words) else (np.zeros(0, np.int64),) * 2
+        self.flat, self.sizes = np.append(END_ID, ids), np.append(1, sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.held = []
+        return numbers, lengths
 
     def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all, how many each has)"""
-        if self.new:
-            ids, sizes = self.encoder.words(self.new)
-            self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
-            self.flat, self.sizes = np.append(self.flat, ids), np.append(self.sizes, sizes)
-            self.new = []
         return spelled(self.flat, self.starts, self.sizes, numbers)
 
     def sequences(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text and its end. What is new in any of them is encoded at once, as that copies all that is known."""
-        numbers = [self.number(words_of(text)) for text in texts]
-        ids, each = self.ids(np.concatenate(numbers))
-        ends = np.cumsum(each)[np.cumsum([len(x) for x in numbers]) - 1]
-        return np.split(ids.astype(np.int32), ends[:-1])
+        """The ids of each text and its end."""
+        self.add(pa.array(texts, pa.string()))
+        numbers, lengths = self.close()
+        ids, each = self.ids(numbers)
+        return np.split(ids.astype(np.int32), np.cumsum(each)[np.cumsum(lengths) - 1][:-1])
 
 
 def spelled(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,6 +113,18 @@ def spelled(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np
     return flat[at + np.arange(len(at))], each
 
 
+def packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary rows: the bytes of `values` up to each of `ends`, from the one before on."""
+    offsets = np.append(0, ends) * values.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(values)]).cast(pa.binary())
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(values of all rows of `packed`, how many each has)"""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), kind), np.array(list(map(len, rows)), np.int64) // np.dtype(kind).itemsize
+
+
 def pair_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (before << 16 | ids).astype(np.int64)
 
@@ -159,61 +183,82 @@ def windows(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
     scored in exactly one window; before a sequence stand PAST ends."""
     counts = np.array([-(-len(s) // STEP) for s in sequences])
     padded = [x for s, n in zip(sequences, counts) for x in (np.full(PAST, END_ID), s, np.full(n * STEP - len(s), END_ID))]
-    starts = np.concatenate(([0], np.cumsum(counts * STEP + PAST)[:-1]))
+    starts = np.cumsum(counts * STEP + PAST) - (counts * STEP + PAST)
     owner = np.repeat(np.arange(len(sequences)), counts)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = starts[owner] + number * STEP
-    ids = np.concatenate(padded)[at[:, None] + np.arange(PAST + STEP)]
+    ids = np.lib.stride_tricks.sliding_window_view(np.concatenate(padded), PAST + STEP)[at]
     left = np.array([len(s) for s in sequences])[owner] - number * STEP
     return ids, np.arange(STEP) < left[:, None], owner
 
 
-MASK = np.where(np.arange(PAST + STEP - 1) <= np.arange(STEP)[:, None] + PAST - 1, 0, -1e9).astype(np.float32)
+SEEN = PAST + STEP - 1
+MASK = np.where(np.arange(SEEN)[:, None] <= np.arange(STEP) + PAST - 1, 0, -1e9).astype(np.float32)
+
+
+def _turned(x: np.ndarray) -> np.ndarray:
+    """Each window's matrix, transposed; products of small matrices are quicker that way round."""
+    return np.ascontiguousarray(x.transpose(0, 2, 1))
 
 
 def attend(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, ...]:
     """Logits over classes of the last STEP ids of each window, and what the way back needs. One head: the row of the
-    id before asks, all ids up to it answer."""
+    id before asks, all ids up to it answer. Weights stand by answering, then asking id, and aren't divided by their sums."""
     past = symbols[:, :-1]
     asking = past[:, PAST - 1:]
     q, k, v = p["query"].take(asking, axis=0), p["key"].take(past, axis=0), p["value"].take(past, axis=0)
     q += p["query_at"]
     k += p["key_at"]
     v += p["value_at"]
-    scores = q @ k.transpose(0, 2, 1)
-    scores += MASK
-    np.exp(np.minimum(scores, 60, out=scores), out=scores)
-    scores /= scores @ np.ones((PAST + STEP - 1, 1), np.float32)
-    mixed = scores @ v
-    logits = p["bigram"].take(asking, axis=0)
-    logits += (mixed.reshape(-1, DIM) @ p["out"]).reshape(logits.shape)
-    return logits, q, k, v, scores, mixed
+    weights = k @ _turned(q)
+    weights += MASK
+    np.exp(np.minimum(weights, 60, out=weights), out=weights)
+    sums = (np.ones((1, SEEN), np.float32) @ weights).transpose(0, 2, 1)
+    mixed = weights.transpose(0, 2, 1) @ v
+    mixed /= sums
+    logits = p["bigram"].take(asking.ravel(), axis=0)
+    logits += mixed.reshape(-1, DIM) @ p["out"]
+    return logits, q, k, v, weights, sums, mixed
+
+
+def class_logs(p: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of the class of the last STEP ids of each window."""
+    found = np.empty((len(ids), STEP), np.float32)
+    for at in range(0, len(ids), TILE):
+        some = ids[at:at + TILE]
+        logits = attend(p, p["symbols"].take(some))[0]
+        known = logits.ravel().take(np.arange(0, logits.size, CLASSES) + p["classes"].take(some[:, PAST:]).ravel())
+        np.exp(np.minimum(logits, 60, out=logits), out=logits)
+        known -= np.log(logits @ np.ones(CLASSES, np.float32))
+        found[at:at + TILE] = known.reshape(-1, STEP)
+    return found
+
+
+def shares(p: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
+    """Natural logarithm of an id's share of its class after the id before, by the rows; where it is told how many such pairs
+    the corpus has, by these, and what the rows say counts as KEPT pairs."""
+    found = p["within"][p["symbols"][before], p["symbols"][target]] + p["rare"][target]
+    return found if pairs is None else np.log((pairs + KEPT * np.exp(found)) / (p["follow"][before, p["classes"][target]] + KEPT))
 
 
 def log_likelihood(p: dict[str, np.ndarray], ids: np.ndarray, counted: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Natural logarithm of the probability of the last STEP ids of each window. `counted`: sorted keys of pairs and how
-    often the corpus has each; then an id's share of its class is that after the id before, and what the rows
-    say counts as KEPT pairs."""
-    target, symbols = ids[:, PAST:], p["symbols"][ids]
-    logits = attend(p, symbols)[0]
-    own = p["classes"][target]
-    known = np.take_along_axis(logits, own[..., None], axis=2)[..., 0]
-    np.exp(np.minimum(logits, 60, out=logits), out=logits)
-    spelled = p["within"][symbols[:, PAST - 1:-1], symbols[:, PAST:]] + p["rare"][target]
+    often the corpus has each."""
+    before, target, pairs = ids[:, PAST - 1:-1], ids[:, PAST:], None
     if counted is not None:
         keys, n = counted
-        before = ids[:, PAST - 1:-1]
         wanted = pair_keys(before, target)
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         pairs = np.where(keys[at] == wanted, n[at], 0)
-        spelled = np.log((pairs + KEPT * np.exp(spelled)) / (p["follow"][before, own] + KEPT))
-    return known - np.log(logits @ np.ones(CLASSES, np.float32)) + spelled
+    return class_logs(p, ids) + shares(p, before, target, pairs)
 
 
 def _row_sums(rows: np.ndarray, change: np.ndarray, to: np.ndarray) -> None:
-    """Adds each row of `change` to the row of `to` that `rows` names."""
-    width = to.shape[1]
-    to += np.bincount((rows[:, None] * width + np.arange(width)).ravel(), change.ravel(), to.size).reshape(to.shape)
+    """Sets each row of `to` to the sum of the columns of `change` that `rows` gives it. Dimension by dimension, as then the
+    sums stay in a core's cache."""
+    rows = rows.ravel()
+    for d, values in enumerate(change.reshape(len(change), -1)):
+        to[:, d] = np.bincount(rows, values, len(to))
 
 
 class Trainer:
@@ -224,7 +269,8 @@ class Trainer:
         self.p = {**p, **self._parts(self.weights, p)}
         self.slope = np.zeros_like(self.weights)
         self.slopes = self._parts(self.slope, p)
-        self.first, self.second, self.steps = np.zeros_like(self.weights), np.zeros_like(self.weights), 0
+        self.first, self.second, self.part, self.whole = (np.zeros_like(self.weights) for _ in range(4))
+        self.steps = 0
 
     @staticmethod
     def _parts(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -232,30 +278,40 @@ class Trainer:
         return {n: part.reshape(like[n].shape) for n, part in zip(TRAINED, np.split(flat, ends[:-1]))}
 
     def step(self, ids: np.ndarray, scored: np.ndarray) -> None:
-        p, slopes = self.p, self.slopes
-        symbols, target = p["symbols"][ids], p["classes"][ids[:, PAST:]]
-        logits, q, k, v, weights, mixed = attend(p, symbols)
-        slope = np.exp(np.minimum(logits, 60, out=logits), out=logits).reshape(-1, CLASSES)
-        slope /= slope @ np.ones((CLASSES, 1), np.float32)
-        slope[np.arange(len(slope)), target.ravel()] -= 1
-        slope *= (scored.ravel() / max(1, scored.sum())).astype(np.float32)[:, None]
-        to_mixed = (slope @ p["out"].T).reshape(mixed.shape)
-        to_scores = to_mixed @ v.transpose(0, 2, 1)
-        to_scores -= (to_mixed * mixed).sum(axis=2, keepdims=True)
-        to_scores *= weights
-        to_v = weights.transpose(0, 2, 1) @ to_mixed
-        to_q, to_k = to_scores @ k, to_scores.transpose(0, 2, 1) @ q
+        p, slopes, size = self.p, self.slopes, len(ids)
+        symbols, target = p["symbols"].take(ids), p["classes"].take(ids[:, PAST:])
+        shares = (scored / np.float32(max(1, scored.sum()))).astype(np.float32)
+        to_q, to_k, to_v = (np.empty((DIM, size, n), np.float32) for n in (STEP, SEEN, SEEN))
         self.slope[:] = 0
-        slopes["out"][:] = mixed.reshape(-1, DIM).T @ slope
+        for at in range(0, size, TILE):
+            tile = slice(at, at + TILE)
+            logits, q, k, v, weights, sums, mixed = attend(p, symbols[tile])
+            share = shares[tile].reshape(-1, 1)
+            slope = np.exp(np.minimum(logits, 60, out=logits), out=logits)
+            slope *= share / (slope @ np.ones((CLASSES, 1), np.float32))
+            slope.ravel()[np.arange(0, slope.size, CLASSES) + target[tile].ravel()] -= share.ravel()
+            slopes["out"] += (slope.T @ mixed.reshape(-1, DIM)).T
+            to_mixed = (slope @ p["out"].T).reshape(mixed.shape)
+            to_mixed /= sums
+            to_weights = v @ _turned(to_mixed)
+            to_weights -= ((to_mixed * mixed) @ np.ones((DIM, 1), np.float32)).transpose(0, 2, 1)
+            to_weights *= weights
+            np.matmul(k.transpose(0, 2, 1), to_weights, out=to_q[:, tile].transpose(1, 0, 2))
+            np.matmul(q.transpose(0, 2, 1), to_weights.transpose(0, 2, 1), out=to_k[:, tile].transpose(1, 0, 2))
+            np.matmul(to_mixed.transpose(0, 2, 1), weights.transpose(0, 2, 1), out=to_v[:, tile].transpose(1, 0, 2))
         past = symbols[:, :-1]
         for name, rows, change in (("query", past[:, PAST - 1:], to_q), ("key", past, to_k), ("value", past, to_v)):
-            _row_sums(rows.ravel(), change.reshape(-1, DIM), slopes[name])
-        for name, change in (("query_at", to_q), ("key_at", to_k), ("value_at", to_v)):
-            slopes[name][:] = change.sum(axis=0)
+            _row_sums(rows, change, slopes[name])
+            slopes[f"{name}_at"][:] = (np.ones(size, np.float32) @ change).T
         self.steps += 1
-        self.first += 0.1 * (self.slope - self.first)
-        self.second += 0.001 * (self.slope ** 2 - self.second)
-        self.weights -= RATE / (1 - 0.9 ** self.steps) * self.first / (np.sqrt(self.second / np.float32(1 - 0.999 ** self.steps)) + 1e-8)
+        rate, part, whole = RATE / (1 - 0.9 ** self.steps), self.part, self.whole      # in place, as new arrays take longer
+        np.multiply(np.subtract(self.slope, self.first, out=part), 0.1, out=part)
+        self.first += part
+        np.subtract(np.multiply(self.slope, self.slope, out=part), self.second, out=part)
+        self.second += np.multiply(part, 0.001, out=part)
+        np.sqrt(np.divide(self.second, np.float32(1 - 0.999 ** self.steps), out=part), out=part)
+        part += 1e-8
+        self.weights -= np.divide(np.multiply(self.first, rate, out=whole), part, out=whole)
 
     def over(self, sequences: list[np.ndarray], rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
         """Steps over every window once, in a random order. Returns the windows and what is scored in them."""
@@ -283,9 +339,10 @@ def _tally(pairs: DataFrame, size: int, key) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            pair = batch.column("pair").to_numpy()
+            pair, n = (unpacked(batch.column(c), "<i8")[0] for c in ("pairs", "n"))
+            pair, n = pair[n > 0], n[n > 0]
             at, back = np.unique(key(pair >> 16, pair & 0xffff), return_inverse=True)
-            counts[at] += np.bincount(back, batch.column("n").to_numpy(), len(at)).astype(np.int64)
+            counts[at] += np.bincount(back, n, len(at)).astype(np.int64)
         at = np.flatnonzero(counts)
         for a in range(0, len(at), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(at[a:a + 50_000]), pa.array(counts[at[a:a + 50_000]])], ["key", "n"])
@@ -297,23 +354,20 @@ def _tally(pairs: DataFrame, size: int, key) -> np.ndarray:
     return counts
 
 
-def _round(docs: DataFrame, tokenizer: str, model: dict, seed: int) -> None:
-    """Trains on every window of every text of `docs`: each task on those of its partition, from the weights of `model`, which
-    then become the tasks' average, by windows. A task with few texts goes over them again."""
-    context = docs.sparkSession.sparkContext
+def _round(texts: DataFrame, model: dict, seed: int) -> None:
+    """Trains on every window of every text of `texts`, given by its `ids`: each task on those of its partition, from the weights
+    of `model`, which then become the tasks' average, by windows. A task with few texts goes over them again."""
+    context = texts.sparkSession.sparkContext
     shared = context.broadcast({n: model[n] for n in ("classes", "symbols", "bigram", *TRAINED)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, trainer = word_ids(tokenizer), Trainer(shared.value)
-        kept = kept_in_process(("numbered", tokenizer), lambda: [Numbered(encoder)])
+        trainer = Trainer(shared.value)
         rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
         held: list[np.ndarray] = []
         size = learned_from = 0
 
-        for batch in arrow_pieces(batches, "text", ENCODED_BYTES):
-            if len(kept[0]) > MOST:
-                kept[0] = Numbered(encoder)
-            for ids in kept[0].sequences(utf8(batch.column("text"))):
+        for batch in batches:
+            for ids in map(lambda x: np.frombuffer(x.as_buffer(), "<u2"), batch.column("ids")):
                 if held and size >= SAMPLE_CHARS:
                     learned_from += len(trainer.over(held, rng)[0])
                     held, size = [], 0
@@ -344,7 +398,7 @@ def _round(docs: DataFrame, tokenizer: str, model: dict, seed: int) -> None:
             pa.array([x.tobytes() for _, x in sums.values()], pa.binary())], ["block", "n", "weights"])
 
     kind = "block int, n long, weights binary"
-    rows = sorted(docs.mapInArrow(run, kind).repartition("block").mapInArrow(add, kind).collect())   # as many as the weights fill
+    rows = sorted(texts.mapInArrow(run, kind).repartition("block").mapInArrow(add, kind).collect())   # as many as the weights fill
     if rows:
         flat = np.concatenate([np.frombuffer(r.weights, np.int64) / (r.n * FIXED) for r in rows]).astype(np.float32)
         model.update(Trainer._parts(flat, model))
@@ -361,7 +415,7 @@ def learn(docs: DataFrame, tokenizer: str, seed: int = 0, chunks: DataFrame | No
     any text, ids are equally likely.
     """
     chunks = written(_chunks(docs, tokenizer), "numbered-chunks", "kind") if chunks is None else chunks
-    learned_pairs = chunks.where("kind = 2 AND n > 0").select("pair", "n")
+    learned_pairs = chunks.where("kind = 2").select("pairs", "n")
     rows = FREQUENT + 1
     ids = _tally(learned_pairs, IDS, lambda before, ids: ids)
     frequent = frequent_ids(ids)
@@ -388,81 +442,107 @@ def learn(docs: DataFrame, tokenizer: str, seed: int = 0, chunks: DataFrame | No
         "query": draw(rows, DIM), "key": draw(rows, DIM), "value": draw(rows, DIM),
         "query_at": draw(STEP, DIM), "key_at": draw(PAST + STEP - 1, DIM), "value_at": draw(PAST + STEP - 1, DIM),
         "out": np.zeros((DIM, CLASSES), np.float32)}
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
     for number in range(ROUNDS):
-        _round(docs.where(F.col("learn") & (part == number)).select("text"), tokenizer, model, seed + number)
+        _round(chunks.where(F.expr("kind = 1 AND NOT held_out") & (F.col("part") == number)).select("ids"), model, seed + number)
     return model
 
 
-def text_scores(model: dict, spelling: tuple[np.ndarray, ...], alone: np.ndarray, counted: tuple[np.ndarray, np.ndarray],
-                texts: list[np.ndarray]) -> np.ndarray:
-    """log10 of the probability of each text, given as the numbers of its words and the end, in batches of a bounded
-    number of windows. `spelling`: what `spelled` asks for; `alone`: by number, the logarithm of a word's share of all words."""
-    whole = np.concatenate(texts)
-    flat, lengths = spelled(*spelling, whole)
-    firsts = np.cumsum(lengths) - lengths
-    sizes = np.array(list(map(len, texts)))
-    heads = np.cumsum(sizes) - sizes
-    ids, scored, _ = windows(np.split(flat, firsts[heads[1:]]))
-    found = np.concatenate([log_likelihood(model, ids[at:at + WINDOWS], counted) for at in range(0, len(ids), WINDOWS)])[scored]
-    by_word = np.add.reduceat(found.astype(np.float64), firsts)
-    both = np.logaddexp(by_word + np.log(OWN_SHARE), alone[whole] + np.log(1 - OWN_SHARE))
-    return np.add.reduceat(both, heads) / np.log(10)
+class Known:
+    """What the corpus says of the words and pairs of ids of some texts: `numbers` of the words, their ids (`flat`, of which each
+    word has as many as `sizes` says), how often each is learned (`c`), and `counts` of all pairs, by `keys`."""
+
+    def __init__(self, model: dict, train_tokens: int, numbers: np.ndarray, flat: np.ndarray, sizes: np.ndarray, c: np.ndarray,
+                 keys: np.ndarray, counts: np.ndarray):
+        order = np.argsort(keys)
+        self.model, self.keys = model, keys[order]
+        self.pair_logs = shares(model, self.keys >> 16, self.keys & 0xffff, counts[order])
+        starts = np.cumsum(sizes) - sizes
+        inside = np.ones(len(flat), bool)
+        inside[starts] = False
+        logs = np.zeros(len(flat))
+        logs[inside] = self.shares(flat[:-1][inside[1:]], flat[inside])
+        place = np.argsort(numbers)
+        self.c, self.flat, self.starts, self.sizes = c[place], flat, starts[place], sizes[place]
+        self.inside = np.add.reduceat(logs, starts)[place]              # of each word's ids but the first
+        self.first, self.last = flat[self.starts], flat[self.starts + self.sizes - 1]
+        self.alone = np.where(self.c > 0, np.log(np.maximum(self.c, 1) / max(train_tokens, 1)), NEVER)
+        self.alone[0] = NEVER                                           # the end is an id only
+
+    def shares(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return self.pair_logs[np.searchsorted(self.keys, pair_keys(before, ids))]
+
+    def scores(self, texts: list[np.ndarray]) -> np.ndarray:
+        """log10 of the probability of each text, given as the numbers of its words and the end. What the pairs within a word
+        say is looked up with the word; only that of its first id and the id before depends on the place."""
+        whole = np.concatenate(texts)
+        ids, lengths = spelled(self.flat, self.starts, self.sizes, whole)
+        firsts = np.cumsum(lengths) - lengths
+        sizes = np.array(list(map(len, texts)))
+        heads = np.cumsum(sizes) - sizes
+        ids, scored, _ = windows(np.split(ids, firsts[heads[1:]]))
+        by_word = np.add.reduceat(class_logs(self.model, ids)[scored].astype(np.float64), firsts) + self.inside[whole]
+        by_word += self.shares(self.last[np.roll(whole, 1)], self.first[whole])     # an end stands before each text
+        both = np.logaddexp(by_word + np.log(OWN_SHARE), self.alone[whole] + np.log(1 - OWN_SHARE))
+        return np.add.reduceat(both, heads) / np.log(10)
 
 
 # Scoring -------------------------------------------------------------------------------------------
 
+def _buckets(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order of the keys by bucket, buckets, where each ends)"""
+    bucket = (keys * 0x9E3779B1 >> 20) % BUCKETS
+    found, n = np.unique(bucket, return_counts=True)
+    return np.argsort(bucket, kind="stable"), found, np.cumsum(n)
+
+
 class _Chunk:
     """The words and pairs of ids of some consecutive texts."""
 
     def __init__(self, name: str, encoder: WordEncoder):
         self.name, self.numbered, self.words = name, Numbered(encoder), 0
-        self.learned = np.zeros(1 << 16, np.int64)
-        self.keys, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.held: list[tuple[np.ndarray, bool]] = []
-        self.waiting = 0
-
-    def count(self, numbers: np.ndarray, learn: bool) -> None:
-        if len(self.numbered) > len(self.learned):
-            self.learned = np.append(self.learned, np.zeros(len(self.numbered), np.int64))
-        if learn:
-            np.add.at(self.learned, numbers, 1)
-        self.words += len(numbers)
-        self.held.append((numbers, learn))
-        self.waiting += len(numbers)
-        if self.waiting >= 500_000:
-            self.pair()
-
-    def pair(self) -> None:
-        for learn in (False, True):
-            held = [numbers for numbers, use in self.held if use == learn]
-            if held:
-                ids, _ = self.numbered.ids(np.concatenate(held))
-                found, n = np.unique(pair_keys(np.roll(ids, 1), ids), return_counts=True)   # an end stands before each text
-                keys, place = np.unique(np.concatenate((self.keys, found)), return_inverse=True)
-                n = np.concatenate((self.n, n if learn else np.zeros(len(n), np.int64)))
-                self.keys, self.n = keys, np.bincount(place, n, len(keys)).astype(np.int64)
-        self.held, self.waiting = [], 0
+        self.held: list[pa.RecordBatch] = []
+
+    def add(self, part: pa.RecordBatch) -> None:
+        self.words += int(self.numbered.add(part.column("text")).sum())
+        self.held.append(part.select(["doc_id", "learn", "part"]))
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        self.pair()
-        words = list(self.numbered)
-        for at in range(0, len(words), 50_000):
-            part = words[at:at + 50_000]
-            n = len(part)
-            numbers = np.arange(at, at + n)
-            ids, sizes = self.numbered.ids(numbers)
-            spellings = np.split(ids.astype("<u2"), np.cumsum(sizes)[:-1])
-            yield _rows(n, chunk=[self.name] * n, kind=np.zeros(n, np.int32), number=numbers.astype(np.int32),
-                        word=part, ids=[x.tobytes() for x in spellings], n=self.learned[at:at + n])
-        for at in range(0, len(self.keys), 50_000):
-            part = self.keys[at:at + 50_000]
-            yield _rows(len(part), chunk=[self.name] * len(part), kind=np.full(len(part), 2, np.int32), pair=part,
-                        n=self.n[at:at + 50_000])
-
-
-FIELDS = {"chunk": pa.string(), "kind": pa.int32(), "number": pa.int32(), "word": pa.binary(), "ids": pa.binary(), "pair": pa.int64(), "n": pa.int64(),
-          "doc_id": pa.int64(), "held_out": pa.bool_(), "numbers": pa.binary()}
+        numbers, lengths = self.numbered.close()
+        learned = np.zeros(len(self.numbered.sizes), np.int64)
+        pairs: tuple[list, list] = [], []                                   # keys; how often learned
+        ends = np.cumsum(lengths)
+        row = 0
+        for part in self.held:
+            last, n = row + part.num_rows, part.num_rows
+            own, to = numbers[ends[row] - lengths[row]:ends[last - 1]], np.cumsum(lengths[row:last])
+            ids, each = self.numbered.ids(own)
+            learn = part.column("learn").to_numpy(zero_copy_only=False)
+            use = np.repeat(learn, lengths[row:last])
+            learned += np.bincount(own[use], minlength=len(learned))
+            keys, use = pair_keys(np.roll(ids, 1), ids).astype(np.uint32), np.repeat(use, each)     # an end stands before each text
+            for some, counts in ((keys[~use], 0), (keys[use], 1)):
+                found, times = np.unique(some, return_counts=True)
+                pairs[0].append(found)
+                pairs[1].append(times * counts)
+            yield _rows(n, chunk=[self.name] * n, kind=np.ones(n, np.int32), doc_id=part.column("doc_id"), held_out=~learn, part=part.column("part"),
+                        numbers=packed(own.astype("<u4"), to), ids=packed(ids.astype("<u2"), np.cumsum(each)[to - 1]))
+            row = last
+
+        order, buckets, ends = _buckets(np.add.reduceat(self.numbered.flat, self.numbered.starts))
+        ids, each = self.numbered.ids(order)
+        yield _rows(len(ends), chunk=[self.name] * len(ends), kind=np.zeros(len(ends), np.int32), bucket=buckets.astype(np.int32),
+                    numbers=packed(order.astype("<u4"), ends), ids=packed(ids.astype("<u2"), np.cumsum(each)[ends - 1]),
+                    sizes=packed(each.astype("<u4"), ends), n=packed(learned[order], ends))
+        keys, place = np.unique(np.concatenate(pairs[0]), return_inverse=True)
+        times = np.bincount(place, np.concatenate(pairs[1]), len(keys)).astype(np.int64)
+        keys = keys.astype(np.int64)
+        order, buckets, ends = _buckets(keys)
+        yield _rows(len(ends), chunk=[self.name] * len(ends), kind=np.full(len(ends), 2, np.int32), bucket=buckets.astype(np.int32),
+                    pairs=packed(keys[order], ends), n=packed(times[order], ends))
+
+
+FIELDS = {"chunk": pa.string(), "kind": pa.int32(), "bucket": pa.int32(), "numbers": pa.binary(), "ids": pa.binary(), "sizes": pa.binary(),
+          "pairs": pa.binary(), "n": pa.binary(), "doc_id": pa.int64(), "held_out": pa.bool_(), "part": pa.int64()}
 
 
 def _rows(size: int, **columns) -> pa.RecordBatch:
@@ -471,31 +551,44 @@ def _rows(size: int, **columns) -> pa.RecordBatch:
 
 
 def _chunks(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Rows of kind 0: the distinct words of a chunk of texts, numbered, with their ids and learned occurrences. Of kind 1: its
-    texts, with the numbers of their words. Of kind 2: its distinct pairs of ids with their learned occurrences."""
+    """Rows of kind 0: a bucket of the distinct words of a chunk of texts, numbered, with their ids and learned occurrences. Of kind
+    1: its texts, with the numbers of their words and their ids. Of kind 2: a bucket of its distinct pairs of ids with their learned
+    occurrences. `part`: the round in which a text teaches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(tokenizer)
         task, made = TaskContext.get().partitionId(), 0
         chunk = _Chunk(f"{task}-{made}", encoder)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                part = batch.slice(at, 100)
-                learn = part.column("learn").to_pylist()
-                texts = [chunk.numbered.number(words_of(t)) for t in utf8(part.column("text"))]
-                for text, use in zip(texts, learn):
-                    chunk.count(text, use)
-                numbers = [text.astype("<u4").tobytes() for text in texts]
-                yield _rows(part.num_rows, chunk=[chunk.name] * part.num_rows, kind=np.ones(part.num_rows, np.int32),
-                            doc_id=part.column("doc_id"), held_out=[not use for use in learn], numbers=numbers)
-                if chunk.words >= CHUNK_WORDS:
-                    yield from chunk.rows()
-                    made += 1
-                    chunk = _Chunk(f"{task}-{made}", encoder)
+        for part in arrow_pieces(batches, "text", CHUNK_WORDS):
+            chunk.add(part)
+            if chunk.words >= CHUNK_WORDS:
+                yield from chunk.rows()
+                made += 1
+                chunk = _Chunk(f"{task}-{made}", encoder)
         if chunk.words:
             yield from chunk.rows()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "learn").mapInArrow(
-        run, "chunk string, kind int, number int, word binary, ids binary, pair long, n long, doc_id long, held_out boolean, numbers binary")
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).alias("part")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "learn", part).mapInArrow(
+        run, "chunk string, kind int, bucket int, numbers binary, ids binary, sizes binary, pairs binary, n binary, doc_id long, held_out boolean, part long")
+
+
+def _word_counts(bucket: pa.Table) -> pa.Table:
+    """`c`: the corpus's learned occurrences of each word of each chunk; `n` and `v`: in one row, those of all words, and how many
+    words have any. Words are known by their ids."""
+    sizes, rows = unpacked(bucket["sizes"], "<u4")
+    words = packed(unpacked(bucket["ids"], "<u2")[0], np.cumsum(sizes, dtype=np.int64)).dictionary_encode().indices.to_numpy()
+    c = np.bincount(words, unpacked(bucket["n"], "<i8")[0]).astype(np.int64)
+    others = [0] * (len(rows) - 1)
+    return pa.table({"chunk": bucket["chunk"], "bucket": bucket["bucket"], "c": packed(c[words], np.cumsum(rows)),
+                     "n": [int(c.sum()), *others], "v": [int(np.count_nonzero(c)), *others]})
+
+
+def _pair_counts(bucket: pa.Table) -> pa.Table:
+    """`c`: the corpus's learned occurrences of each pair of ids of each chunk."""
+    keys, rows = unpacked(bucket["pairs"], "<i8")
+    found, pairs = np.unique(keys, return_inverse=True)
+    c = np.bincount(pairs, unpacked(bucket["n"], "<i8")[0]).astype(np.int64)
+    return pa.table({"chunk": bucket["chunk"], "bucket": bucket["bucket"], "pairs": bucket["pairs"], "c": packed(c[pairs], np.cumsum(rows))})
 
 
 def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
@@ -506,30 +599,29 @@ def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
     counts. Both learn from the rows that `learned` names. Repeated rows count, and are scored, each. Other columns are
     ignored. No rows: no rows.
 
-    A chunk of texts sends each of its distinct words and pairs of ids once; the counts of the whole corpus come back to it,
-    and its texts are scored there.
+    A chunk of texts sends each of its distinct words and pairs of ids once, in buckets; there they meet those of all chunks, the
+    counts of the whole corpus come back, and the chunk's texts are scored.
     """
     docs = learned(docs.select("doc_id", "text"))
     chunks = written(_chunks(docs, tokenizer), "numbered-chunks", "kind")
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs, tokenizer, seed, chunks))    # of a size that the constants fix
-    same_word, same_pair = Window.partitionBy("word"), Window.partitionBy("pair")
-    words = written(chunks.where("kind = 0").select(
-        "chunk", "number", "ids", F.sum("n").over(same_word).alias("c"),
-        (F.min("chunk").over(same_word) == F.col("chunk")).alias("first")), "word-counts")
-    totals = words.agg(F.sum(F.when(F.col("first"), F.col("c"))).alias("n"),
-                       F.count(F.when(F.col("first") & (F.col("c") > 0), 1)).alias("v")).first()
+    words = written(chunks.where("kind = 0").select("chunk", "bucket", "ids", "sizes", "n").groupBy("bucket").applyInArrow(
+        _word_counts, "chunk string, bucket int, c binary, n long, v long"), "word-counts")
+    pairs = chunks.where("kind = 2").select("chunk", "bucket", "pairs", "n").groupBy("bucket").applyInArrow(
+        _pair_counts, "chunk string, bucket int, pairs binary, c binary")
+    totals = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     train_tokens = totals.n or 0
-    usual = float(np.log10(train_tokens + totals.v + 1))
-    kinds = {"number": "int", "ids": "binary", "pair": "long", "c": "long", "doc_id": "long", "held_out": "boolean", "numbers": "binary"}
-    parts = [(words, 0, ["number", "ids", "c"]),
-             (chunks.where("kind = 2").select("chunk", "pair", F.sum("n").over(same_pair).alias("c")), 1, ["pair", "c"]),
-             (chunks.where("kind = 1"), 2, ["doc_id", "held_out", "numbers"])]
-    back, pairs, texts = (df.select("chunk", F.lit(k).alias("kind"), *[
-        F.col(name) if name in own else F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]) for df, k, own in parts)
-    met = back.union(pairs).union(texts).repartition("chunk").sortWithinPartitions("chunk", "kind", "number", "pair")
+    usual = float(np.log10(train_tokens + (totals.v or 0) + 1))
+    columns = {"bucket": "int", "numbers": "binary", "ids": "binary", "sizes": "binary", "c": "binary", "pairs": "binary", "doc_id": "long",
+               "held_out": "boolean"}
+    parts = [(chunks.where("kind = 0"), ["bucket", "numbers", "ids", "sizes"]), (words, ["bucket", "c"]), (pairs, ["bucket", "pairs", "c"]),
+             (chunks.where("kind = 1"), ["numbers", "doc_id", "held_out"])]
+    spellings, counts, pairs, texts = (df.select("chunk", F.lit(k).alias("kind"), *[
+        F.col(name) if name in own else F.lit(None).cast(kind).alias(name) for name, kind in columns.items()]) for k, (df, own) in enumerate(parts))
+    met = spellings.union(counts).union(pairs).union(texts).repartition("chunk").sortWithinPartitions("chunk", "kind", "bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, name = shared.value, None
+        name, known = None, None
         for batch in batches:
             labels = np.array(batch.column("chunk").to_pylist(), object)
             kinds = batch.column("kind").to_numpy()
@@ -539,34 +631,24 @@ def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
                     continue
                 part = batch.slice(a, b - a)
                 if labels[a] != name:
-                    name, ready = labels[a], False
-                    found: list[list[np.ndarray]] = [[], [], []]            # counts of words; pairs; their counts
-                    flat, sizes = [], []                                    # ids of words, by number
-                if kinds[a] == 0:
-                    spellings = part.column("ids")
-                    flat.append(np.frombuffer(b"".join(spellings.to_pylist()), "<u2"))
-                    sizes.append(pa.compute.binary_length(spellings).to_numpy() // 2)
-                    found[0].append(part.column("c").to_numpy())
-                    continue
-                if kinds[a] == 1:
-                    found[1].append(part.column("pair").to_numpy())
-                    found[2].append(part.column("c").to_numpy())
+                    name, known = labels[a], None
+                    found: dict[tuple[int, str], list[np.ndarray]] = {}
+                if kinds[a] < 3:                                            # spellings; counts of words; pairs and theirs
+                    for column, kind in ((("numbers", "<u4"), ("ids", "<u2"), ("sizes", "<u4")), (("c", "<i8"),),
+                                         (("pairs", "<i8"), ("c", "<i8")))[kinds[a]]:
+                        found.setdefault((kinds[a], column), []).append(unpacked(part.column(column), kind)[0].astype(np.int64))
                     continue
-                if not ready:
-                    counts, keys, n = map(np.concatenate, found)
-                    own = np.concatenate(sizes).astype(np.int64)
-                    spelling = np.concatenate(flat).astype(np.int64), np.cumsum(own) - own, own
-                    alone = np.where(counts > 0, np.log(np.maximum(counts, 1) / max(train_tokens, 1)), NEVER)
-                    alone[0], ready = NEVER, True                           # the end is an id only
+                if known is None:
+                    known = Known(shared.value, train_tokens, *(np.concatenate(found.pop(x)) for x in (
+                        (0, "numbers"), (0, "ids"), (0, "sizes"), (1, "c"), (2, "pairs"), (2, "c"))))
                 for at in range(0, part.num_rows, 100):
                     some = part.slice(at, 100)
                     numbers = [np.frombuffer(x, "<u4").astype(np.int64) for x in some.column("numbers").to_pylist()]
-                    rows = [counts[x] for x in numbers]
+                    rows = [known.c[x] for x in numbers]
                     yield pa.RecordBatch.from_arrays([
                         some.column("doc_id"), some.column("held_out"), pa.array([len(c) for c in rows], pa.int64()),
                         pa.array([int(np.count_nonzero(c)) for c in rows], pa.int64()), pa.array([train_tokens] * len(rows), pa.int64()),
-                        pa.array([float(np.log10(c + 1).sum()) - len(c) * usual for c in rows]),
-                        pa.array(text_scores(model, spelling, alone, (keys, n), numbers))],
+                        pa.array([float(np.log10(c + 1).sum()) - len(c) * usual for c in rows]), pa.array(known.scores(numbers))],
                         ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return met.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

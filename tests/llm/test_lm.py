@@ -180,3 +180,62 @@ def test_new_words_of_many_texts_are_encoded_at_once(monkeypatch):
     assert len(calls) == 1
     assert len(found) == len(texts)
     assert all(np.array_equal(x, encoder.sequence(t.lower().split())) for x, t in zip(found, texts))
+
+
+def test_chunks_keep_the_ids_of_texts_and_count_words_and_pairs_once(docs_of, monkeypatch):
+    """Training reads the ids; nothing is encoded again. Counts travel in buckets, not in a row for each word and pair."""
+    monkeypatch.setattr(lm, "CHUNK_WORDS", 40)
+    texts = {i: f" The cat no{i % 3} sat\x1con mat \t ünï 😀\x0bthe\n" * (i % 4) for i in range(30)}
+    docs = lm.learned(docs_of([*texts.items(), (30, None)]))
+    learn = {r.doc_id: r.learn for r in docs.collect()}
+    rows, encoder = lm._chunks(docs, RANKS).collect(), lm.word_ids(RANKS)
+    sequences = {i: encoder.sequence((texts.get(i) or "").encode().lower().split()) for i in learn}
+    found = {r.doc_id: np.frombuffer(r.ids, "<u2") for r in rows if r.kind == 1}
+    assert found.keys() == learn.keys() and all(np.array_equal(found[i], sequences[i]) for i in found)
+    assert len({r.chunk for r in rows}) > 1
+
+    words, pairs = Counter(), Counter()
+    for r in rows:
+        if r.kind == 0:
+            cuts = np.cumsum(np.frombuffer(r.sizes, "<u4"))[:-1]
+            for ids, n in zip(np.split(np.frombuffer(r.ids, "<u2"), cuts), np.frombuffer(r.n, "<i8")):
+                words[tuple(ids.tolist())] += int(n)
+        elif r.kind == 2:
+            for pair, n in zip(np.frombuffer(r.pairs, "<i8").tolist(), np.frombuffer(r.n, "<i8").tolist()):
+                pairs[pair] += n
+    spell = lambda w: tuple(encoder.sequence([w])[:-1].tolist())
+    used = [i for i in learn if learn[i]]
+    assert +words == Counter([(lm.END_ID,)] * len(used) + [spell(w) for i in used for w in (texts.get(i) or "").encode().lower().split()])
+    assert +pairs == Counter(a << 16 | b for i in used for a, b in zip([lm.END_ID, *sequences[i].tolist()], sequences[i].tolist()))
+    assert any(len(r.n) > 8 for r in lm._chunks(docs_of([(1, " ".join(map(str, range(3000))))]).selectExpr("*", "true AS learn"), RANKS).collect() if r.kind == 0)
+
+
+def test_scores_that_look_up_pairs_by_word_are_those_by_place():
+    model, encoder, rng = toy_model(), lm.word_ids(RANKS), np.random.default_rng(6)
+    model["follow"] = rng.integers(0, 90, (lm.IDS, lm.CLASSES)).astype(np.float32)
+    model["symbols"] = np.minimum(np.arange(lm.IDS), lm.FREQUENT)
+    texts = [b"the unforgettable cat sat on the mat", b"", b"zyzzyva quokka zyzzyva the", b"x" * 50]
+    numbered = lm.Numbered(encoder)
+    sequences = numbered.sequences(texts)
+    number = {w: i for i, w in enumerate([lm.END_WORD, *dict.fromkeys(w for t in texts for w in t.split())])}
+    numbers = [np.array([*(number[w] for w in t.split()), 0]) for t in texts]
+    keys = np.unique(np.concatenate([lm.pair_keys(np.append(lm.END_ID, s[:-1]).astype(np.int64), s) for s in sequences]))
+    n, c = rng.integers(0, 20, len(keys)), rng.integers(0, 5, len(number))
+    mixed, back = rng.permutation(len(number)), rng.permutation(len(keys))         # buckets come in any order
+    flat, sizes = numbered.ids(mixed)
+    found = lm.Known(model, 100, mixed, flat, sizes, c[mixed], keys[back], n[back]).scores(numbers)
+    for text, own, score in zip(sequences, numbers, found):
+        ids, scored, _ = lm.windows([text])
+        places = lm.log_likelihood(model, ids, (keys, n))[scored].astype(float)
+        by_word = np.add.reduceat(places, np.cumsum(numbered.sizes[own]) - numbered.sizes[own])
+        share = np.where((c[own] > 0) & (own > 0), np.log(np.maximum(c[own], 1) / 100), lm.NEVER)
+        assert score == pytest.approx(np.logaddexp(by_word, share).sum() / math.log(10) + len(own) * math.log10(0.5), rel=1e-5)
+
+
+def test_slopes_of_rows_are_sums_over_all_their_places():
+    rng = np.random.default_rng(7)
+    rows, change = rng.integers(0, 9, (5, 31)), rng.normal(0, 1, (lm.DIM, 5, 31)).astype(np.float32)
+    to, sums = np.full((12, lm.DIM), 7, np.float32), np.zeros((12, lm.DIM))
+    lm._row_sums(rows, change, to)
+    np.add.at(sums, rows.ravel(), change.reshape(lm.DIM, -1).T)
+    assert to == pytest.approx(sums, abs=1e-4)
