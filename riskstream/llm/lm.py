@@ -89,7 +89,7 @@ class Numbered:
         numbers[is_word] = coded.indices.to_numpy() + np.int64(1)
         words = coded.dictionary.to_numpy(zero_copy_only=False)
         ids, sizes = self.encoder.words(words) if len(words) else (np.zeros(0, np.int64),) * 2
-        self.flat, self.sizes = np.append(END_ID, ids), np.append(1, sizes)
+        self.flat, self.sizes = np.append(END_ID, ids).astype("<u2"), np.append(1, sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.held = []
         return numbers, lengths
@@ -110,7 +110,8 @@ def spelled(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np
     """(ids of all numbered words, how many each has); the word of a number has `sizes` ids of `flat` from `starts` on."""
     each = sizes[numbers]
     at = np.repeat(starts[numbers] - (np.cumsum(each) - each), each)
-    return flat[at + np.arange(len(at))], each
+    at += np.arange(len(at))
+    return flat.take(at), each
 
 
 def packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -126,7 +127,7 @@ def unpacked(column: pa.Array | pa.ChunkedArray, kind: str) -> tuple[np.ndarray,
 
 
 def pair_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    return (before << 16 | ids).astype(np.int64)
+    return before.astype(np.int64) << 16 | ids
 
 
 def learned(docs: DataFrame) -> DataFrame:
@@ -341,8 +342,7 @@ def _tally(pairs: DataFrame, size: int, key) -> np.ndarray:
         for batch in batches:
             pair, n = (unpacked(batch.column(c), "<i8")[0] for c in ("pairs", "n"))
             pair, n = pair[n > 0], n[n > 0]
-            at, back = np.unique(key(pair >> 16, pair & 0xffff), return_inverse=True)
-            counts[at] += np.bincount(back, n, len(at)).astype(np.int64)
+            np.add.at(counts, key(pair >> 16, pair & 0xffff), n)
         at = np.flatnonzero(counts)
         for a in range(0, len(at), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(at[a:a + 50_000]), pa.array(counts[at[a:a + 50_000]])], ["key", "n"])
@@ -453,7 +453,7 @@ class Known:
 
     def __init__(self, model: dict, train_tokens: int, numbers: np.ndarray, flat: np.ndarray, sizes: np.ndarray, c: np.ndarray,
                  keys: np.ndarray, counts: np.ndarray):
-        order = np.argsort(keys)
+        order, sizes = np.argsort(keys), sizes.astype(np.int64)
         self.model, self.keys = model, keys[order]
         self.pair_logs = shares(model, self.keys >> 16, self.keys & 0xffff, counts[order])
         starts = np.cumsum(sizes) - sizes
@@ -525,13 +525,13 @@ class _Chunk:
                 pairs[0].append(found)
                 pairs[1].append(times * counts)
             yield _rows(n, chunk=[self.name] * n, kind=np.ones(n, np.int32), doc_id=part.column("doc_id"), held_out=~learn, part=part.column("part"),
-                        numbers=packed(own.astype("<u4"), to), ids=packed(ids.astype("<u2"), np.cumsum(each)[to - 1]))
+                        numbers=packed(own.astype("<u4"), to), ids=packed(ids, np.cumsum(each)[to - 1]))
             row = last
 
-        order, buckets, ends = _buckets(np.add.reduceat(self.numbered.flat, self.numbered.starts))
+        order, buckets, ends = _buckets(np.add.reduceat(self.numbered.flat, self.numbered.starts, dtype=np.int64))
         ids, each = self.numbered.ids(order)
         yield _rows(len(ends), chunk=[self.name] * len(ends), kind=np.zeros(len(ends), np.int32), bucket=buckets.astype(np.int32),
-                    numbers=packed(order.astype("<u4"), ends), ids=packed(ids.astype("<u2"), np.cumsum(each)[ends - 1]),
+                    numbers=packed(order.astype("<u4"), ends), ids=packed(ids, np.cumsum(each)[ends - 1]),
                     sizes=packed(each.astype("<u4"), ends), n=packed(learned[order], ends))
         keys, place = np.unique(np.concatenate(pairs[0]), return_inverse=True)
         times = np.bincount(place, np.concatenate(pairs[1]), len(keys)).astype(np.int64)
@@ -636,7 +636,7 @@ def scored(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
                 if kinds[a] < 3:                                            # spellings; counts of words; pairs and theirs
                     for column, kind in ((("numbers", "<u4"), ("ids", "<u2"), ("sizes", "<u4")), (("c", "<i8"),),
                                          (("pairs", "<i8"), ("c", "<i8")))[kinds[a]]:
-                        found.setdefault((kinds[a], column), []).append(unpacked(part.column(column), kind)[0].astype(np.int64))
+                        found.setdefault((kinds[a], column), []).append(unpacked(part.column(column), kind)[0])
                     continue
                 if known is None:
                     known = Known(shared.value, train_tokens, *(np.concatenate(found.pop(x)) for x in (
