@@ -22,7 +22,7 @@ NEAR = 256                  # ids that describe a neighbourhood when classes are
 DIM = 16
 PAST, STEP = 16, 16         # a window scores STEP ids and sees PAST more before them
 WINDOWS = 512               # in a batch
-TILE = 64                   # windows of a batch that are computed at once, so that they stay in a core's cache
+TILE = 128                  # windows of a batch that are computed at once, so that they stay in a core's cache
 SAMPLE_CHARS = 1_000_000    # ids whose windows a task shuffles before it learns from all of them
 ROUNDS = 4                  # parts of the learned texts, after each of which the tasks' weights are averaged
 TRAIN_STEPS, TRAIN_WINDOWS, RATE = 500, 128, 3e-3   # steps at least, where a task's texts are few
